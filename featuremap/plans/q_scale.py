@@ -173,3 +173,75 @@ def fit_params(spark, sf):
     a = MinMaxScaler(["l_quantity", "l_discount"]).fit(li).get_params(spark)
     b = ZScoreScaler(["l_extendedprice"]).fit(li).get_params(spark)
     return a.unionByName(b).select("column", "parameter", F.round("value", R).alias("value"))
+
+
+# ---------------------------------------------------------------- N5 / N6
+from ..operators.power import PowerTransformer  # noqa: E402
+
+L = 3  # decimals kept in lambda-dependent results (lambda is an optimum of a flat curve)
+
+
+def _psi_sql(method, x="x", lam="lam"):
+    if method == "yeo-johnson":
+        return (f"CASE WHEN {x} >= 0 THEN (CASE WHEN {lam} = 0 THEN ln({x} + 1.0::DOUBLE) "
+                f"ELSE (pow({x} + 1.0::DOUBLE, {lam}) - 1.0::DOUBLE) / {lam} END) "
+                f"ELSE (CASE WHEN {lam} = 2 THEN -ln(1.0::DOUBLE - {x}) "
+                f"ELSE -(pow(1.0::DOUBLE - {x}, 2.0::DOUBLE - {lam}) - 1.0::DOUBLE) / (2.0::DOUBLE - {lam}) END) END")
+    return (f"CASE WHEN {lam} = 0 THEN ln({x}) "
+            f"ELSE (pow({x}, {lam}) - 1.0::DOUBLE) / {lam} END")
+
+
+def power_sql(src, keys, col, method, rounds=5, cands=25, lo=-4.0, hi=4.0):
+    extra = ("sign(x) * ln(1.0::DOUBLE + abs(x))" if method == "yeo-johnson" else "ln(x)")
+    k = ", ".join(keys)
+    ctes = [f"d AS (SELECT {k}, {col}::DOUBLE AS x FROM {src})",
+            f"st AS (SELECT count(x)::DOUBLE AS n, sum({extra}) AS s FROM d)",
+            f"r0 AS (SELECT {lo!r}::DOUBLE AS lo, ({hi!r}::DOUBLE - {lo!r}::DOUBLE) / {cands - 1}::DOUBLE AS step)"]
+    for r in range(rounds):
+        ctes.append(f"c{r} AS (SELECT i, lo + i::DOUBLE * step AS lam, step FROM r{r}, range({cands}) t(i))")
+        ctes.append(f"w{r} AS (SELECT i, lam, step, var_pop({_psi_sql(method)}) AS v FROM c{r}, d "
+                    f"GROUP BY i, lam, step)")
+        ctes.append(f"v{r} AS (SELECT w.i, w.lam, w.step, -n / 2.0::DOUBLE * ln(w.v / m.v) "
+                    f"+ (w.lam - m.lam) * s AS f FROM w{r} w, st, "
+                    f"(SELECT v, lam FROM w{r} WHERE i = {cands // 2}) m WHERE w.v > 0)")
+        ctes.append(f"b{r} AS (SELECT i AS bi, lam AS best, step FROM v{r} "
+                    f"ORDER BY f DESC, i LIMIT 1)")
+        ctes.append(f"r{r + 1} AS (SELECT best - step AS lo, ((best + step) - (best - step)) / "
+                    f"{cands - 1}::DOUBLE AS step FROM b{r})")
+    last = rounds - 1
+    ctes.append(
+        f"fin AS (SELECT CASE WHEN lo.f IS NULL OR hi.f IS NULL "
+        f"OR NOT 2.0::DOUBLE * (lo.f - 2.0::DOUBLE * m.f + hi.f) < 0 THEN b.best "
+        f"ELSE b.best + b.step * (lo.f - hi.f) / (2.0::DOUBLE * (lo.f - 2.0::DOUBLE * m.f + hi.f)) END AS best "
+        f"FROM b{last} b JOIN v{last} m ON m.i = b.bi LEFT JOIN v{last} lo ON lo.i = b.bi - 1 "
+        f"LEFT JOIN v{last} hi ON hi.i = b.bi + 1)")
+    ctes.append(f"t AS (SELECT {k}, {_psi_sql(method, lam='best')} AS t FROM d, fin)")
+    return ("WITH " + ",\n".join(ctes) +
+            f"\nSELECT {k}, round((t - avg(t) OVER ()) / stddev_pop(t) OVER (), 3) + 0.0 AS {col} FROM t")
+
+
+@query("power_yeojohnson", headline=True,
+       sql=power_sql("customer", ["c_custkey"], "c_acctbal", "yeo-johnson"))
+def power_yeojohnson(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    out = PowerTransformer(["c_acctbal"]).fit(c).transform(c)
+    return out.select("c_custkey", F.round("c_acctbal", L).alias("c_acctbal"))
+
+
+@query("power_yeojohnson_lineitem",
+       sql=power_sql("lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+                     "l_discount", "yeo-johnson"))
+def power_yeojohnson_lineitem(spark, sf):
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    li = table(spark, sf, "lineitem").select(*keys, "l_discount")
+    out = PowerTransformer(["l_discount"]).fit(li).transform(li)
+    return out.select(*keys, F.round("l_discount", L).alias("l_discount"))
+
+
+@query("power_boxcox", sql=power_sql("lineitem", ["l_orderkey", "l_linenumber", "l_partkey",
+                                                  "l_suppkey"], "l_extendedprice", "box-cox"))
+def power_boxcox(spark, sf):
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    li = table(spark, sf, "lineitem").select(*keys, "l_extendedprice")
+    out = PowerTransformer(["l_extendedprice"], method="box-cox").fit(li).transform(li)
+    return out.select(*keys, F.round("l_extendedprice", L).alias("l_extendedprice"))
