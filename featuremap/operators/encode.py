@@ -78,12 +78,15 @@ class _Mapping:
                 .drop(k, f"__key_{tag}").withColumnRenamed(v, out))
 
 
-def _raise_unknown(df: DataFrame, col: str, known: Column, include_null: bool) -> None:
-    """Eager check used by ``handle_unknown='error'``; lists up to 10 values."""
-    bad = ~known if include_null else (F.col(col).isNotNull() & ~known)
-    vals = [r[0] for r in df.where(bad).select(col).distinct().limit(10).collect()]
-    if vals:
-        raise TransformerError(f"Unknown categories in '{col}': {vals}")
+def _fail_unknown(col: str, known: Column, value: Column, include_null: bool) -> Column:
+    """``handle_unknown='error'`` as an expression: the job that first meets an
+    unknown value fails with it, no extra pass over the data is needed (and
+    it works on streams).  Returns a boolean column that is true for rows
+    that pass."""
+    bad = ~known if include_null else (value.isNotNull() & ~known)
+    msg = F.concat(F.lit(f"Unknown categories in '{col}': "),
+                   F.coalesce(value.cast("string"), F.lit("NULL")))
+    return F.when(bad, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))
 
 
 # ---------------------------------------------------------------- E1 / E1o / E1u
@@ -147,8 +150,8 @@ class LabelModel(Model):
             tmp = f"__code_{i}"
             df = m.lookup(df, tmp, F.col(c).cast("string"), str(i))
             if self.handle_unknown == "error":
-                _raise_unknown(df, c, F.col(tmp).isNotNull(), include_null=True)
-                code = F.col(tmp)
+                ok = _fail_unknown(c, F.col(tmp).isNotNull(), F.col(c), include_null=True)
+                code = F.when(ok, F.col(tmp))
             elif self.handle_unknown == "warn":
                 code = F.coalesce(F.col(tmp), F.lit(-1))
             else:
@@ -208,8 +211,9 @@ class OneHotModel(Model):
     def transform(self, df: DataFrame) -> DataFrame:
         present = [c for c in self.categories if c in df.columns]
         if self.handle_unknown == "error":
-            for c in present:
-                _raise_unknown(df, c, F.col(c).cast("string").isin(self.categories[c]), False)
+            df = df.withColumns({c: F.when(_fail_unknown(
+                c, F.col(c).cast("string").isin(self.categories[c]), F.col(c), False), F.col(c))
+                for c in present})
         if self.sparse:
             return self._sparse(df, present)
         keep = [F.col(c) for c in df.columns if c not in present]
@@ -313,10 +317,10 @@ class TargetModel(Model):
                 continue
             tmp = f"__enc_{i}"
             df = m.lookup(df, tmp, F.col(c).cast("string"), f"t{i}")
+            enc = F.coalesce(F.col(tmp), F.lit(self.global_mean).cast("double")).cast("double")
             if self.handle_unknown == "error":
-                _raise_unknown(df, c, F.col(tmp).isNotNull(), include_null=False)
-            df = df.withColumn(c, F.coalesce(F.col(tmp), F.lit(self.global_mean).cast("double"))
-                               .cast("double")).drop(tmp)
+                enc = F.when(_fail_unknown(c, F.col(tmp).isNotNull(), F.col(c), False), enc)
+            df = df.withColumn(c, enc).drop(tmp)
         return df.select(*order)
 
 
