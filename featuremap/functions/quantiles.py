@@ -57,18 +57,25 @@ def _in_bracket(x: Column, t: _Task) -> Column:
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     exact: bool = True, accuracy: int = 10_000,
-                    max_collect: int = 100_000) -> dict[tuple[str, float], float | None]:
+                    max_collect: int = 100_000,
+                    stats: dict | None = None) -> dict[tuple[str, float], float | None]:
     """Quantiles of every column at every fraction; NULL/NaN ignored.
 
     Returns ``{(column, p): value}``; value is ``None`` for an all-null column.
     With ``exact=False`` a single ``percentile_approx`` aggregate is used.
+    ``stats``, when given, receives the total row count as ``stats["rows"]``.
     """
     if not columns:
+        if stats is not None:
+            stats["rows"] = df.count()
         return {}
     xs = {c: as_double(df, c) for c in columns}
     if not exact:
-        row = df.agg(*[F.percentile_approx(xs[c], list(probs), accuracy).alias(f"q{i}")
+        row = df.agg(F.count(F.lit(1)).alias("__rows"),
+                     *[F.percentile_approx(xs[c], list(probs), accuracy).alias(f"q{i}")
                        for i, c in enumerate(columns)]).first()
+        if stats is not None:
+            stats["rows"] = row["__rows"]
         return {(c, p): (row[f"q{i}"][j] if row[f"q{i}"] is not None else None)
                 for i, c in enumerate(columns) for j, p in enumerate(probs)}
 
@@ -76,12 +83,15 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     margin = 2.0 / accuracy
 
     # pass 1: counts and a first bracket from the sketch
-    aggs = [F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(columns)]
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    aggs += [F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(columns)]
     for k, t in enumerate(tasks):
         aggs.append(F.percentile_approx(
             xs[t.col], [max(0.0, t.p - margin), min(1.0, t.p + margin)], accuracy
         ).alias(f"a{k}"))
     row = df.agg(*aggs).first()
+    if stats is not None:
+        stats["rows"] = row["__rows"]
     for k, t in enumerate(tasks):
         t.n = row[f"n{columns.index(t.col)}"]
         if t.n == 0:
@@ -90,10 +100,17 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
         a = row[f"a{k}"]
         t.lo, t.hi = float(a[0]), float(a[1])
 
+    first = True
     while True:
         active = [t for t in tasks if not t.done]
         if not active:
             break
+        if first:
+            first = False
+            # common case: all brackets are small, so one grouped, limited job
+            # returns the counts below each bracket and the values inside it
+            if _resolve_direct(df, xs, active, max_collect):
+                continue
         # verify brackets: values below and inside
         aggs = []
         for k, t in enumerate(active):
@@ -157,6 +174,61 @@ def _bisect(df: DataFrame, x: Column, t: _Task) -> None:
         t.result, t.done = lo_v + (hi_v - lo_v) * (pos - r_lo), True
 
 
+def _resolve_direct(df: DataFrame, xs: dict[str, Column], tasks: list[_Task],
+                    max_collect: int) -> bool:
+    """Counts below each bracket and the (value, count) pairs inside it, at
+    most ``max_collect`` rows reaching the driver; False when that bound is hit
+    (then the caller counts first).  Tasks whose bracket missed the target
+    ranks are reset to the whole range."""
+    items = []
+    for k, t in enumerate(tasks):
+        x = xs[t.col]
+        below = (x.isNotNull() & (x < F.lit(t.lo))) if t.lo != -math.inf else F.lit(False)
+        items.append(F.when(below, F.struct(F.lit(k).alias("t"), F.lit(None).cast("double").alias("v")))
+                     .when(_in_bracket(x, t), F.struct(F.lit(k).alias("t"), x.alias("v"))))
+    rows = (df.select(F.explode(F.array(*items)).alias("e"))
+            .where(F.col("e").isNotNull())
+            .groupBy(F.col("e.t").alias("t"), F.col("e.v").alias("v"))
+            .agg(F.count(F.lit(1)).alias("c"))
+            .limit(max_collect + len(tasks) + 1)
+            .collect())
+    if len(rows) > max_collect + len(tasks):
+        return False
+    per: dict[int, list[tuple[float, int]]] = {}
+    below: dict[int, int] = {}
+    for r in rows:
+        if r["v"] is None:
+            below[r["t"]] = r["c"]
+        else:
+            per.setdefault(r["t"], []).append((r["v"], r["c"]))
+    for k, t in enumerate(tasks):
+        t.below = below.get(k, 0)
+        vals = sorted(per.get(k, []))
+        t.inside = sum(c for _, c in vals)
+        r_lo, r_hi, _ = t.ranks
+        if not (t.below <= r_lo and t.below + t.inside > r_hi):
+            t.lo, t.hi = -math.inf, math.inf
+            continue
+        _read_off(t, vals)
+    return True
+
+
+def _read_off(t: _Task, vals: list[tuple[float, int]]) -> None:
+    r_lo, r_hi, pos = t.ranks
+
+    def at(rank: int) -> float:
+        seen = t.below
+        for v, c in vals:
+            seen += c
+            if seen > rank:
+                return v
+        raise RuntimeError("rank outside bracket")
+
+    lo_v = at(r_lo)
+    t.result = lo_v if r_hi == r_lo else lo_v + (at(r_hi) - lo_v) * (pos - r_lo)
+    t.done = True
+
+
 def _resolve_small(df: DataFrame, xs: dict[str, Column], tasks: list[_Task]) -> None:
     """Fetch (value, count) inside each bracket and read the order statistics."""
     items = [F.when(_in_bracket(xs[t.col], t),
@@ -171,21 +243,4 @@ def _resolve_small(df: DataFrame, xs: dict[str, Column], tasks: list[_Task]) ->
     for r in rows:
         per.setdefault(r["t"], []).append((r["v"], r["c"]))
     for k, t in enumerate(tasks):
-        vals = sorted(per.get(k, []))
-        r_lo, r_hi, pos = t.ranks
-
-        def at(rank: int) -> float:
-            seen = t.below
-            for v, c in vals:
-                seen += c
-                if seen > rank:
-                    return v
-            raise RuntimeError("rank outside bracket")
-
-        lo_v = at(r_lo)
-        if r_hi == r_lo:
-            t.result = lo_v
-        else:
-            hi_v = at(r_hi)
-            t.result = lo_v + (hi_v - lo_v) * (pos - r_lo)
-        t.done = True
+        _read_off(t, sorted(per.get(k, [])))

@@ -23,8 +23,9 @@ from ..functions.ranking import sorted_index
 from .base import Estimator, Model
 
 _MODES = ("error", "warn", "ignore")
-MAP_LITERAL_LIMIT = 64          # mappings this small become a CASE-free map literal
-BROADCAST_LIMIT = 1_000_000     # mappings up to this many rows are broadcast
+MAP_LITERAL_LIMIT = 64          # mappings this small become a map literal in the projection
+BROADCAST_LIMIT = 1_000_000     # mappings up to this many rows ...
+BROADCAST_BYTES = 64 << 20      # ... and about this many bytes are broadcast
 
 
 def _check_mode(mode: str) -> str:
@@ -41,17 +42,19 @@ def _stack(df: DataFrame, cols: list[str], extra: dict[str, Column] | None = Non
     return df.select(F.inline(F.array(*items)))
 
 
-def _distinct_counts(stacked: DataFrame) -> dict[str, int]:
-    return {r["col"]: r["n"] for r in
-            stacked.groupBy("col").agg(F.count_distinct("value").alias("n")).collect()}
+def _distinct_counts(d: DataFrame) -> dict[str, tuple[int, int]]:
+    """Rows and key bytes per column of a distinct ``(col, value)`` table."""
+    return {r["col"]: (r["n"], r["b"] or 0) for r in
+            d.groupBy("col").agg(F.count(F.lit(1)).alias("n"),
+                                 F.sum(F.octet_length("value")).alias("b")).collect()}
 
 
 class _Mapping:
     """value -> code/encoding for one column, small (dict) or distributed."""
 
     def __init__(self, col: str, small: dict | None = None, table: DataFrame | None = None,
-                 size: int = 0):
-        self.col, self.small, self.table, self.size = col, small, table, size
+                 size: int = 0, nbytes: int = 0):
+        self.col, self.small, self.table, self.size, self.nbytes = col, small, table, size, nbytes
 
     def lookup(self, df: DataFrame, out: str, key: Column, tag: str) -> DataFrame:
         """Add column ``out`` = mapped value of ``key`` (NULL when absent)."""
@@ -71,8 +74,10 @@ class _Mapping:
             tab = self.table
         k, v = f"__k_{tag}", f"__v_{tag}"
         tab = tab.select(F.col("value").alias(k), F.col("enc").alias(v))
-        if self.size <= BROADCAST_LIMIT:
-            tab = F.broadcast(tab)
+        if self.small is not None or (self.size <= BROADCAST_LIMIT
+                                      and self.nbytes + 16 * self.size <= BROADCAST_BYTES):
+            tab = F.broadcast(tab)          # size checked at fit time
+        # otherwise a shuffle join planned by AQE (skewed keys are split)
         return (df.withColumn(f"__key_{tag}", key)
                 .join(tab, F.col(f"__key_{tag}") == F.col(k), "left")
                 .drop(k, f"__key_{tag}").withColumnRenamed(v, out))
@@ -115,8 +120,19 @@ class LabelEncoder(Estimator):
                 maps[c] = _Mapping(c, small={str(v): i for i, v in enumerate(self.categories[c])})
         if learn:
             d = _stack(df, learn).where(F.col("value").isNotNull()).distinct()
+            cap = self.collect_limit * len(learn)
+            first = d.limit(cap + 1).collect() if cap > 0 else None
+            if first is not None and len(first) <= cap:
+                # everything fits under the bound: one job, no separate count
+                got: dict[str, list] = {c: [] for c in learn}
+                for r in first:
+                    got[r["col"]].append(r["value"])
+                for c in learn:
+                    maps[c] = _Mapping(c, small={v: i for i, v in enumerate(sorted(got[c]))},
+                                       size=len(got[c]))
+                return LabelModel(maps, self.handle_unknown)
             counts = _distinct_counts(d)
-            small_cols = [c for c in learn if counts.get(c, 0) <= self.collect_limit]
+            small_cols = [c for c in learn if counts.get(c, (0, 0))[0] <= self.collect_limit]
             big_cols = [c for c in learn if c not in small_cols]
             if small_cols:
                 got: dict[str, list] = {c: [] for c in small_cols}
@@ -124,12 +140,12 @@ class LabelEncoder(Estimator):
                     got[r["col"]].append(r["value"])
                 for c in small_cols:
                     maps[c] = _Mapping(c, small={v: i for i, v in enumerate(sorted(got[c]))},
-                                       size=counts.get(c, 0))
+                                       size=len(got[c]))
             if big_cols:
                 idx = sorted_index(d.where(F.col("col").isin(big_cols)), "col", "value", "enc")
                 for c in big_cols:
                     maps[c] = _Mapping(c, table=idx.where(F.col("col") == c).select("value", "enc"),
-                                       size=counts[c])
+                                       size=counts[c][0], nbytes=counts[c][1])
         return LabelModel(maps, self.handle_unknown)
 
 
@@ -183,12 +199,17 @@ class OneHotEncoder(Estimator):
         cats: dict[str, list[str]] = {c: [] for c in cols}
         if cols:
             d = _stack(df, cols).where(F.col("value").isNotNull()).distinct()
-            counts = _distinct_counts(d)
-            over = {c: n for c, n in counts.items() if n > self.max_categories}
-            if over:
+            cap = self.max_categories * len(cols)
+            rows = d.limit(cap + 1).collect()       # bounded: never more than cap + 1 rows
+            if len(rows) > cap:
+                counts = _distinct_counts(d)
+                over = {c: n for c, (n, _) in counts.items() if n > self.max_categories}
                 raise TransformerError(f"too many categories for one-hot: {over}")
-            for r in d.collect():
+            for r in rows:
                 cats[r["col"]].append(r["value"])
+            over = {c: len(v) for c, v in cats.items() if len(v) > self.max_categories}
+            if over:
+                raise TransformerError(f"too many categories for one-hot: {over}")
         for c in cols:
             cats[c] = sorted(cats[c])
         return OneHotModel(cats, self.drop_first, self.handle_unknown, self.prefix_sep,
@@ -287,10 +308,18 @@ class TargetEncoder(Estimator):
         enc = (F.when((F.col("n") == 0) | (F.col("n") < F.lit(self.min_samples)), gl)
                .otherwise((F.col("n") * F.col("m") + s * gl) / (F.col("n") + s)))
         table = st.select("col", "value", enc.alias("enc"))
-        counts = {r["col"]: r["c"] for r in table.groupBy("col").agg(
-            F.count(F.lit(1)).alias("c")).collect()}
         maps = {}
-        small_cols = [c for c in cols if counts.get(c, 0) <= self.collect_limit]
+        cap = self.collect_limit * len(cols)
+        first = table.limit(cap + 1).collect() if cap > 0 else None
+        if first is not None and len(first) <= cap:
+            got_all: dict[str, dict] = {c: {} for c in cols}
+            for r in first:
+                got_all[r["col"]][r["value"]] = r["enc"]
+            for c in cols:
+                maps[c] = _Mapping(c, small=got_all[c], size=len(got_all[c]))
+            return TargetModel(maps, gmean, self.handle_unknown)
+        counts = _distinct_counts(table)
+        small_cols = [c for c in cols if counts.get(c, (0, 0))[0] <= self.collect_limit]
         if small_cols:
             got: dict[str, dict] = {c: {} for c in small_cols}
             for r in table.where(F.col("col").isin(small_cols)).collect():
@@ -300,7 +329,7 @@ class TargetEncoder(Estimator):
         for c in cols:
             if c not in maps:
                 maps[c] = _Mapping(c, table=table.where(F.col("col") == c).select("value", "enc"),
-                                   size=counts[c])
+                                   size=counts[c][0], nbytes=counts[c][1])
         return TargetModel(maps, gmean, self.handle_unknown)
 
 

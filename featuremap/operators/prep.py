@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -158,20 +159,25 @@ class AutoPrep(Estimator):
 
     def fit(self, df: DataFrame) -> "AutoPrepModel":
         kept = [c for c in df.columns if not self.rule(c)]
-        base = df.select(*kept)
-        require_rows(base.limit(1).count(), "AutoPrep")
-        num = numeric_columns(base)
-        cat = [c for c in kept if c not in num]
-        med = MedianImputer(num, exact=self.exact).fit(base) if num else None
-        mode = ModeImputer(cat).fit(base) if cat else None
-        filled = base
-        if med:
-            filled = med.transform(filled)
-        if mode:
-            filled = mode.transform(filled)
-        label = LabelEncoder(cat, handle_unknown="warn").fit(filled) if cat else None
-        coded = label.transform(filled) if label else filled
-        robust = RobustScaler(kept, exact=self.exact).fit(coded)
+        # every fit below is a job over the same rows: materialize the input
+        # once (spilling to disk if needed) instead of recomputing its lineage
+        base = df.select(*kept).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            require_rows(base.limit(1).count(), "AutoPrep")
+            num = numeric_columns(base)
+            cat = [c for c in kept if c not in num]
+            med = MedianImputer(num, exact=self.exact).fit(base) if num else None
+            mode = ModeImputer(cat).fit(base) if cat else None
+            filled = base
+            if med:
+                filled = med.transform(filled)
+            if mode:
+                filled = mode.transform(filled)
+            label = LabelEncoder(cat, handle_unknown="warn").fit(filled) if cat else None
+            coded = label.transform(filled) if label else filled
+            robust = RobustScaler(kept, exact=self.exact).fit(coded)
+        finally:
+            base.unpersist()
         return AutoPrepModel(kept, med, mode, label, robust)
 
 

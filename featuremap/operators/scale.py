@@ -153,11 +153,11 @@ class RobustScaler(_Scaler):
         self.accuracy = accuracy
 
     def _stats(self, df, cols):
-        n = df.count()
-        require_rows(n, "RobustScaler")
         p_lo, p_hi = self.quantile_range[0] / 100.0, self.quantile_range[1] / 100.0
+        seen: dict = {}
         qs = exact_quantiles(df, cols, [0.5, p_lo, p_hi], exact=self.exact,
-                             accuracy=self.accuracy)
+                             accuracy=self.accuracy, stats=seen)
+        require_rows(seen["rows"], "RobustScaler")
         return {c: {"median": qs[(c, 0.5)], "q1": qs[(c, p_lo)], "q3": qs[(c, p_hi)]}
                 for c in cols}
 

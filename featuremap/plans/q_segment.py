@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.joins import left_join_hot_right
 from ..operators.prep import AutoPrep, bands, coord_label, with_share
 from ..operators.segment import SEGMENT_LOOKUP, cluster_codebook, elbow, label_rows, lookup_table, profile
 from ..operators.som import SOM, default_grid_size
@@ -138,7 +139,7 @@ FROM customer LEFT JOIN orders ON c_custkey = o_custkey""")
 def customer_orders_left(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    return (c.join(o, c.c_custkey == o.o_custkey, "left")
+    return (left_join_hot_right(c, o, "c_custkey", "o_custkey")
             .select("c_custkey", "c_mktsegment", "o_orderkey", "o_totalprice"))
 
 
