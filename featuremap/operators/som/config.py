@@ -93,7 +93,17 @@ def decay(v0: float, epoch: int, epochs: int, kind: str) -> float:
     return v0
 
 
-def default_grid_size(n_rows: int) -> tuple[int, float]:
-    """Side length ``min(15, max(5, int(sqrt(n) / 2)))`` and ``sigma = max(1, side / 4)``."""
-    side = min(15, max(5, int(math.sqrt(n_rows) / 2)))
+def default_grid_size(n_rows: int, rule: str = "half_sqrt") -> tuple[int, float]:
+    """Square map side and sigma from the row count.
+
+    ``half_sqrt``: side ``min(15, max(5, int(sqrt(n) / 2)))``;
+    ``five_sqrt``: about ``5 * sqrt(n)`` neurons, side within 3..30.
+    ``sigma = max(1, side / 4)`` in both cases.
+    """
+    if rule == "half_sqrt":
+        side = min(15, max(5, int(math.sqrt(n_rows) / 2)))
+    elif rule == "five_sqrt":
+        side = min(30, max(3, int(round(math.sqrt(5.0 * math.sqrt(max(n_rows, 1)))))))
+    else:
+        raise InvalidConfigError(f"unknown grid rule {rule!r}")
     return side, max(1.0, side / 4.0)

@@ -192,3 +192,10 @@ def hash_encode(spark, sf):
 def hash_signed(spark, sf):
     p = table(spark, sf, "pages").select("page_id", "url")
     return HashEncoder(["url"], n_bins=1000, n_functions=2, signed=True).transform(p)
+
+
+@query("hash_xxhash64")
+def hash_xxhash64(spark, sf):
+    """E4s with a caller-chosen hash (xxhash64); no SQL twin of Spark's xxhash64."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name")
+    return HashEncoder(["p_name"], n_bins=32, n_functions=2, hash="xxhash64").transform(p)

@@ -25,3 +25,32 @@ def stream_apply(spark, sf):
     out = run_available(scored, scratch_path(spark, "stream-out"))
     return spark.read.parquet(out).select("event_id", "user_id", F.round("value", 6).alias("value"),
                                           "event_type")
+
+
+# ---- the map applied to a stream: events scored against a map fitted on the batch table
+from ..operators.som import SOM  # noqa: E402
+from ..operators.som import quality as Q  # noqa: E402
+from .som_sql import som_ctes  # noqa: E402
+
+_EV_FEATS = ["value", "user_id"]
+_EV = dict(x=4, y=4, sigma=1.0, learning_rate=0.5, neighborhood_function="gaussian",
+           decay_function="asymptotic")
+_EV_EPOCHS = 2
+
+
+@query("stream_som_outliers", sql=som_ctes(
+    "SELECT event_id, value, user_id FROM events", ["event_id"], _EV_FEATS, _EV["x"], _EV["y"],
+    _EV_EPOCHS, _EV["sigma"], _EV["learning_rate"]) + f"""
+SELECT event_id, nx AS neuron_x, ny AS neuron_y, round(dist, 6) AS distance,
+  CASE WHEN dist < 0.1 THEN 'normal' WHEN dist < 0.2 THEN 'unusual' ELSE 'outlier' END AS anomaly
+FROM a{_EV_EPOCHS} WHERE rn = 1""")
+def stream_som_outliers(spark, sf):
+    batch = table(spark, sf, "events").select("event_id", *_EV_FEATS)
+    model = SOM(features=_EV_FEATS, epochs=_EV_EPOCHS, tol=0, initialization="grid",
+                **_EV).fit(batch)
+    events = stream_files(spark, sf, table(spark, sf, "events").schema,
+                          glob_filter="events.parquet")
+    scored = Q.anomaly_flag(model.predict(events.select("event_id", *_EV_FEATS)))
+    out = run_available(scored.select("event_id", "neuron_x", "neuron_y", "distance", "anomaly"),
+                        scratch_path(spark, "stream-som"))
+    return spark.read.parquet(out).withColumn("distance", F.round("distance", 6))
