@@ -85,10 +85,12 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     # pass 1: counts and a first bracket from the sketch
     aggs = [F.count(F.lit(1)).alias("__rows")]
     aggs += [F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(columns)]
-    for k, t in enumerate(tasks):
-        aggs.append(F.percentile_approx(
-            xs[t.col], [max(0.0, t.p - margin), min(1.0, t.p + margin)], accuracy
-        ).alias(f"a{k}"))
+    # one sketch per column serves all of its fractions
+    wanted: dict[str, list[float]] = {c: [] for c in columns}
+    for t in tasks:
+        wanted[t.col] += [max(0.0, t.p - margin), min(1.0, t.p + margin)]
+    for i, c in enumerate(columns):
+        aggs.append(F.percentile_approx(xs[c], wanted[c], accuracy).alias(f"a{i}"))
     row = df.agg(*aggs).first()
     if stats is not None:
         stats["rows"] = row["__rows"]
@@ -97,8 +99,10 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
         if t.n == 0:
             t.done = True
             continue
-        a = row[f"a{k}"]
-        t.lo, t.hi = float(a[0]), float(a[1])
+        ci = columns.index(t.col)
+        j = [u for u in tasks if u.col == t.col].index(t)
+        a = row[f"a{ci}"]
+        t.lo, t.hi = float(a[2 * j]), float(a[2 * j + 1])
 
     first = True
     while True:

@@ -26,8 +26,14 @@ from ..functions.columns import as_double, numeric_columns, resolve_columns
 from .base import Estimator, Model, literal, require_rows
 
 
-def yeo_johnson(x: Column, lam: float) -> Column:
+def yeo_johnson(x: Column, lam) -> Column:
+    """psi(x, lambda); ``lam`` is a number or a column."""
     one = F.lit(1.0)
+    if isinstance(lam, Column):
+        pos = F.when(lam == 0, F.ln(x + one)).otherwise((F.pow(x + one, lam) - one) / lam)
+        two = F.lit(2.0) - lam
+        neg = F.when(lam == 2, -F.ln(one - x)).otherwise(-(F.pow(one - x, two) - one) / two)
+        return F.when(x >= 0, pos).otherwise(neg)
     if lam == 0.0:
         pos = F.ln(x + one)
     else:
@@ -39,7 +45,9 @@ def yeo_johnson(x: Column, lam: float) -> Column:
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-def box_cox(x: Column, lam: float) -> Column:
+def box_cox(x: Column, lam) -> Column:
+    if isinstance(lam, Column):
+        return F.when(lam == 0, F.ln(x)).otherwise((F.pow(x, lam) - F.lit(1.0)) / lam)
     if lam == 0.0:
         return F.ln(x)
     return (F.pow(x, F.lit(lam)) - F.lit(1.0)) / F.lit(lam)
@@ -74,6 +82,27 @@ class PowerTransformer(Estimator):
     def _psi(self, x: Column, lam: float) -> Column:
         return yeo_johnson(x, lam) if self.method == "yeo-johnson" else box_cox(x, lam)
 
+    def _variances(self, df: DataFrame, xs, active, cands) -> dict:
+        """``var_pop(psi(x, lambda))`` of every (column, candidate) in one job.
+
+        The candidates travel as data (a generated ``(key, column, lambda)``
+        row per input row, aggregated map-side into one row per key and
+        partition), so every round reuses the same compiled code.
+        """
+        items = []
+        for pos, (i, c) in enumerate(active):
+            for g, lam in enumerate(cands[c][0]):
+                items.append(F.struct(F.lit(f"v{i}_{g}").alias("k"), F.lit(pos).alias("j"),
+                                      F.lit(lam).cast("double").alias("lam")))
+        rows = (df.select(*[xs[c].alias(f"__x{p}") for p, (_, c) in enumerate(active)])
+                .select(F.inline(F.array(*items)),
+                        F.array(*[F.col(f"__x{p}") for p in range(len(active))]).alias("__xs"))
+                .groupBy("k")
+                .agg(F.var_pop(self._psi(F.element_at("__xs", F.col("j") + 1), F.col("lam")))
+                     .alias("v"))
+                .collect())
+        return {r["k"]: r["v"] for r in rows}
+
     def fit(self, df: DataFrame) -> "PowerModel":
         cols = resolve_columns(df, self.columns, numeric_columns)
         xs = {c: as_double(df, c) for c in cols}
@@ -103,11 +132,7 @@ class PowerTransformer(Estimator):
             if not active:
                 break
             cands = {c: grid(*ranges[c], self.candidates) for _, c in active}
-            aggs = []
-            for i, c in active:
-                for g, lam in enumerate(cands[c][0]):
-                    aggs.append(F.var_pop(self._psi(xs[c], lam)).alias(f"v{i}_{g}"))
-            vrow = df.agg(*aggs).first()
+            vrow = self._variances(df, xs, active, cands)
             for i, c in active:
                 lams, step = cands[c]
                 n, s = params[c]["n"], params[c]["s"]
@@ -115,12 +140,12 @@ class PowerTransformer(Estimator):
                 # part cancels exactly, so neighbouring candidates compare at
                 # full precision
                 mid = len(lams) // 2
-                vm, lm = vrow[f"v{i}_{mid}"], lams[mid]
+                vm, lm = vrow.get(f"v{i}_{mid}"), lams[mid]
                 if not _finite_pos(vm):
                     vm, lm = 1.0, 1.0
                 f = []
                 for g, lam in enumerate(lams):
-                    v = vrow[f"v{i}_{g}"]
+                    v = vrow.get(f"v{i}_{g}")
                     f.append(-n / 2.0 * math.log(v / vm) + (lam - lm) * s
                              if _finite_pos(v) else -math.inf)
                 g = max(range(len(lams)), key=lambda j: (f[j], -j))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ...errors import DimensionMismatchError, InsufficientDataError, SOMError
 from ...functions.columns import numeric_columns
+from ...functions.partitions import ensure_parallelism
 from ..base import Estimator
 from .config import SOMConfig, decay, neighborhood
 from .model import SOMModel, feature_columns, score_udf, share
@@ -90,7 +91,9 @@ class SOM(Estimator):
         scaled = df.select(*[c.alias(z) for c, z in zip(model.scaled_columns(df), zcols)])
         if self.handle_null == "skip":
             scaled = scaled.dropna()
-        scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
+        # every epoch re-reads these rows through the Python kernel: keep them
+        # (spilling to disk) and make sure they are spread over all cores
+        scaled = ensure_parallelism(scaled).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             W = self._init(scaled, zcols, cfg)
             history = []
