@@ -67,20 +67,31 @@ class SOM(Estimator):
             raise DimensionMismatchError(f"expected {cfg.input_len} features, got {d}")
         cfg.input_len = d
         raw = feature_columns(df, features, self.vector_col, d)
+        # the raw features are kept once (spilling to disk if needed) and spread
+        # over all cores: the bounds job materializes them and every epoch
+        # re-reads them through the Python kernel without recomputing the input
+        rcols = [f"__r{i}" for i in range(d)]
+        kept = ensure_parallelism(df.select(*[c.alias(r) for c, r in zip(raw, rcols)]))
+        kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
         any_null = F.lit(False)
-        for c in raw:
-            any_null = any_null | c.isNull()
+        for r in rcols:
+            any_null = any_null | F.col(r).isNull()
 
         # one job: size, null rows, bounds (M6, M7)
         aggs = [F.count(F.lit(1)).alias("n"), F.count_if(any_null).alias("nulls")]
-        aggs += [F.min(c).alias(f"mn{i}") for i, c in enumerate(raw)]
-        aggs += [F.max(c).alias(f"mx{i}") for i, c in enumerate(raw)]
-        row = df.agg(*aggs).first()
-        n = row["n"] - (row["nulls"] if self.handle_null == "skip" else 0)
-        if row["nulls"] and self.handle_null == "error":
-            raise SOMError(f"{row['nulls']} rows have NULL/NaN features (handle_null='skip' drops them)")
-        if n < 3:
-            raise InsufficientDataError(f"at least 3 rows are needed, got {n}")
+        aggs += [F.min(r).alias(f"mn{i}") for i, r in enumerate(rcols)]
+        aggs += [F.max(r).alias(f"mx{i}") for i, r in enumerate(rcols)]
+        try:
+            row = kept.agg(*aggs).first()
+            n = row["n"] - (row["nulls"] if self.handle_null == "skip" else 0)
+            if row["nulls"] and self.handle_null == "error":
+                raise SOMError(f"{row['nulls']} rows have NULL/NaN features "
+                               "(handle_null='skip' drops them)")
+            if n < 3:
+                raise InsufficientDataError(f"at least 3 rows are needed, got {n}")
+        except Exception:
+            kept.unpersist()
+            raise
         if n < 3 * cfg.k:
             warnings.warn(f"{n} rows for {cfg.k} neurons: fewer than 3 rows per neuron")
         mins = np.array([row[f"mn{i}"] for i in range(d)], dtype=float)
@@ -88,12 +99,10 @@ class SOM(Estimator):
 
         model = SOMModel(cfg, np.zeros((cfg.k, d)), mins, maxs, features, self.vector_col)
         zcols = [f"__z{i}" for i in range(d)]
-        scaled = df.select(*[c.alias(z) for c, z in zip(model.scaled_columns(df), zcols)])
+        scaled = kept.select(*[((F.col(r) - F.lit(float(lo))) / F.lit(float(rg))).alias(z)
+                               for r, lo, rg, z in zip(rcols, mins, model.ranges, zcols)])
         if self.handle_null == "skip":
             scaled = scaled.dropna()
-        # every epoch re-reads these rows through the Python kernel: keep them
-        # (spilling to disk) and make sure they are spread over all cores
-        scaled = ensure_parallelism(scaled).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             W = self._init(scaled, zcols, cfg)
             history = []
@@ -110,7 +119,7 @@ class SOM(Estimator):
                     break
                 prev = qe
         finally:
-            scaled.unpersist()
+            kept.unpersist()
         return SOMModel(cfg, W, mins, maxs, features, self.vector_col, history)
 
     # ------------------------------------------------------------------ init (M2, M3)
