@@ -245,3 +245,16 @@ def power_boxcox(spark, sf):
     li = table(spark, sf, "lineitem").select(*keys, "l_extendedprice")
     out = PowerTransformer(["l_extendedprice"], method="box-cox").fit(li).transform(li)
     return out.select(*keys, F.round("l_extendedprice", L).alias("l_extendedprice"))
+
+
+@query("zscore_table", sql="""
+WITH s AS (SELECT avg(v) AS m, stddev_samp(v) AS sd FROM (
+             SELECT l_discount AS v FROM lineitem UNION ALL SELECT l_tax FROM lineitem))
+SELECT l_orderkey, l_linenumber, round((l_discount - m) / sd, 6) AS l_discount,
+       round((l_tax - m) / sd, 6) AS l_tax FROM lineitem, s""")
+def zscore_table(spark, sf):
+    """N8 for the z-score: one mean and one std pooled over both columns."""
+    li = table(spark, sf, "lineitem")
+    cols = ["l_discount", "l_tax"]
+    out = ZScoreScaler(cols, whole_table=True).fit(li).transform(li)
+    return _rounded(out, cols, ["l_orderkey", "l_linenumber"])
