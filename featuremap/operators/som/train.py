@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ...errors import DimensionMismatchError, InsufficientDataError, SOMError
 from ...functions.columns import numeric_columns
-from ...functions.partitions import ensure_parallelism
+from ...functions.partitions import spread_persisted
 from ..base import Estimator
 from .config import SOMConfig, decay, neighborhood
 from .model import SOMModel, feature_columns, score_udf, share
@@ -71,7 +71,7 @@ class SOM(Estimator):
         # over all cores: the bounds job materializes them and every epoch
         # re-reads them through the Python kernel without recomputing the input
         rcols = [f"__r{i}" for i in range(d)]
-        kept = ensure_parallelism(df.select(*[c.alias(r) for c, r in zip(raw, rcols)]))
+        kept = df.select(*[c.alias(r) for c, r in zip(raw, rcols)])
         kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
         any_null = F.lit(False)
         for r in rcols:
@@ -92,6 +92,7 @@ class SOM(Estimator):
         except Exception:
             kept.unpersist()
             raise
+        kept = spread_persisted(kept)
         if n < 3 * cfg.k:
             warnings.warn(f"{n} rows for {cfg.k} neurons: fewer than 3 rows per neuron")
         mins = np.array([row[f"mn{i}"] for i in range(d)], dtype=float)
