@@ -142,7 +142,11 @@ class LabelEncoder(Estimator):
                     maps[c] = _Mapping(c, small={v: i for i, v in enumerate(sorted(got[c]))},
                                        size=len(got[c]))
             if big_cols:
-                idx = sorted_index(d.where(F.col("col").isin(big_cols)), "col", "value", "enc")
+                total = sum(counts[c][0] for c in big_cols)
+                parts = max(int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                            total // 2_000_000 + 1)      # about 2M distinct values per task
+                idx = sorted_index(d.where(F.col("col").isin(big_cols)), "col", "value", "enc",
+                                   num_partitions=parts)
                 for c in big_cols:
                     maps[c] = _Mapping(c, table=idx.where(F.col("col") == c).select("value", "enc"),
                                        size=counts[c][0], nbytes=counts[c][1])

@@ -63,7 +63,8 @@ class SOM(Estimator):
     def fit(self, df: DataFrame) -> SOMModel:
         cfg = self.config
         features, d = self._dimension(df)
-        if cfg.input_len and cfg.input_len != d:
+        # 0 or 1 (the configuration default) mean "take it from the data"
+        if cfg.input_len > 1 and cfg.input_len != d:
             raise DimensionMismatchError(f"expected {cfg.input_len} features, got {d}")
         cfg.input_len = d
         raw = feature_columns(df, features, self.vector_col, d)

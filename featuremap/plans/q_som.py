@@ -371,3 +371,24 @@ FROM a{CUST_EPOCHS} WHERE rn = 1 GROUP BY nx, ny, c_mktsegment""")
 def som_label_hits(spark, sf):
     rows, model = cust_model(spark, sf)
     return Q.label_hits(model.transform(rows), "c_mktsegment")
+
+
+# ---- array features: the 64-dimensional embedding vectors, grid init, SQL-checked
+_EMB_D = 64
+_EMB = dict(x=6, y=6, sigma=1.5, learning_rate=0.5, neighborhood_function="gaussian",
+            decay_function="asymptotic")
+_EMB_EPOCHS = 2
+_EMB_SRC = ("SELECT vec_id, label, " + ", ".join(
+    f"embedding[{i + 1}]::DOUBLE AS f{i}" for i in range(_EMB_D)) + " FROM embeddings")
+
+
+@query("som_embeddings_grid", sql=som_ctes(
+    _EMB_SRC, ["vec_id", "label"], [f"f{i}" for i in range(_EMB_D)], _EMB["x"], _EMB["y"],
+    _EMB_EPOCHS, _EMB["sigma"], _EMB["learning_rate"]) + f"""
+SELECT nx AS neuron_x, ny AS neuron_y, label, count(*) AS hits
+FROM a{_EMB_EPOCHS} WHERE rn = 1 GROUP BY nx, ny, label""")
+def som_embeddings_grid(spark, sf):
+    e = table(spark, sf, "embeddings")
+    model = SOM(vector_col="embedding", epochs=_EMB_EPOCHS, tol=0, initialization="grid",
+                **_EMB).fit(e)
+    return Q.label_hits(model.transform(e), "label")

@@ -90,7 +90,9 @@ class CSVSource(Source):
             raw = raw.select(*[F.when(F.col(n).isin(list(self.null_tokens)), F.lit(None))
                                .otherwise(F.col(n)).alias(n) for n in names])
             return _typed(infer_types(raw, exclude=set(self.overrides or ())), self.overrides)
-        except AnalysisException as e:
+        except SourceError:
+            raise
+        except Exception as e:      # missing path, or FAILFAST parse error in the inference job
             raise _classify(e, self.path) from e
 
 

@@ -73,3 +73,11 @@ def test_workbook_write_partitions_and_overwrite(spark, tmp_dir):
     assert len(files) == 2
     back = ExcelSource(out, sheet_name="S").extract(spark)
     assert back.count() == 50 and dict(back.dtypes)["v"] == "double"
+
+
+def test_csv_ragged_row_is_a_source_error(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "ragged.csv")
+    with open(p, "w") as f:
+        f.write("a,b\n1,2\n3,4,5\n")
+    with pytest.raises(SourceError):
+        CSVSource(p).extract(spark)
