@@ -163,3 +163,19 @@ def test_fit_params_long_table(spark):
     p = {(r["column"], r["parameter"]): r["value"]
          for r in MinMaxScaler(["a"]).fit(df).get_params(spark).collect()}
     assert p == {("a", "min"): 1.0, ("a", "max"): 3.0}
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.integers(-50, 50).map(float),
+                          st.floats(-1e6, 1e6, allow_nan=False)), min_size=1, max_size=300),
+       st.sampled_from([1, 5, 100_000]))
+def test_exact_quantiles_property(spark, vals, max_collect):
+    df = spark.createDataFrame([(v,) for v in vals], "a double")
+    probs = [0.0, 0.3, 0.5, 0.9, 1.0]
+    got = exact_quantiles(df, ["a"], probs, accuracy=50, max_collect=max_collect)
+    for p in probs:
+        assert got[("a", p)] == pytest.approx(float(np.quantile(np.array(vals), p)), rel=1e-12, abs=1e-9)

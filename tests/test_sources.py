@@ -81,3 +81,39 @@ def test_csv_ragged_row_is_a_source_error(spark, tmp_dir):
         f.write("a,b\n1,2\n3,4,5\n")
     with pytest.raises(SourceError):
         CSVSource(p).extract(spark)
+
+
+def _two_sheet_book(path):
+    """A workbook as office suites write it: shared strings, two sheets."""
+    import zipfile
+
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    pkg = "http://schemas.openxmlformats.org/package/2006/relationships"
+    sheet = ('<worksheet xmlns="%s"><sheetData>'
+             '<row r="1"><c r="A1" t="s"><v>%d</v></c></row>'
+             '<row r="2"><c r="A2"><v>%s</v></c></row>'
+             '<row r="3"><c r="A3"><v>%s</v></c></row></sheetData></worksheet>')
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("xl/workbook.xml",
+                   f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>'
+                   '<sheet name="First" sheetId="1" r:id="rId1"/>'
+                   '<sheet name="Second" sheetId="2" r:id="rId2"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   f'<Relationships xmlns="{pkg}">'
+                   '<Relationship Id="rId1" Type="ws" Target="worksheets/sheet1.xml"/>'
+                   '<Relationship Id="rId2" Type="ws" Target="/xl/worksheets/sheet2.xml"/>'
+                   '</Relationships>')
+        z.writestr("xl/sharedStrings.xml",
+                   f'<sst xmlns="{main}"><si><t>a</t></si><si><r><t>b</t></r></si></sst>')
+        z.writestr("xl/worksheets/sheet1.xml", sheet % (main, 0, "1", "2"))
+        z.writestr("xl/worksheets/sheet2.xml", sheet % (main, 1, "3.5", "4"))
+
+
+def test_workbook_shared_strings_two_sheets(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "two.xlsx")
+    _two_sheet_book(p)
+    first = ExcelSource(p, sheet_name="First").extract(spark)
+    assert first.columns == ["a"] and sorted(r.a for r in first.collect()) == [1, 2]
+    second = ExcelSource(p, sheet_name=1).extract(spark)
+    assert second.columns == ["b"] and sorted(r.b for r in second.collect()) == [3.5, 4.0]
