@@ -67,11 +67,11 @@ def stage_chain(spark, sf):
 
 def price_in_thousands(df):
     """A user-defined stage: a plain function."""
-    return df.withColumn("o_totalprice_k", F.round(F.col("o_totalprice") / 1000.0, 3))
+    return df.withColumn("o_totalprice_k", F.col("o_totalprice") / 1000.0)
 
 
 @query("custom_stage", sql="""
-SELECT o_orderkey, o_totalprice, round(o_totalprice / 1000.0, 3) AS o_totalprice_k FROM orders""")
+SELECT o_orderkey, o_totalprice, o_totalprice / 1000.0::DOUBLE AS o_totalprice_k FROM orders""")
 def custom_stage(spark, sf):
     src = ParquetSource(f"{sf.rstrip('/')}/orders.parquet")
     p = Pipeline(src).add_transformer(lambda df: df.select("o_orderkey", "o_totalprice")) \
