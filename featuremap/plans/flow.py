@@ -46,10 +46,10 @@ class PipelineModel:
 class Pipeline:
     """``Pipeline(source, destination, stages)`` with a fluent builder."""
 
-    def __init__(self, source=None, destination=None, stages=None):
+    def __init__(self, source=None, destination=None, stages=None, transformers=None):
         self._source = source
         self._destination = destination
-        self._stages = [_as_stage(s) for s in (stages or [])]
+        self._stages = [_as_stage(s) for s in (stages or transformers or [])]
         self._data: DataFrame | None = None
         self._cached: list[DataFrame] = []
         self.model: PipelineModel | None = None

@@ -157,3 +157,19 @@ def test_quantize_and_planes(spark, sample):
     assert np.allclose(q.quantized, m.codebook[k])
     planes = m.component_planes(spark, original_units=True).collect()
     assert len(planes) == 36 and {p.feature for p in planes} == set(FEATS)
+
+
+def test_reference_style_facades(spark, sample):
+    from featuremap.operators.som import NotTrainedError, SOMAnalyzer, SOMPredictor, SOMTrainer
+
+    df, _ = sample
+    t = SOMTrainer(x=5, y=5, input_len=4, features=FEATS)
+    with pytest.raises(NotTrainedError):
+        SOMAnalyzer(t)
+    t.fit(df, epochs=5)
+    m = SOMAnalyzer(t).get_metrics(df)
+    assert set(m) == {"qe", "te", "nodes_used", "total_nodes", "coverage", "max_hits", "mean_hits"}
+    assert SOMAnalyzer(t).node_distribution(df).agg(F.sum("hits")).first()[0] == 100
+    p = SOMPredictor(t)
+    assert p.predict(df).count() == 100 and t.get_weights().count() == 25
+    assert p.get_node_data((0, 0), df).count() >= 0
