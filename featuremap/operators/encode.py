@@ -12,6 +12,7 @@ from __future__ import annotations
 import warnings
 
 import pandas as pd
+from pyspark import StorageLevel
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -300,40 +301,54 @@ class TargetEncoder(Estimator):
         cols = [c for c in resolve_columns(df, self.columns, categorical_columns)
                 if c != self.target]
         y = F.col(self.target).cast("double")
-        g = df.agg(F.avg(y).alias("g"), F.count_if(y.isNull()).alias("nulls")).first()
-        if g["nulls"]:
-            warnings.warn(f"{g['nulls']} NULL targets ignored by TargetEncoder")
-        gmean = g["g"]
-        st = (_stack(df, cols, {"y": y}).where(F.col("value").isNotNull())
-              .groupBy("col", "value")
-              .agg(F.avg("y").alias("m"), F.count("y").alias("n")))
-        s = F.lit(self.smoothing)
-        gl = F.lit(gmean).cast("double")
-        enc = (F.when((F.col("n") == 0) | (F.col("n") < F.lit(self.min_samples)), gl)
-               .otherwise((F.col("n") * F.col("m") + s * gl) / (F.col("n") + s)))
-        table = st.select("col", "value", enc.alias("enc"))
+        if not cols:
+            return TargetModel({}, df.agg(F.avg(y)).first()[0], self.handle_unknown)
+        # one pass: per (column, value) target sum, target count and row count;
+        # NULL values form their own group, so the groups of any one column
+        # also give the global mean and the number of NULL targets
+        st = (_stack(df, cols, {"y": y}).groupBy("col", "value")
+              .agg(F.sum("y").alias("sy"), F.count("y").alias("n"),
+                   F.count(F.lit(1)).alias("rows"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+        cap = self.collect_limit * len(cols) + len(cols)
+        first = st.limit(cap + 1).collect()
+        if len(first) <= cap:
+            st.unpersist()
+            tot = [r for r in first if r["col"] == cols[0]]
+        else:
+            tot = st.where(F.col("col") == cols[0]).agg(
+                F.sum("sy").alias("sy"), F.sum("n").alias("n"), F.sum("rows").alias("rows")).collect()
+        t_sy = sum(r["sy"] or 0.0 for r in tot)
+        t_n = sum(r["n"] for r in tot)
+        gmean = t_sy / t_n if t_n else None
+        nulls = sum(r["rows"] for r in tot) - t_n
+        if nulls:
+            warnings.warn(f"{nulls} NULL targets ignored by TargetEncoder")
+        sm = self.smoothing
+
+        def encode(n, sy):
+            if n == 0 or n < self.min_samples:
+                return gmean
+            return (n * (sy / n) + sm * gmean) / (n + sm)
+
         maps = {}
-        cap = self.collect_limit * len(cols)
-        first = table.limit(cap + 1).collect() if cap > 0 else None
-        if first is not None and len(first) <= cap:
+        if len(first) <= cap:
             got_all: dict[str, dict] = {c: {} for c in cols}
             for r in first:
-                got_all[r["col"]][r["value"]] = r["enc"]
+                if r["value"] is not None:
+                    got_all[r["col"]][r["value"]] = encode(r["n"], r["sy"])
             for c in cols:
                 maps[c] = _Mapping(c, small=got_all[c], size=len(got_all[c]))
             return TargetModel(maps, gmean, self.handle_unknown)
+        gl = F.lit(gmean).cast("double")
+        n_, m_ = F.col("n"), F.col("sy") / F.col("n")
+        enc = (F.when((n_ == 0) | (n_ < F.lit(self.min_samples)), gl)
+               .otherwise((n_ * m_ + F.lit(sm) * gl) / (n_ + F.lit(sm))))
+        table = st.where(F.col("value").isNotNull()).select("col", "value", enc.alias("enc"))
         counts = _distinct_counts(table)
-        small_cols = [c for c in cols if counts.get(c, (0, 0))[0] <= self.collect_limit]
-        if small_cols:
-            got: dict[str, dict] = {c: {} for c in small_cols}
-            for r in table.where(F.col("col").isin(small_cols)).collect():
-                got[r["col"]][r["value"]] = r["enc"]
-            for c in small_cols:
-                maps[c] = _Mapping(c, small=got[c], size=len(got[c]))
         for c in cols:
-            if c not in maps:
-                maps[c] = _Mapping(c, table=table.where(F.col("col") == c).select("value", "enc"),
-                                   size=counts[c][0], nbytes=counts[c][1])
+            maps[c] = _Mapping(c, table=table.where(F.col("col") == c).select("value", "enc"),
+                               size=counts.get(c, (0, 0))[0], nbytes=counts.get(c, (0, 0))[1])
         return TargetModel(maps, gmean, self.handle_unknown)
 
 

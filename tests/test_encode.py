@@ -138,3 +138,12 @@ def test_md5_bucket_fold(spark):
     df = spark.createDataFrame([(str(i),) for i in range(300)], ["s"])
     got = [r[0] for r in df.select(md5_bucket(F.col("s"), 97)).collect()]
     assert got == [int(hashlib.md5(str(i).encode()).hexdigest(), 16) % 97 for i in range(300)]
+
+
+def test_target_large_mapping_path_equals_small(spark):
+    vals = [f"k{i % 23}" for i in range(400)]
+    df = frame(spark, c=vals, d=[v[::-1] + "x" for v in vals], y=[float(i % 7) for i in range(400)])
+    a = TargetEncoder(["c", "d"], target="y", smoothing=2.0).fit(df).transform(df)
+    b = TargetEncoder(["c", "d"], target="y", smoothing=2.0, collect_limit=0).fit(df).transform(df)
+    ra, rb = rows(a, "c", "d"), rows(b, "c", "d")
+    assert all(x == pytest.approx(y) for p, q in zip(ra, rb) for x, y in zip(p, q))
