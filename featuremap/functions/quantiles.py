@@ -58,12 +58,15 @@ def _in_bracket(x: Column, t: _Task) -> Column:
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     exact: bool = True, accuracy: int = 10_000,
                     max_collect: int = 100_000,
-                    stats: dict | None = None) -> dict[tuple[str, float], float | None]:
+                    stats: dict | None = None,
+                    extra: list[Column] | None = None) -> dict[tuple[str, float], float | None]:
     """Quantiles of every column at every fraction; NULL/NaN ignored.
 
     Returns ``{(column, p): value}``; value is ``None`` for an all-null column.
     With ``exact=False`` a single ``percentile_approx`` aggregate is used.
-    ``stats``, when given, receives the total row count as ``stats["rows"]``.
+    ``stats``, when given, receives the total row count as ``stats["rows"]``
+    and, for ``extra`` aggregate columns computed in the same first pass,
+    their result row as ``stats["extra"]``.
     """
     if not columns:
         if stats is not None:
@@ -71,11 +74,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
         return {}
     xs = {c: as_double(df, c) for c in columns}
     if not exact:
-        row = df.agg(F.count(F.lit(1)).alias("__rows"),
+        row = df.agg(F.count(F.lit(1)).alias("__rows"), *(extra or []),
                      *[F.percentile_approx(xs[c], list(probs), accuracy).alias(f"q{i}")
                        for i, c in enumerate(columns)]).first()
         if stats is not None:
-            stats["rows"] = row["__rows"]
+            stats["rows"], stats["extra"] = row["__rows"], row
         return {(c, p): (row[f"q{i}"][j] if row[f"q{i}"] is not None else None)
                 for i, c in enumerate(columns) for j, p in enumerate(probs)}
 
@@ -83,7 +86,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     margin = 2.0 / accuracy
 
     # pass 1: counts and a first bracket from the sketch
-    aggs = [F.count(F.lit(1)).alias("__rows")]
+    aggs = [F.count(F.lit(1)).alias("__rows")] + list(extra or [])
     aggs += [F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(columns)]
     # one sketch per column serves all of its fractions
     wanted: dict[str, list[float]] = {c: [] for c in columns}
@@ -94,6 +97,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     row = df.agg(*aggs).first()
     if stats is not None:
         stats["rows"] = row["__rows"]
+        stats["extra"] = row
     for k, t in enumerate(tasks):
         t.n = row[f"n{columns.index(t.col)}"]
         if t.n == 0:

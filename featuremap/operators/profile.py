@@ -44,17 +44,19 @@ def describe(df: DataFrame, columns: list[str] | None = None, decimals: int | No
     aggs = []
     for i, c in enumerate(cols):
         x = as_double(df, c)
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
-                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}")]
-    row = df.agg(*aggs).first() if cols else None
-    qs = exact_quantiles(df, cols, [0.25, 0.5, 0.75], exact=exact)
+        aggs += [F.count(x).alias(f"d_n{i}"), F.avg(x).alias(f"d_m{i}"),
+                 F.stddev_samp(x).alias(f"d_s{i}"), F.min(x).alias(f"d_lo{i}"),
+                 F.max(x).alias(f"d_hi{i}")]
+    seen: dict = {}
+    # the moments ride along in the first quantile pass: one scan for both
+    qs = exact_quantiles(df, cols, [0.25, 0.5, 0.75], exact=exact, stats=seen, extra=aggs)
+    row = seen.get("extra")
 
     def r(v):
         return None if v is None else (round(v, decimals) if decimals is not None else float(v))
 
-    rows = [(c, int(row[f"n{i}"]), r(row[f"m{i}"]), r(row[f"s{i}"]), r(row[f"lo{i}"]),
-             r(qs[(c, 0.25)]), r(qs[(c, 0.5)]), r(qs[(c, 0.75)]), r(row[f"hi{i}"]))
+    rows = [(c, int(row[f"d_n{i}"]), r(row[f"d_m{i}"]), r(row[f"d_s{i}"]), r(row[f"d_lo{i}"]),
+             r(qs[(c, 0.25)]), r(qs[(c, 0.5)]), r(qs[(c, 0.75)]), r(row[f"d_hi{i}"]))
             for i, c in enumerate(cols)]
     schema = T.StructType([T.StructField("column", T.StringType()),
                            T.StructField("count", T.LongType())] +
