@@ -5,7 +5,7 @@ lazy aggregate or join; grid-sized sides (x*y rows) are broadcast."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Quality bands used by the reference's tutorial report.
@@ -51,23 +51,24 @@ def hits(scored: DataFrame, x: int, y: int) -> DataFrame:
 def metrics(scored: DataFrame, x: int, y: int) -> DataFrame:
     """One row: qe, te, nodes_used, total_nodes, coverage, max_hits, mean_hits.
 
-    Two aggregates over the scored rows (the per-neuron one is partial per
-    partition) joined as one-row tables.
+    Two stacked aggregates, no join: per neuron (partial per partition, at
+    most x*y groups) the hits and the sums of distance and of topographic
+    faults, then one row from those.
     """
     valid = scored.where(F.col("neuron_x").isNotNull())
     bad = (chebyshev(F.col("neuron_x"), F.col("neuron_y"),
-                     F.col("neuron2_x"), F.col("neuron2_y")) > 1).cast("int")
-    a = valid.agg(F.avg("distance").alias("qe"), F.avg(bad).cast("double").alias("te"))
-    per = valid.groupBy("neuron_x", "neuron_y").agg(F.count(F.lit(1)).alias("h"))
-    b = per.agg(F.count(F.lit(1)).alias("nodes_used"), F.max("h").alias("max_hits"),
-                F.avg("h").alias("mean_hits"))
+                     F.col("neuron2_x"), F.col("neuron2_y")) > 1).cast("long")
+    per = valid.groupBy("neuron_x", "neuron_y").agg(
+        F.count(F.lit(1)).alias("h"), F.sum("distance").alias("sd"), F.sum(bad).alias("sb"))
     total = x * y
-    return (a.crossJoin(b).select(
-        "qe", "te", F.col("nodes_used").cast("bigint").alias("nodes_used"),
+    return per.agg(
+        (F.sum("sd") / F.sum("h")).alias("qe"),
+        (F.sum("sb") / F.sum("h")).cast("double").alias("te"),
+        F.count(F.lit(1)).cast("bigint").alias("nodes_used"),
         F.lit(total).cast("bigint").alias("total_nodes"),
-        (F.col("nodes_used") / F.lit(float(total))).alias("coverage"),
-        F.col("max_hits").cast("bigint").alias("max_hits"),
-        F.col("mean_hits").cast("double").alias("mean_hits")))
+        (F.count(F.lit(1)) / F.lit(float(total))).alias("coverage"),
+        F.max("h").cast("bigint").alias("max_hits"),
+        F.avg("h").cast("double").alias("mean_hits"))
 
 
 def _bands(c: Column, bands, default: str) -> Column:
@@ -131,26 +132,40 @@ def density_with_bmu(scored: DataFrame, x: int, y: int, sample: DataFrame) -> Da
             .withColumn("is_bmu", F.coalesce("is_bmu", F.lit(False))))
 
 
+# the 8-neighbourhood as coordinate offsets (Chebyshev distance 1)
+_OFFSETS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1) if (dx, dy) != (0, 0)]
+
+
+def _with_neighbours(grid_df: DataFrame) -> DataFrame:
+    """Each neuron once per existing-or-not neighbour coordinate (8 rows)."""
+    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _OFFSETS])
+    return (grid_df.select("*", F.explode(offs).alias("__o"))
+            .withColumn("nb_x", F.col("neuron_x") + F.col("__o.dx"))
+            .withColumn("nb_y", F.col("neuron_y") + F.col("__o.dy")).drop("__o"))
+
+
+def _over_grid():
+    # a window over a grid-sized table (x*y rows, a fixed bound)
+    return Window.partitionBy()
+
+
 def umatrix(codebook: DataFrame) -> DataFrame:
     """Distances to the 8-neighbours of every neuron (M19): sum, mean over the
-    neighbours that exist (D27), and sum divided by its maximum (D16)."""
-    a = codebook.alias("a")
-    b = codebook.alias("b")
-    cond = ((F.abs(F.col("a.neuron_x") - F.col("b.neuron_x")) <= 1)
-            & (F.abs(F.col("a.neuron_y") - F.col("b.neuron_y")) <= 1)
-            & ~((F.col("a.neuron_x") == F.col("b.neuron_x"))
-                & (F.col("a.neuron_y") == F.col("b.neuron_y"))))
-    sq = F.aggregate(F.zip_with(F.col("a.weights"), F.col("b.weights"),
-                                lambda p, q: (p - q) * (p - q)),
+    neighbours that exist (D27), and sum divided by its maximum (D16).
+
+    Neighbours are found by an equi-join on the 8 offset coordinates, so each
+    neuron meets only its adjacent neurons; both sides have x*y rows.
+    """
+    a = _with_neighbours(codebook.withColumnRenamed("weights", "wa"))
+    b = codebook.select(F.col("neuron_x").alias("bx"), F.col("neuron_y").alias("by"),
+                        F.col("weights").alias("wb"))
+    sq = F.aggregate(F.zip_with("wa", "wb", lambda p, q: (p - q) * (p - q)),
                      F.lit(0.0).cast("double"), lambda acc, v: acc + v)
-    pairs = a.join(F.broadcast(b), cond).select(
-        F.col("a.neuron_x").alias("neuron_x"), F.col("a.neuron_y").alias("neuron_y"),
-        F.sqrt(sq).alias("d"))
+    pairs = (a.join(F.broadcast(b), (F.col("nb_x") == F.col("bx")) & (F.col("nb_y") == F.col("by")))
+             .select("neuron_x", "neuron_y", F.sqrt(sq).alias("d")))
     u = pairs.groupBy("neuron_x", "neuron_y").agg(F.sum("d").alias("u_sum"),
                                                    F.avg("d").alias("u_mean"))
-    mx = u.agg(F.max("u_sum").alias("__mx"))
-    return (u.crossJoin(F.broadcast(mx))
-            .withColumn("u_scaled", F.col("u_sum") / F.col("__mx")).drop("__mx"))
+    return u.withColumn("u_scaled", F.col("u_sum") / F.max("u_sum").over(_over_grid()))
 
 
 def boundaries(u: DataFrame, threshold: float | None = None) -> DataFrame:
@@ -160,20 +175,16 @@ def boundaries(u: DataFrame, threshold: float | None = None) -> DataFrame:
     Returns ``neuron_x, neuron_y, u_mean, is_boundary, n_edges``.
     """
     if threshold is None:
-        t = u.agg((F.avg("u_mean") + F.stddev_pop("u_mean")).alias("__t"))
+        t = F.avg("u_mean").over(_over_grid()) + F.stddev_pop("u_mean").over(_over_grid())
     else:
-        t = u.sparkSession.range(1).select(F.lit(float(threshold)).alias("__t"))
-    flagged = (u.crossJoin(F.broadcast(t))
-               .withColumn("is_boundary", F.col("u_mean") > F.col("__t")).drop("__t"))
-    a, b = flagged.alias("a"), flagged.alias("b")
-    cond = ((F.abs(F.col("a.neuron_x") - F.col("b.neuron_x")) <= 1)
-            & (F.abs(F.col("a.neuron_y") - F.col("b.neuron_y")) <= 1)
-            & ~((F.col("a.neuron_x") == F.col("b.neuron_x"))
-                & (F.col("a.neuron_y") == F.col("b.neuron_y")))
-            & (F.col("a.is_boundary") != F.col("b.is_boundary")))
-    edges = (a.join(F.broadcast(b), cond)
-             .groupBy(F.col("a.neuron_x").alias("neuron_x"), F.col("a.neuron_y").alias("neuron_y"))
-             .agg(F.count(F.lit(1)).alias("n_edges")))
+        t = F.lit(float(threshold))
+    flagged = u.select("neuron_x", "neuron_y", "u_mean", (F.col("u_mean") > t).alias("is_boundary"))
+    a = _with_neighbours(flagged)
+    b = flagged.select(F.col("neuron_x").alias("bx"), F.col("neuron_y").alias("by"),
+                       F.col("is_boundary").alias("b_boundary"))
+    edges = (a.join(F.broadcast(b), (F.col("nb_x") == F.col("bx")) & (F.col("nb_y") == F.col("by")))
+             .where(F.col("is_boundary") != F.col("b_boundary"))
+             .groupBy("neuron_x", "neuron_y").agg(F.count(F.lit(1)).alias("n_edges")))
     return (flagged.join(edges, ["neuron_x", "neuron_y"], "left")
             .select("neuron_x", "neuron_y", "u_mean", "is_boundary",
                     F.coalesce("n_edges", F.lit(0)).cast("bigint").alias("n_edges")))
