@@ -9,6 +9,7 @@ from collections.abc import Callable, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import as_double, non_numeric_columns, numeric_columns, resolve_columns
 from ..functions.quantiles import exact_quantiles
@@ -93,6 +94,8 @@ class FillModel(Model):
                 continue
             dt = df.schema[c].dataType
             src = as_double(df, c) if self.nan_too else F.col(c)
+            if isinstance(v, float) and not v.is_integer():
+                dt = T.DoubleType()      # a fractional median widens an integer column
             exprs[c] = F.coalesce(src, F.lit(v)).cast(dt)
         return df.withColumns(exprs)
 

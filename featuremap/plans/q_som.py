@@ -210,8 +210,7 @@ um AS (SELECT u.*, u_sum / max(u_sum) OVER () AS u_scaled FROM u)
 """
 
 
-@query("som_umatrix", sql=line_sql() + _U_SQL[2:].join(["", ""]).replace(
-    "pairs AS", ", pairs AS", 0) if False else line_sql().rstrip() + _U_SQL + """
+@query("som_umatrix", sql=line_sql().rstrip() + _U_SQL + """
 SELECT nx AS neuron_x, ny AS neuron_y, round(u_sum, 6) AS u_sum, round(u_mean, 6) AS u_mean,
        round(u_scaled, 6) AS u_scaled FROM um""")
 def som_umatrix(spark, sf):

@@ -46,3 +46,12 @@ def test_share_and_profiles(spark):
     assert d["x"].q50 == 2.5 and d["y"]["count"] == 4 and d["x"].q25 == 1.75
     i = inspect(li).collect()
     assert [r.column_name for r in i] == ["x", "y"] and i[0].n_rows == 4
+
+
+def test_median_fill_widens_integer_column_when_fractional(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,), (3,), (4,)], "a bigint")
+    out = MedianImputer(["a"]).fit(df).transform(df)
+    assert dict(out.dtypes)["a"] == "double"
+    assert sorted(r.a for r in out.collect()) == [1.0, 2.0, 2.5, 3.0, 4.0]
+    df2 = spark.createDataFrame([(1,), (None,), (3,)], "a bigint")
+    assert dict(MedianImputer(["a"]).fit(df2).transform(df2).dtypes)["a"] == "bigint"
