@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import warnings
 
-import pandas as pd
 from pyspark import StorageLevel
 
 from pyspark.sql import Column, DataFrame

@@ -181,7 +181,6 @@ class SOMModel(Model):
     # ---------------------------------------------------------------- persistence
     def save(self, path: str) -> None:
         """Parquet: ``{path}/codebook`` (K rows) and ``{path}/meta`` (one row)."""
-        from ...session import ensure_checkpoint_dir  # noqa: F401
         spark = SparkSession.getActiveSession()
         if spark is None:
             raise SOMError("no active SparkSession")
