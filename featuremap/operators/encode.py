@@ -12,7 +12,6 @@ from __future__ import annotations
 import warnings
 
 from pyspark import StorageLevel
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
