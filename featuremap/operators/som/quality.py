@@ -32,11 +32,22 @@ def quantization_error(scored: DataFrame) -> DataFrame:
     return scored.agg(F.avg("distance").alias("qe"))
 
 
-def topographic_error(scored: DataFrame) -> DataFrame:
-    """Share of rows whose two best units are not 8-neighbours."""
+def topographic_error(scored: DataFrame, sample_rows: int | None = None,
+                      order_by: list[str] | None = None) -> DataFrame:
+    """Share of rows whose two best units are not 8-neighbours.
+
+    All rows by default (D14).  ``sample_rows`` evaluates only the first rows
+    in ``order_by`` order, as the reference's 1000-row shortcut does; the
+    order must be given because Spark rows have no positions.
+    """
     bad = (chebyshev(F.col("neuron_x"), F.col("neuron_y"),
                      F.col("neuron2_x"), F.col("neuron2_y")) > 1).cast("int")
-    return scored.where(F.col("neuron_x").isNotNull()).agg(F.avg(bad).cast("double").alias("te"))
+    rows = scored.where(F.col("neuron_x").isNotNull())
+    if sample_rows is not None:
+        if not order_by:
+            raise ValueError("sample_rows needs order_by")
+        rows = rows.orderBy(*order_by).limit(sample_rows)
+    return rows.agg(F.avg(bad).cast("double").alias("te"))
 
 
 def hits(scored: DataFrame, x: int, y: int) -> DataFrame:

@@ -37,7 +37,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # pragma: no cover - Spark Connect: only the configuration is visible
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="featuremap-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -173,3 +173,15 @@ def test_reference_style_facades(spark, sample):
     p = SOMPredictor(t)
     assert p.predict(df).count() == 100 and t.get_weights().count() == 25
     assert p.get_node_data((0, 0), df).count() >= 0
+
+
+def test_topographic_error_sample(spark, sample):
+    df, _ = sample
+    m = SOM(4, 4, features=FEATS, epochs=3).fit(df)
+    s = m.score(df)
+    full = Q.topographic_error(s).first().te
+    part = Q.topographic_error(s, sample_rows=10, order_by=["id"]).first().te
+    first10 = s.orderBy("id").limit(10).collect()
+    want = sum(max(abs(r.neuron_x - r.neuron2_x), abs(r.neuron_y - r.neuron2_y)) > 1
+               for r in first10) / 10
+    assert part == pytest.approx(want) and 0 <= full <= 1
