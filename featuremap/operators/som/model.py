@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ...errors import DimensionMismatchError, SOMError
+from ...session import ship_package
 from ..base import Model
 from .config import SOMConfig
 from .kernel import best_units
@@ -106,6 +107,7 @@ class SOMModel(Model):
     # ---------------------------------------------------------------- scoring
     def _bmu(self, df: DataFrame, second: bool) -> Column:
         spark = df.sparkSession
+        ship_package(spark)
         bc = share(spark, self.codebook)
         return score_udf(bc, second)(*self.scaled_columns(df))
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ...errors import DimensionMismatchError, InsufficientDataError, SOMError
 from ...functions.columns import numeric_columns
 from ...functions.partitions import spread_persisted
+from ...session import ship_package
 from ..base import Estimator
 from .config import SOMConfig, decay, neighborhood
 from .model import SOMModel, feature_columns, score_udf, share
@@ -169,6 +170,7 @@ def pca_codebook(scaled: DataFrame, zcols: list[str], x: int, y: int) -> np.ndar
 def epoch_statistics(scaled: DataFrame, zcols: list[str], W: np.ndarray):
     """One pass: rows per best unit, feature sums per unit, total distance."""
     spark = scaled.sparkSession
+    ship_package(spark)
     bc = share(spark, W)
     b = score_udf(bc, second=False)(*[F.col(z) for z in zcols])
     rows = (scaled.select(b.alias("b"), *zcols)

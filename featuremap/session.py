@@ -60,3 +60,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"featuremap-{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``featuremap`` importable in the Python workers.
+
+    The Arrow scoring kernel and the workbook data source run in Python
+    workers, which must import this package.  When it is not installed on
+    the executors, the package is zipped once per application and added with
+    ``addPyFile`` (what ``--py-files`` does), so Spark ships it to every
+    executor.
+    """
+    try:
+        sc = spark.sparkContext
+        key = sc.applicationId
+    except Exception:  # pragma: no cover - Spark Connect: install the package on the cluster
+        return
+    if key in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="featuremap-pyfiles-"), "featuremap.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("featuremap", os.path.relpath(full, pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)

@@ -240,6 +240,9 @@ def write_workbook(out: str, sheet: str, names: list[str], rows) -> None:
 
 
 def register(spark: SparkSession) -> None:
+    from ..session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(WorkbookDataSource)
 
 
