@@ -37,7 +37,20 @@ MAX_SHEET_ROWS = 1_048_576
 _N = {"m": NS_MAIN}
 
 
+def local_path(path: str) -> str:
+    """Filesystem path of a ``file:`` URI (workbooks are read and written with
+    Python file I/O, so they need a path every executor mounts)."""
+    if path.startswith("file://"):
+        return path[len("file://"):]
+    if path.startswith("file:"):
+        return path[len("file:"):]
+    if "://" in path:
+        raise SourceError(f"workbooks need a locally mounted shared path, got {path}")
+    return path
+
+
 def _files(path: str) -> list[str]:
+    path = local_path(path)
     if os.path.isdir(path):
         return sorted(glob.glob(os.path.join(path, "*.xlsx")))
     return sorted(glob.glob(path))
@@ -179,7 +192,7 @@ class WorkbookDataSource(DataSource):
         return _Reader(_files(self.options["path"]), self._sheet(), len(schema.fields))
 
     def writer(self, schema, overwrite):
-        return _Writer(self.options["path"], self.options.get("sheet", "Sheet1"),
+        return _Writer(local_path(self.options["path"]), self.options.get("sheet", "Sheet1"),
                        [f.name for f in schema.fields], overwrite)
 
 
