@@ -116,7 +116,11 @@ class SOMStage:
     """The map as a pipeline stage adding ``som_x``, ``som_y``."""
 
     def __init__(self, grid_size: int | tuple[int, int] = 10, epochs: int = 20,
-                 features: list[str] | None = None, **som_kw):
+                 normalize: bool = True, features: list[str] | None = None, **som_kw):
+        # the map always min-max scales with the training bounds (decision D24),
+        # so ``normalize=False`` cannot be honoured
+        if not normalize:
+            raise ValueError("the map always scales its features with the training bounds")
         self.grid = (grid_size, grid_size) if isinstance(grid_size, int) else tuple(grid_size)
         self.epochs, self.features, self.som_kw = epochs, features, som_kw
 
