@@ -4,8 +4,9 @@ Each stage is fitted on the output of the stage before it (P2) and can be
 re-applied to new data through the returned ``PipelineModel`` (P3).  A stage
 is anything with ``fit``/``transform`` (our estimators, ``pyspark.ml``
 stages) or a plain ``DataFrame -> DataFrame`` function (P7).  Because every
-fit is a Spark job, the intermediate result is persisted once before a fit
-that follows other stages, so earlier stages are not recomputed per fit.
+fit is a Spark job, the intermediate result is persisted once, before the
+first fit that follows other stages, so earlier stages are not recomputed per
+fit (one cached copy, released by ``unpersist`` or after ``load_to``).
 """
 
 from __future__ import annotations
@@ -75,10 +76,16 @@ class Pipeline:
         return self._data
 
     def fit(self, df: DataFrame) -> PipelineModel:
+        """Fit every stage on the output of the previous one.
+
+        The input of the first fit that follows another stage is persisted
+        once; later stages are projections or broadcast joins of it, cheap to
+        re-derive, so a single cached copy serves every later fit.
+        """
         models = []
         for i, stage in enumerate(self._stages):
             needs_fit = hasattr(stage, "fit") and not isinstance(stage, Model)
-            if needs_fit and i > 0:
+            if needs_fit and i > 0 and not self._cached:
                 df = df.persist(StorageLevel.MEMORY_AND_DISK)
                 self._cached.append(df)
             m = _fit(stage, df)
