@@ -118,37 +118,48 @@ class LabelEncoder(Estimator):
             if c in self.categories:
                 maps[c] = _Mapping(c, small={str(v): i for i, v in enumerate(self.categories[c])})
         if learn:
-            d = _stack(df, learn).where(F.col("value").isNotNull()).distinct()
+            # the distinct values are kept: the large-cardinality path reads them
+            # again (count, ranking) without rescanning the input
+            d = (_stack(df, learn).where(F.col("value").isNotNull()).distinct()
+                 .persist(StorageLevel.MEMORY_AND_DISK))
             cap = self.collect_limit * len(learn)
             first = d.limit(cap + 1).collect() if cap > 0 else None
-            if first is not None and len(first) <= cap:
-                # everything fits under the bound: one job, no separate count
-                got: dict[str, list] = {c: [] for c in learn}
-                for r in first:
-                    got[r["col"]].append(r["value"])
-                for c in learn:
-                    maps[c] = _Mapping(c, small={v: i for i, v in enumerate(sorted(got[c]))},
-                                       size=len(got[c]))
-                return LabelModel(maps, self.handle_unknown)
-            counts = _distinct_counts(d)
-            small_cols = [c for c in learn if counts.get(c, (0, 0))[0] <= self.collect_limit]
-            big_cols = [c for c in learn if c not in small_cols]
-            if small_cols:
-                got: dict[str, list] = {c: [] for c in small_cols}
-                for r in d.where(F.col("col").isin(small_cols)).collect():
-                    got[r["col"]].append(r["value"])
-                for c in small_cols:
-                    maps[c] = _Mapping(c, small={v: i for i, v in enumerate(sorted(got[c]))},
-                                       size=len(got[c]))
-            if big_cols:
-                total = sum(counts[c][0] for c in big_cols)
-                parts = max(int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                            total // 2_000_000 + 1)      # about 2M distinct values per task
-                idx = sorted_index(d.where(F.col("col").isin(big_cols)), "col", "value", "enc",
-                                   num_partitions=parts)
-                for c in big_cols:
-                    maps[c] = _Mapping(c, table=idx.where(F.col("col") == c).select("value", "enc"),
-                                       size=counts[c][0], nbytes=counts[c][1])
+            if first is None or len(first) > cap:
+                try:
+                    return self._fit_large(d, learn, maps)
+                finally:
+                    d.unpersist()
+            d.unpersist()
+            # everything fits under the bound: one job, no separate count
+            got: dict[str, list] = {c: [] for c in learn}
+            for r in first:
+                got[r["col"]].append(r["value"])
+            for c in learn:
+                maps[c] = _Mapping(c, small={v: i for i, v in enumerate(sorted(got[c]))},
+                                   size=len(got[c]))
+        return LabelModel(maps, self.handle_unknown)
+
+    def _fit_large(self, d: DataFrame, learn: list[str], maps: dict) -> "LabelModel":
+        """Counts first, then small columns collected, large ones ranked."""
+        counts = _distinct_counts(d)
+        small_cols = [c for c in learn if counts.get(c, (0, 0))[0] <= self.collect_limit]
+        big_cols = [c for c in learn if c not in small_cols]
+        if small_cols:
+            got: dict[str, list] = {c: [] for c in small_cols}
+            for r in d.where(F.col("col").isin(small_cols)).collect():
+                got[r["col"]].append(r["value"])
+            for c in small_cols:
+                maps[c] = _Mapping(c, small={v: i for i, v in enumerate(sorted(got[c]))},
+                                   size=len(got[c]))
+        if big_cols:
+            total = sum(counts[c][0] for c in big_cols)
+            parts = max(int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                        total // 2_000_000 + 1)      # about 2M distinct values per task
+            idx = sorted_index(d.where(F.col("col").isin(big_cols)), "col", "value", "enc",
+                               num_partitions=parts)
+            for c in big_cols:
+                maps[c] = _Mapping(c, table=idx.where(F.col("col") == c).select("value", "enc"),
+                                   size=counts[c][0], nbytes=counts[c][1])
         return LabelModel(maps, self.handle_unknown)
 
 
