@@ -178,6 +178,8 @@ def _auto_src_sql():
 
 def _auto_sql():
     from .som_sql import som_ctes
+    # the size rule gives a 15 x 15 map for every table of 900 customers or
+    # more (all scale factors from 0.01 up), so the oracle fixes that size
     side, sigma = default_grid_size(1500)
     return som_ctes(_auto_src_sql(), ["customer_id"], _AUTO_FEATS, side, side, _AUTO_EPOCHS,
                     sigma, 0.5, "gaussian", "asymptotic")
