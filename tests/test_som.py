@@ -185,3 +185,21 @@ def test_topographic_error_sample(spark, sample):
     want = sum(max(abs(r.neuron_x - r.neuron2_x), abs(r.neuron_y - r.neuron2_y)) > 1
                for r in first10) / 10
     assert part == pytest.approx(want) and 0 <= full <= 1
+
+
+def test_screened_kernel_equals_exact_scan():
+    from featuremap.operators.som import kernel as K
+
+    rng = np.random.default_rng(3)
+    for trial in range(12):
+        d, k, n = int(rng.integers(9, 40)), int(rng.integers(2, 80)), int(rng.integers(1, 800))
+        if trial % 2:
+            z, w = rng.integers(0, 3, (n, d)) / 3.0, rng.integers(0, 3, (k, d)) / 3.0
+        else:
+            z, w = rng.random((n, d)), rng.random((k, d))
+        b1, d1, b2 = K.best_units(z, w, second=True)
+        ref = K.squared_distances(z, w)
+        rb = np.argmin(ref, axis=1)
+        assert (b1 == rb).all() and (d1 == np.sqrt(ref[np.arange(n), rb])).all()
+        ref[np.arange(n), rb] = np.inf
+        assert (b2 == np.argmin(ref, axis=1)).all()
