@@ -58,9 +58,9 @@ def score_udf(codebook_bc, second: bool):
         z = np.column_stack([c.to_numpy(dtype=float, na_value=np.nan) for c in cols])
         b1, d1, b2 = best_units(z, codebook_bc.value, second=second)
         return pd.DataFrame({
-            "k": pd.array(np.where(b1 < 0, None, b1), dtype="Int32"),
+            "k": pd.arrays.IntegerArray(b1.astype(np.int32), b1 < 0),
             "dist": d1,
-            "k2": pd.array(np.where(b2 < 0, None, b2), dtype="Int32"),
+            "k2": pd.arrays.IntegerArray(b2.astype(np.int32), b2 < 0),
         })
 
     return F.pandas_udf(score, _SCORE)
