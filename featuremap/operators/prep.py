@@ -143,8 +143,12 @@ def with_share(df: DataFrame, count_col: str = "count", out: str = "percent",
 
 def attach_lookup(df: DataFrame, lookup: DataFrame, key: str,
                   defaults: dict[str, Column] | None = None) -> DataFrame:
-    """Left join to a small constant lookup table; missing keys get defaults."""
-    out = df.join(F.broadcast(lookup), key, "left")
+    """Left join to a constant lookup table; missing keys get defaults.
+
+    No broadcast hint: the lookup's size is not known here, so the planner
+    (and AQE at run time) picks a broadcast only when the table is small.
+    """
+    out = df.join(lookup, key, "left")
     for c, d in (defaults or {}).items():
         out = out.withColumn(c, F.coalesce(F.col(c), d))
     return out
