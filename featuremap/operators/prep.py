@@ -184,10 +184,13 @@ class AutoPrep(Estimator):
                 filled = mode.transform(filled)
             label = LabelEncoder(cat, handle_unknown="warn").fit(filled) if cat else None
             coded = label.transform(filled) if label else filled
-            robust = RobustScaler(kept, exact=self.exact).fit(coded)
+            scaler = RobustScaler(kept, exact=self.exact)
+            robust = scaler.fit(coded)
         finally:
             base.unpersist()
-        return AutoPrepModel(kept, med, mode, label, robust)
+        model = AutoPrepModel(kept, med, mode, label, robust)
+        model.n_rows = getattr(scaler, "n_rows", None)     # rows seen by the last fit
+        return model
 
 
 class AutoPrepModel(Model):
@@ -195,6 +198,7 @@ class AutoPrepModel(Model):
         self.features, self.med, self.mode, self.label, self.robust = (
             features, med, mode, label, robust)
         self.params = dict(robust.params)
+        self.n_rows: int | None = None
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = df

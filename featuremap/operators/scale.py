@@ -158,6 +158,7 @@ class RobustScaler(_Scaler):
         qs = exact_quantiles(df, cols, [0.5, p_lo, p_hi], exact=self.exact,
                              accuracy=self.accuracy, stats=seen)
         require_rows(seen["rows"], "RobustScaler")
+        self.n_rows = seen["rows"]
         return {c: {"median": qs[(c, 0.5)], "q1": qs[(c, p_lo)], "q3": qs[(c, p_hi)]}
                 for c in cols}
 

@@ -191,7 +191,7 @@ def auto_segmentation_df(spark, sf, epochs=_AUTO_EPOCHS, tol=0.0):
         .select("customer_id", *_AUTO_FEATS)
     prep = AutoPrep().fit(base)                          # drops customer_id (id rule)
     feats = prep.transform(base)
-    n = feats.count()
+    n = prep.n_rows if prep.n_rows is not None else feats.count()
     side, sigma = default_grid_size(n)
     model = SOM(side, side, features=prep.features, epochs=epochs, tol=tol, sigma=sigma,
                 learning_rate=0.5, initialization="grid").fit(feats)
