@@ -179,3 +179,11 @@ def test_exact_quantiles_property(spark, vals, max_collect):
     got = exact_quantiles(df, ["a"], probs, accuracy=50, max_collect=max_collect)
     for p in probs:
         assert got[("a", p)] == pytest.approx(float(np.quantile(np.array(vals), p)), rel=1e-12, abs=1e-9)
+
+
+def test_whole_table_zscore_pools_columns(spark):
+    df = frame(spark, a=[0.0, 2.0], b=[4.0, 6.0])
+    out = ZScoreScaler(["a", "b"], whole_table=True).fit(df).transform(df)
+    pooled = np.array([0.0, 2.0, 4.0, 6.0])
+    want = (pooled - pooled.mean()) / pooled.std(ddof=1)
+    assert col(out, "a") + col(out, "b") == pytest.approx(list(want))

@@ -203,3 +203,22 @@ def test_screened_kernel_equals_exact_scan():
         assert (b1 == rb).all() and (d1 == np.sqrt(ref[np.arange(n), rb])).all()
         ref[np.arange(n), rb] = np.inf
         assert (b2 == np.argmin(ref, axis=1)).all()
+
+
+def test_decay_schedules():
+    from featuremap.operators.som import decay
+
+    assert decay(2.0, 0, 10, "asymptotic") == 2.0
+    assert decay(2.0, 5, 10, "asymptotic") == pytest.approx(1.0)
+    assert decay(2.0, 5, 10, "linear") == pytest.approx(1.0)
+    assert decay(2.0, 10, 100, "inverse") == pytest.approx(2.0 * 1 / (1 + 10))
+    assert decay(2.0, 25, 100, "exponential") == pytest.approx(2.0 * np.exp(-1))
+    assert decay(2.0, 7, 10, "none") == 2.0
+
+
+def test_learning_rate_decay_in_history(spark, sample):
+    df, _ = sample
+    m = SOM(3, 3, features=FEATS, epochs=4, tol=0, decay_function="linear",
+            decay_learning_rate=True, learning_rate=0.8).fit(df)
+    lrs = [h[3] for h in m.history]
+    assert lrs == pytest.approx([0.8, 0.6, 0.4, 0.2])
