@@ -187,3 +187,14 @@ def test_whole_table_zscore_pools_columns(spark):
     pooled = np.array([0.0, 2.0, 4.0, 6.0])
     want = (pooled - pooled.mean()) / pooled.std(ddof=1)
     assert col(out, "a") + col(out, "b") == pytest.approx(list(want))
+
+
+def test_all_null_and_single_row_columns(spark):
+    df = spark.createDataFrame([(0, None, 1.0), (1, None, 1.0)], "id int, a double, b double")
+    for est in (MinMaxScaler(["a"]), ZScoreScaler(["a"]), RobustScaler(["a"]),
+                LogTransformer(["a"]), PowerTransformer(["a"])):
+        assert col(est.fit(df).transform(df), "a") == [None, None]
+    one = frame(spark, a=[7.0])
+    assert col(ZScoreScaler(["a"]).fit(one).transform(one), "a") == [None]      # sample std undefined
+    assert col(RobustScaler(["a"]).fit(one).transform(one), "a") == [0.0]
+    assert col(MinMaxScaler(["a"]).fit(one).transform(one), "a") == [0.0]
