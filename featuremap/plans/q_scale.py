@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.power import PowerTransformer
 from ..operators.scale import LogTransformer, MinMaxScaler, RobustScaler, ZScoreScaler
 from .registry import query, table
 
@@ -176,7 +177,6 @@ def fit_params(spark, sf):
 
 
 # ---------------------------------------------------------------- N5 / N6
-from ..operators.power import PowerTransformer  # noqa: E402
 
 L = 3  # decimals kept in lambda-dependent results (lambda is an optimum of a flat curve)
 
