@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import as_double, non_numeric_columns, numeric_columns, resolve_columns
 from ..functions.quantiles import exact_quantiles
-from .base import Estimator, Model, require_rows
+from .base import Estimator, Model
 from .encode import LabelEncoder
 from .scale import RobustScaler
 
@@ -172,7 +172,8 @@ class AutoPrep(Estimator):
         # once (spilling to disk if needed) instead of recomputing its lineage
         base = df.select(*kept).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            require_rows(base.limit(1).count(), "AutoPrep")
+            # empty input is rejected by the robust fit below (one count in its
+            # first pass), so no separate job is spent on it here
             num = numeric_columns(base)
             cat = [c for c in kept if c not in num]
             med = MedianImputer(num, exact=self.exact).fit(base) if num else None

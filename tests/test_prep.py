@@ -55,3 +55,12 @@ def test_median_fill_widens_integer_column_when_fractional(spark):
     assert sorted(r.a for r in out.collect()) == [1.0, 2.0, 2.5, 3.0, 4.0]
     df2 = spark.createDataFrame([(1,), (None,), (3,)], "a bigint")
     assert dict(MedianImputer(["a"]).fit(df2).transform(df2).dtypes)["a"] == "bigint"
+
+
+def test_auto_prep_rejects_empty_input(spark):
+    import pytest
+    from featuremap.errors import TransformerError
+
+    df = spark.createDataFrame([(1.0, "a")], "v double, c string").where("v < 0")
+    with pytest.raises(TransformerError):
+        AutoPrep().fit(df)
