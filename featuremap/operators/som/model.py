@@ -52,7 +52,13 @@ _SCORE = T.StructType([
 
 
 def score_udf(codebook_bc, second: bool):
-    """Arrow UDF: scaled feature columns -> struct(k, dist, k2)."""
+    """Arrow UDF: scaled feature columns -> struct(k, dist, k2).
+
+    Arrow-native where the running Spark offers ``arrow_udf`` (no pandas
+    conversion of the batches), else an Arrow-batched pandas UDF.
+    """
+    if hasattr(F, "arrow_udf"):
+        return _arrow_score_udf(codebook_bc, second)
 
     def score(*cols: pd.Series) -> pd.DataFrame:
         z = np.column_stack([c.to_numpy(dtype=float, na_value=np.nan) for c in cols])
@@ -66,6 +72,22 @@ def score_udf(codebook_bc, second: bool):
     return F.pandas_udf(score, _SCORE)
 
 
+def _arrow_score_udf(codebook_bc, second: bool):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def score(*cols):
+        z = np.column_stack([pc.fill_null(c.cast(pa.float64()), np.nan).to_numpy(zero_copy_only=False)
+                             for c in cols])
+        b1, d1, b2 = best_units(z, codebook_bc.value, second=second)
+        return pa.StructArray.from_arrays(
+            [pa.array(b1.astype(np.int32), mask=b1 < 0), pa.array(d1, from_pandas=True),
+             pa.array(b2.astype(np.int32), mask=b2 < 0)],
+            names=["k", "dist", "k2"])
+
+    return F.arrow_udf(score, _SCORE)
+
+
 class SOMModel(Model):
     def __init__(self, config: SOMConfig, codebook: np.ndarray, mins: np.ndarray,
                  maxs: np.ndarray, features: list[str] | None, vector_col: str | None,
