@@ -39,7 +39,7 @@ def positive_zero_rounding(sql: str) -> str:
                     break
             k += 1
         inner = positive_zero_rounding(sql[j + 6:k])
-        out.append(sql[i:j] + "(round(" + inner + ") + 0.0)")
+        out.append(sql[i:j] + "(" + sql[j:j + 6] + inner + ") + 0.0)")
         i = k + 1
 
 
