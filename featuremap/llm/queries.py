@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from featuremap.llm import quality_ledger
+from featuremap.llm import line_dedup, quality_ledger
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,3 +77,27 @@ def op9_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ledger.apply_policy(book, "v1").selectExpr(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "fail_bits", f"(fail_bits & {base}) <> 0 AS base_failed", "kept")
+
+
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+LINES_SQL = f"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+p AS (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM s),
+x AS (SELECT doc_id, i, l[i] AS line, {_LOWER.format(f"trim(l[i], {_SPACES})")} AS k FROM p),
+o AS (SELECT k, min(doc_id) AS owner FROM x WHERE length(k) >= 10
+      GROUP BY k HAVING count(DISTINCT doc_id) >= 2),
+f AS (SELECT x.doc_id, i, line, owner IS NOT NULL AND owner <> x.doc_id AS gone
+      FROM x LEFT JOIN o ON x.k = o.k)
+SELECT doc_id, count(*)::BIGINT AS n_lines, sum(gone::BIGINT)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), ''))
+         AS kept_sha256
+FROM f GROUP BY doc_id
+"""
+
+
+@_query("op7_line_dedup", LINES_SQL)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, report=True).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
