@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremap.llm import line_dedup, quality_ledger
+from featuremap.llm import decontaminate, line_dedup, quality_ledger
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +101,32 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs, report=True).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+WINNOW_SQL = f"""
+WITH dw AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")},
+              '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+bw AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")},
+              '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+bp AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM bw WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS g FROM bp),
+lens AS (SELECT DISTINCT len(g) AS n FROM win),
+dp AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, lens WHERE len(w) >= n),
+h AS (SELECT doc_id, i, n, item_id FROM dp JOIN win ON list_slice(w, i, i + n - 1) = g),
+c AS (SELECT doc_id, count(DISTINCT x) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + n)) AS x FROM (SELECT DISTINCT doc_id, i, n FROM h))
+      GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM h) GROUP BY doc_id)
+SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN c ON dw.doc_id = c.doc_id LEFT JOIN t ON dw.doc_id = t.doc_id
+"""
+
+
+@_query("op1_decontaminate", WINNOW_SQL)
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.hits(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.report(found).withColumnRenamed("id", "doc_id")
