@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremap.llm import decontaminate, line_dedup, quality_ledger
+from featuremap.llm import byte_bpe, decontaminate, line_dedup, quality_ledger
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -130,3 +131,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.hits(docs, table(spark, sf_dir, "benchmark"))
     return decontaminate.report(found).withColumnRenamed("id", "doc_id")
+
+
+@_query("op10_byte_bpe")
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = byte_bpe.encode(docs, path).select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"))
+    return byte_bpe.decode(coded, path, digest=True).drop("ids")
