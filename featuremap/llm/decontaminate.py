@@ -33,12 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featuremap.llm import _bloom
 from featuremap.llm._words import ALNUM, Words, mix, slices, words
 from featuremap.session import scratch_path, ship_package
 
 WINDOW = 10
-#: Bloom filter: bits per fingerprint, and the size no benchmark makes it exceed
-BLOOM_BITS, BLOOM_MAX_BITS, BLOOM_HASHES = 16, 1 << 26, 4
 #: benchmark windows are broadcast up to this size, counted before the join
 BROADCAST_BYTES = 8 << 20
 
@@ -89,33 +88,6 @@ def bench_windows(benchmark: DataFrame, id: str = "item_id", text: str = "text",
             .groupBy("length", "print", "words").agg(F.collect_set("item").alias("items")))
 
 
-def _bloom_at(prints: np.ndarray, bits: int) -> np.ndarray:
-    a = mix(prints)
-    b = mix(a ^ np.uint64(0x5851F42D4C957F2D)) | np.uint64(1)
-    return np.stack([(a + np.uint64(i) * b) & np.uint64(bits - 1) for i in range(BLOOM_HASHES)])
-
-
-def _bloom(windows: DataFrame, n: int) -> np.ndarray:
-    """Bit array of the fingerprints; the words of the array are united by Spark
-    and at most BLOOM_MAX_BITS / 64 of them come to the driver."""
-    bits = 1 << min(max(n * BLOOM_BITS - 1, 1023).bit_length(), BLOOM_MAX_BITS.bit_length() - 1)
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = _bloom_at(batch.column("print").to_numpy().view("u8"), bits).ravel()
-            word, index = np.unique(at >> np.uint64(6), return_inverse=True)
-            value = np.zeros(len(word), np.uint64)
-            np.bitwise_or.at(value, index, np.uint64(1) << (at & np.uint64(63)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(word.view("i8")), pa.array(value.view("i8"))], names=["at", "value"])
-
-    out = np.zeros(bits // 64, np.int64)
-    rows = (windows.select("print").mapInArrow(places, "at long, value long")
-            .groupBy("at").agg(F.bit_or("value").alias("value")).toArrow())
-    out[rows.column("at").to_numpy()] = rows.column("value").to_numpy()
-    return out.view("u8")
-
-
 def _candidates(lengths: list[int], bloom):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bloom.value
@@ -137,9 +109,7 @@ def _extend(part: pa.RecordBatch, lengths: list[int], table: np.ndarray) -> pa.R
         start, prints = _selected(w, n)
         if not len(start):
             continue
-        ok = np.ones(len(prints), bool)
-        for place in _bloom_at(prints, len(table) * 64):
-            ok &= (table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+        ok = _bloom.test(table, prints)
         start, prints = start[ok], prints[ok]
         owner = np.searchsorted(w.first, start, side="right") - 1
         doc.append(owner)
@@ -171,7 +141,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str =
         F.count("*").alias("n"),
         F.sum(F.octet_length("words") + F.size("items") * 40 + 64).alias("bytes"),
         F.collect_set("length").alias("lengths")).first()       # at most ``window`` lengths
-    bloom = spark.sparkContext.broadcast(_bloom(windows, size["n"]))
+    bloom = spark.sparkContext.broadcast(_bloom.build(windows, "print", size["n"]))
     if (size["bytes"] or 0) <= BROADCAST_BYTES:
         windows = F.broadcast(windows)
     kind = docs.schema[id].dataType.simpleString()

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremap.llm import byte_bpe, decontaminate, line_dedup, quality_ledger
+from featuremap.llm import byte_bpe, decontaminate, line_dedup, ngram_join, quality_ledger
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -141,3 +141,30 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"))
     return byte_bpe.decode(coded, path, digest=True).drop("ids")
+
+
+JACCARD_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")},
+         '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, list_slice(w, i, i + 4) AS g FROM p),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+          FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+      WHERE 100 * k >= 80 * (x.n + y.n - k)),
+both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents
+      UNION SELECT r.a, t.b FROM r JOIN both_ways t ON r.b = t.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN c ON c.a = w.doc_id
+"""
+
+
+@_query("op8_ngram_jaccard", JACCARD_SQL)
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.links(docs).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id")
