@@ -12,7 +12,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremap.llm import byte_bpe, decontaminate, line_dedup, ngram_join, quality_ledger
+from featuremap.llm import (
+    byte_bpe,
+    decontaminate,
+    line_dedup,
+    ngram_join,
+    quality_ledger,
+    token_files,
+)
+from featuremap.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -168,3 +176,14 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.links(docs).select(
         F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@_query("op3_token_files")
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path,
+                      public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    keys = token_files.directory(spark, path).select("id", "rep")
+    return token_files.lookup(spark, path, keys, digest=True).select(
+        F.col("id").alias("doc_id"), "start", F.col("n").alias("n_tokens"),
+        F.col("value").alias("ids_crc32"))
