@@ -16,6 +16,7 @@ from featuremap.llm import (
     byte_bpe,
     chat_format,
     decontaminate,
+    html_text,
     line_dedup,
     ngram_join,
     quality_ledger,
@@ -246,3 +247,9 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(spoken, 256).alias("turns_sha256"), F.length("said").cast("long").alias("loss_chars"),
         F.sha2("said", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@_query("op6_html_text")
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_text.extract(table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
