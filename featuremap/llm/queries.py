@@ -18,6 +18,7 @@ from featuremap.llm import (
     decontaminate,
     html_text,
     line_dedup,
+    lm_score,
     ngram_join,
     quality_ledger,
     token_files,
@@ -253,3 +254,49 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html_text.extract(table(spark, sf_dir, "pages"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+LM_SQL = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")},
+             '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+p AS (SELECT doc_id, w, len(w) AS n, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT doc_id, i, n, list_slice(w, i, i) AS g1,
+             CASE WHEN i > 1 THEN list_slice(w, i - 1, i) END AS g2,
+             CASE WHEN i > 2 THEN list_slice(w, i - 2, i) END AS g3,
+             CASE WHEN i > 1 THEN list_slice(w, i - 1, i - 1) END AS x1,
+             CASE WHEN i > 2 THEN list_slice(w, i - 2, i - 1) END AS x2 FROM p),
+c AS (SELECT g, sum(k) AS k FROM (
+        SELECT g1 AS g, count(*) AS k FROM g GROUP BY 1 UNION ALL
+        SELECT g2, count(*) FROM g WHERE i > 1 GROUP BY 1 UNION ALL
+        SELECT g3, count(*) FROM g WHERE i > 2 GROUP BY 1) GROUP BY g),
+o AS (SELECT doc_id, g, sum(k) AS k FROM (
+        SELECT doc_id, g1 AS g, count(*) AS k FROM g GROUP BY 1, 2 UNION ALL
+        SELECT doc_id, g2, count(*) FROM g WHERE i > 1 GROUP BY 1, 2 UNION ALL
+        SELECT doc_id, g3, count(*) FROM g WHERE i > 2 GROUP BY 1, 2) GROUP BY doc_id, g),
+e AS (SELECT doc_id, o.g, c.k - o.k AS k FROM o JOIN c ON o.g = c.g),
+t AS (SELECT count(*) AS n FROM p),
+s AS (
+  SELECT g.doc_id, CASE WHEN e3.k > 0 THEN 3 WHEN e2.k > 0 THEN 2 WHEN e1.k > 0 THEN 1 ELSE 0 END AS l,
+         CASE WHEN e3.k > 0 THEN ln(e3.k / f2.k)
+              WHEN e2.k > 0 THEN ln(e2.k / f1.k) + CASE WHEN i > 2 THEN ln(0.4) ELSE 0 END
+              ELSE ln(greatest(e1.k, 1) / greatest(t.n - g.n, 1)) + least(i - 1, 2) * ln(0.4) END AS s
+  FROM g CROSS JOIN t
+  JOIN e e1 ON e1.doc_id = g.doc_id AND e1.g = g1
+  LEFT JOIN e e2 ON e2.doc_id = g.doc_id AND e2.g = g2
+  LEFT JOIN e e3 ON e3.doc_id = g.doc_id AND e3.g = g3
+  LEFT JOIN e f1 ON f1.doc_id = g.doc_id AND f1.g = x1
+  LEFT JOIN e f2 ON f2.doc_id = g.doc_id AND f2.g = x2),
+a AS (SELECT doc_id, sum(s) AS log_score, count(*) FILTER (WHERE l = 0) AS n0,
+             count(*) FILTER (WHERE l = 1) AS n1, count(*) FILTER (WHERE l = 2) AS n2,
+             count(*) FILTER (WHERE l = 3) AS n3 FROM s GROUP BY doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, round(coalesce(log_score, 0.0), 4) + 0.0 AS log_score,
+       coalesce(n0, 0)::BIGINT AS n_order_0, coalesce(n1, 0)::BIGINT AS n_order_1,
+       coalesce(n2, 0)::BIGINT AS n_order_2, coalesce(n3, 0)::BIGINT AS n_order_3
+FROM w LEFT JOIN a ON w.doc_id = a.doc_id
+"""
+
+
+@_query("op2_lm_score", LM_SQL)
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.score(docs).withColumn("log_score", F.round("log_score", 4) + F.lit(0.0))
