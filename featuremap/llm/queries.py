@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremap.llm import (
     byte_bpe,
     chat_format,
     decontaminate,
+    edit_counts,
     html_text,
     line_dedup,
     lm_score,
@@ -300,3 +301,30 @@ FROM w LEFT JOIN a ON w.doc_id = a.doc_id
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lm_score.score(docs).withColumn("log_score", F.round("log_score", 4) + F.lit(0.0))
+
+
+def document_edits() -> Column:
+    """Three edits of a document, as a cleaning step makes them: its source as a
+    heading, 17 characters in the middle cut out, its language as a last line."""
+    head = F.concat(F.lit("["), F.coalesce("source", F.lit("?")), F.lit("] "))
+    size = F.length(F.coalesce("text", F.lit(""))) + F.length(head)
+    middle = F.floor(size / 2).cast("int")
+    gone = F.least(size - middle, F.lit(17))
+    one = lambda a, b, t: F.struct(
+        F.lit(a).cast("int").alias("start") if isinstance(a, int) else a.cast("int").alias("start"),
+        F.lit(b).cast("int").alias("end") if isinstance(b, int) else b.cast("int").alias("end"),
+        t.alias("text"))
+    last = F.concat(F.lit("\n"), F.coalesce("lang", F.lit("?")))
+    return F.array(one(0, 0, head), one(middle, middle + gone, F.lit("")),
+                   one(size - gone, size - gone, last))
+
+
+@_query("op4_edit_counts")
+def op4_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", document_edits().alias("edits"))
+    counted = edit_counts.build(docs, path).withColumn("n_tokens_before", F.col("n_tokens"))
+    return edit_counts.edit(counted, path).select(
+        "doc_id", "n_tokens_before", "n_tokens", "n_chars_encoded",
+        F.sha2("text", 256).alias("text_sha256"))
