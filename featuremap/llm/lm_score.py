@@ -30,11 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremap.llm import _blocks
+from featuremap.llm._packed import edges, pack, unpack
 from featuremap.llm._words import ALNUM, Words, mix, slices, words
 from featuremap.session import ship_package
 
@@ -43,20 +43,6 @@ ORDER = 3
 SHARD_KEYS = 700_000
 
 
-def _pack(values: np.ndarray, sorted_: bool = False) -> bytes:
-    """Integers as byte planes (of their differences if sorted), compressed."""
-    if sorted_ and len(values):
-        values = np.concatenate([values[:1], np.diff(values)])
-    planes = np.ascontiguousarray(values.astype("<u8").view("u1").reshape(-1, 8).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def _unpack(data: bytes, sorted_: bool = False) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "u1").reshape(8, -1)
-    values = np.ascontiguousarray(planes.T).view("<u8").ravel()
-    return np.cumsum(values, dtype=np.uint64) if sorted_ else values
-
-
 def _grams(w: Words, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all n-grams of this order inside a text, and the words they end with."""
     grams = mix(w.hash) if order == 1 else w.ngrams(order)
@@ -64,13 +50,6 @@ def _grams(w: Words, order: int) -> tuple[np.ndarray, np.ndarray]:
     return grams[inside], inside + order - 1
 
 
-def _edges(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Where sorted keys pass from one shard to the next; a shard is a range of hashes."""
-    step = (1 << 64) // shards + 1
-    limits = np.array([i * step for i in range(1, shards)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(keys, limits), [len(keys)]])
-
-
 _REQUEST = "block int, part long, keys binary, counts binary"
 
 
@@ -81,10 +60,10 @@ def _request(order: int, shards: int):
         rows = []
         for n in range(1, order + 1):
             keys, counts = np.unique(_grams(w, n)[0], return_counts=True)
-            at = _edges(keys, shards)
+            at = edges(keys, shards)
             for s in np.flatnonzero(np.diff(at)).tolist():
                 lo, hi = at[s], at[s + 1]
-                rows.append((n * shards + s, _pack(keys[lo:hi], True), _pack(counts[lo:hi])))
+                rows.append((n * shards + s, pack(keys[lo:hi], True), pack(counts[lo:hi])))
         part, keys, counts = zip(*rows, strict=True) if rows else ((), (), ())
         return pa.table({"block": pa.array([block] * len(rows), pa.int32()),
                          "part": pa.array(part, pa.int64()), "keys": pa.array(keys, pa.binary()),
@@ -95,21 +74,21 @@ def _request(order: int, shards: int):
 
 def _total(table: pa.Table) -> pa.Table:
     """Totals of all n-grams of a shard, for each block in the order of its keys."""
-    keys = [_unpack(k, True) for k in table.column("keys").to_pylist()]
-    counts = [_unpack(c) for c in table.column("counts").to_pylist()]
+    keys = [unpack(k, True) for k in table.column("keys").to_pylist()]
+    counts = [unpack(c) for c in table.column("counts").to_pylist()]
     every, index = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.zeros(len(every), np.uint64)
     np.add.at(total, index, np.concatenate(counts))
     at = np.cumsum([len(k) for k in keys])[:-1]
     return pa.table({"block": table.column("block"), "part": table.column("part"),
-                     "totals": pa.array([_pack(t) for t in np.split(total[index], at)], pa.binary())})
+                     "totals": pa.array([pack(t) for t in np.split(total[index], at)], pa.binary())})
 
 
 def _finish(order: int, alpha: float, total_words: int):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         w = words(docs.column("text").combine_chunks(), ALNUM)
         replies = replies.sort_by("part")
-        totals = [_unpack(t) for t in replies.column("totals").to_pylist()]
+        totals = [unpack(t) for t in replies.column("totals").to_pylist()]
         totals = np.concatenate(totals).astype(np.int64) if totals else np.zeros(0, np.int64)
         doc, n, used = w.doc, w.n_words, 0
         others = []             # per order: occurrences elsewhere of the n-gram each word ends

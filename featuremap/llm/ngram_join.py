@@ -7,18 +7,19 @@ l.  l is chosen per set: the more partners a first, short prefix promises, the
 longer the prefix and the more elements a pair has to share before its sets are
 compared.  A pair is held to the smaller l of its two sets.
 
-1. Prefixes with l = ``FIRST`` of all documents: elements held by two different
-   sets go into a Bloom filter, those with many holders also into the filters
-   of the higher tiers.
-2. Documents with fewer than l passing elements have no partner.  The others
-   keep their set and get their tier from the most frequent element of their
-   prefix (the estimated number of candidates).
-3. Prefixes of their tiers' lengths: elements with one holder go, then sets
-   whose elements left are too few for every kind of partner they could have.
-4. Star rounds: each set is compared with the smallest holder it shares most
+1. All documents, elements in the order of their hash: the prefix with
+   l = ``SHARE`` * n.  Elements that two different sets hold go into a Bloom
+   filter; a document with fewer of them than any partner asks for has none.
+2. The sets left are kept and all their elements counted; nested Bloom filters
+   by count give every element a frequency level.
+3. Elements in the order of level, then hash: the rare ones come first.  l is the
+   one of ``TRY`` with the lowest estimated cost, the postings of the prefix plus
+   the comparisons (postings / l bounds the candidates met l times).
+4. Star rounds: each set is compared with the most central holder it shares
    elements with.  A large group of near copies is linked in a number of
    comparisons that grows with its members, not their pairs.
-5. Pairs not yet in one component that share l elements are all compared.
+5. Pairs not yet in one component are all compared if they share l elements of
+   their prefixes, early enough that the rest can still make up the overlap.
 
 Equal sets are one class throughout.  Comparisons are exact on the sets.
 
@@ -33,6 +34,7 @@ null if there is none.  Extra columns are ignored by :func:`links`, kept by
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,15 +44,19 @@ from pyspark.sql import functions as F
 
 from featuremap.llm import _bloom
 from featuremap.llm._components import components
+from featuremap.llm._packed import edges, pack, unpack
 from featuremap.llm._words import NON_SPACE, mix, slices, words
 from featuremap.session import scratch_path, ship_package
 
 SHINGLE = 5
 PERCENT = 80
-#: matches asked for with the first, short prefix
-FIRST = 3
-#: (holders of the most frequent element from which the tier applies, l as a share of the set)
-TIERS = ((0, 0.0), (4, 0.1), (17, 0.25))
+#: l of the first prefix as a share of the set, and at least
+SHARE, FIRST = 0.1, 3
+#: l tried for the second prefix
+TRY = (1, 2, 4, 8)
+#: counts from which the frequency levels start
+LEVELS = (2, 4, 8, 16, 32, 64, 128, 512, 2048, 8192, 1 << 15, 1 << 18, 1 << 21)
+PART_ELEMENTS = 1_000_000
 
 
 def _shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -82,9 +88,9 @@ def _need(n, percent: int):
     return -(-n * percent // 100)
 
 
-def _match(n, share: float, percent: int):
-    """l of a set of n elements in the tier of this share."""
-    return np.minimum(np.maximum(FIRST, np.ceil(n * share).astype(np.int64)), _need(n, percent))
+def _match(n, percent: int):
+    """l of the first prefix."""
+    return np.minimum(np.maximum(FIRST, np.ceil(n * SHARE).astype(np.int64)), _need(n, percent))
 
 
 def _class(h: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -103,82 +109,171 @@ def _ranges(at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[:-1][run] + np.arange(len(run)) - start[run], run
 
 
-def _first_prefixes(percent: int):
+def _packets(t: np.ndarray, c: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Elements with their class, one row per part: distinct elements, the smallest
+    and largest class that holds each, and the number of holders.  So an element
+    that every document holds is one entry."""
+    classes, c = np.unique(c, return_inverse=True)
+    order = np.lexsort((c, t))
+    t, c = t[order], c[order]
+    first = np.flatnonzero(np.diff(t, prepend=~t[:1]))
+    count = np.diff(np.append(first, len(t)))
+    t, low, high = t[first], c[first], c[first + count - 1]
+    at, rows = edges(t, parts), []
+    for k in np.flatnonzero(np.diff(at)).tolist():
+        s = slice(at[k], at[k + 1])
+        rows.append((k, pack(t[s], True), pack(low[s]), pack(high[s] - low[s]), pack(count[s]),
+                     classes.tobytes()))
+    columns = list(zip(*rows, strict=True)) or [()] * 6
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[0], pa.int32()), *(pa.array(x, pa.binary()) for x in columns[1:])],
+        names=["part", "t", "low", "more", "n", "classes"])
+
+
+_PACKET = "part int, t binary, low binary, more binary, n binary, classes binary"
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """Elements of a part that two different classes hold, and their holders."""
+    t, low, high, n = [], [], [], []
+    for r in table.select(["t", "low", "more", "n", "classes"]).to_pylist():
+        classes = np.frombuffer(r["classes"], "<i8")
+        a, more = unpack(r["low"]), unpack(r["more"])
+        t.append(unpack(r["t"], True))
+        low.append(classes[a])
+        high.append(classes[a + more])
+        n.append(unpack(r["n"]))
+    t, low, high, n = (np.concatenate(x) for x in (t, low, high, n))
+    order = np.argsort(t, kind="stable")
+    t = t[order]
+    first = np.flatnonzero(np.diff(t, prepend=~t[:1]))
+    low, high = np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
+    n = np.add.reduceat(n[order], first)
+    ok = low < high
+    return pa.table({"t": pa.array(t[first][ok].view("i8")), "k": pa.array(n[ok].astype(np.int64))})
+
+
+def _first_prefixes(percent: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()          # classes this task has sent, to save copies
         for batch in batches:
             for part in slices(batch, "text"):
                 h, at = _shingles(part.column("text"))
                 n, c = np.diff(at), _class(h, at)
-                new = np.zeros(len(n), bool)
-                for i, x in enumerate(c.tolist()):
-                    if n[i] and x not in done:
-                        new[i] = True
-                        done.add(x)
-                if len(done) > 1_000_000:
-                    done.clear()
-                size = np.where(new, n - _need(n, percent) + _match(n, 0.0, percent), 0)
+                size = np.where(n > 0, n - _need(n, percent) + _match(n, percent), 0)
                 index, owner = _ranges(at, size)
-                for lo in range(0, len(index), 1 << 17):
-                    i = slice(lo, lo + (1 << 17))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[index[i]].view("i8")), pa.array(c[owner[i]])], names=["t", "c"])
+                if len(index):
+                    yield _packets(h[index], c[owner], parts)
 
     return run
 
 
-def _sets(percent: int, filters):
+def _sets(percent: int, shared):
     """Each document's size and class; sets that may have a partner also in full."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = filters.value
+        table = shared.value
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 h, at = _shingles(part.column("text"))
                 n, c = np.diff(at), _class(h, at)
-                first = _match(n, 0.0, percent)
-                index, owner = _ranges(at, np.where(n > 0, n - _need(n, percent) + first, 0))
-                passing = _bloom.test(tables[0], h[index])
-                hits = np.bincount(owner[passing], minlength=len(n))
-                tier = np.zeros(len(n), np.int32)
-                for k, table in enumerate(tables[1:], 1):
-                    tier[np.unique(owner[_bloom.test(table, h[index])])] = k
-                alive = (n > 0) & (hits >= first)
-                match = np.choose(tier, [_match(n, share, percent) for _, share in TIERS])
-                size = np.where(alive, n, 0)
+                size = np.where(n > 0, n - _need(n, percent) + _match(n, percent), 0)
+                index, owner = _ranges(at, size)
+                hits = np.bincount(owner[_bloom.test(table, h[index])], minlength=len(n))
+                # the smallest partner may ask for fewer
+                size = np.where((n > 0) & (hits >= _match(_need(n, percent), percent)), n, 0)
                 index, _ = _ranges(at, size)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)),
                     pa.array(h[index].view("i8")))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("key"), pa.array(n), pa.array(c), pa.array(tier),
-                     pa.array(match), lists],
-                    names=["id", "key", "n", "c", "tier", "l", "t"])
+                    [part.column("id"), part.column("key"), pa.array(n), pa.array(c), lists],
+                    names=["id", "key", "n", "c", "t"])
 
     return run
 
 
-def _peel(p: DataFrame, percent: int) -> DataFrame:
-    """Rows (t, c, n, l, tier, comp) whose element has a holder in another
-    component and whose set still has enough such elements for some partner."""
-    kinds = range(len(TIERS))
-    held = p.groupBy("t").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-        *[f(F.when(F.col("tier") == k, F.col("comp"))).alias(f"{name}{k}")
-          for k in kinds for name, f in (("lo", F.min), ("hi", F.max))]).filter("lo < hi")
-    rows = p.join(held, "t")
-    size = f"(n * {percent} + 99) div 100"               # of the smallest partner
-    enough = []
-    for k, (_, share) in enumerate(TIERS):
-        # a partner of tier k asks for at least so many, whatever its size
-        least = f"least(l, greatest(least({FIRST}, (({size}) * {percent} + 99) div 100), " \
-                f"cast(floor(({size}) * {share}) as bigint)))"
-        enough.append(f"s{k} >= {least}")
-    # copies of a class may repeat an element: the counts can only be too high
-    ok = (rows.groupBy("c", "n", "l")
-          .agg(*[F.count(F.when(F.expr(f"lo{k} <> comp or hi{k} <> comp"), 1)).alias(f"s{k}")
-                 for k in kinds])
-          .filter(" or ".join(enough)).select("c"))
-    return rows.select(*p.columns).join(ok, "c", "left_semi").select(*p.columns)
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Elements of all sets of a batch, the set of each, and the sets' sizes."""
+    lists = batch.column("t")
+    size = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    return lists.flatten().to_numpy().view("u8"), np.repeat(np.arange(len(size)), size), size
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
+def _elements(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()              # classes this task has sent, to save copies
+        for batch in _pieces(batches):
+            t, owner, _ = _flat(batch)
+            c = batch.column("c").to_numpy()
+            new = np.array([x not in done and not done.add(x) for x in c.tolist()], bool)
+            if len(done) > 1_000_000:
+                done.clear()
+            if new[owner].any():
+                yield _packets(t[new[owner]], c[owner][new[owner]], parts)
+
+    return run
+
+
+def _prefixes(percent: int, levels):
+    """Rows (t, c, n, l, pos, central) of the second prefixes: elements that another
+    set holds too, with their place in the order of level and hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, done = levels.value, set()
+        for batch in _pieces(batches):
+            t, owner, n = _flat(batch)
+            c = batch.column("c").to_numpy()
+            level, todo = np.zeros(len(t), np.int64), np.arange(len(t))
+            for k, table in enumerate(tables, 1):
+                todo = todo[_bloom.test(table, t[todo])]
+                level[todo] = k
+            order = np.lexsort((level, owner))          # stable: by hash within a level
+            t, level = t[order], level[order]
+            first = np.cumsum(n) - n
+            pos = np.arange(len(t)) - first[owner]
+            # an element of level k has about LEVELS[k - 1] holders
+            posting = np.concatenate([[0], np.cumsum(np.array([0, *LEVELS])[level])])
+            need, best = _need(n, percent), None
+            for l in TRY:
+                l = np.minimum(l, need)
+                met = posting[first + n - need + l] - posting[first]
+                cost = met + met / l * n / 8
+                if best is None:
+                    best, match = cost, l.copy()
+                else:
+                    match = np.where(cost < best, l, match)
+                    best = np.minimum(best, cost)
+            central = np.bincount(owner, level, len(n)) / np.maximum(n, 1)
+            new = np.array([x not in done and not done.add(x) for x in c.tolist()], bool)
+            if len(done) > 1_000_000:
+                done.clear()
+            keep = (pos < (n - need + match)[owner]) & (level > 0) & new[owner]
+            o = owner[keep]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(t[keep].view("i8")), pa.array(c[o]), pa.array(n[o].astype(np.int64)),
+                 pa.array(match[o]), pa.array(pos[keep]), pa.array(central[o])],
+                names=["t", "c", "n", "l", "pos", "central"])
+
+    return run
+
+
+_PREFIX = "t long, c long, n long, l long, pos long, central double"
+
+
+def _active(p: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The prefix rows with ``comp``, whose element has a holder in another component."""
+    if labels is None:
+        p = p.withColumn("comp", F.col("c"))
+    else:
+        p = (p.drop("comp").join(labels.withColumnRenamed("node", "c"), "c", "left")
+             .withColumn("comp", F.coalesce("root", "c")).drop("root"))
+    held = p.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    return _stored(p.join(held.select("t"), "t", "left_semi")
+                   .select("t", "c", "n", "l", "pos", "central", "comp"), "prefixes")
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -187,10 +282,15 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _overlap(percent: int) -> str:
+    """What sets of n and m elements share at least."""
+    return f"({percent} * (n + m) + {percent + 99}) div {100 + percent}"
+
+
 def _star(p: DataFrame, tested: DataFrame | None, percent: int, turn: int) -> DataFrame:
     """For each set one pair (a < b): the holder it shares most elements with among
-    the first holders of its elements, in an order that changes with the turn."""
-    order = F.xxhash64("c", F.lit(turn))
+    the most central holders of its elements (or, later, the first in a random order)."""
+    order = -F.col("central") if turn == 0 else F.xxhash64("c", F.lit(turn)).cast("double")
     held = p.groupBy("t").agg(F.min(F.struct(order.alias("o"), F.col("c").alias("pivot"),
                                              F.col("n").alias("m"), "comp")).alias("x"))
     x = p.join(held, "t").filter(
@@ -203,17 +303,18 @@ def _star(p: DataFrame, tested: DataFrame | None, percent: int, turn: int) -> Da
     return best.select("best.a", "best.b").distinct()
 
 
-def _all_pairs(p: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share as many elements as the smaller l."""
-    left = p.select("t", F.col("c").alias("a"), F.col("n").alias("na"), F.col("l").alias("la"),
-                    F.col("comp").alias("ca"))
-    right = p.select("t", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("l").alias("lb"),
-                     F.col("comp").alias("cb"))
+def _all_pairs(p: DataFrame, tested: DataFrame | None, percent: int) -> DataFrame:
+    """Pairs of different components that share as many elements as the smaller l,
+    the first l of them with enough elements after them."""
+    left = p.select("t", F.col("c").alias("a"), "n", "l", "pos", F.col("comp").alias("ca"))
+    right = p.select("t", F.col("c").alias("b"), F.col("n").alias("m"), F.col("l").alias("k"),
+                     F.col("pos").alias("at"), F.col("comp").alias("cb"))
     pairs = (left.join(right, "t")
-             .filter(f"a < b and ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-             .groupBy("a", "b").agg(F.count("*").alias("shared"), F.min(F.least("la", "lb")).alias("l"))
+             .filter(f"a < b and ca <> cb and 100 * least(n, m) >= {percent} * greatest(n, m) and "
+                     f"least(n - pos, m - at) + least(l, k) - 1 >= {_overlap(percent)}")
+             .groupBy("a", "b").agg(F.count("*").alias("shared"), F.min(F.least("l", "k")).alias("l"))
              .filter("shared >= l").select("a", "b"))
-    return pairs.join(tested, ["a", "b"], "left_anti")
+    return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -229,19 +330,31 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, percent: int) -> DataFrame:
-    """Steps 1 and 2: rows (id, key, n, c, tier, l, t) of all documents; ``t`` is empty
-    where no partner is possible."""
+    """Step 1: rows (id, key, n, c, t) of all documents; ``t`` is empty where no
+    partner is possible."""
     spark = docs.sparkSession
-    first = docs.select("text").mapInArrow(_first_prefixes(percent), "t long, c long")
-    held = _stored(first.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi"),
-                                          F.count("*").alias("k"))
-                   .filter("lo < hi").select("t", "k"), "shared-elements")
-    counts = held.agg(*[F.count(F.when(F.col("k") >= k, 1)).alias(str(k)) for k, _ in TIERS]).first()
-    filters = spark.sparkContext.broadcast(
-        [_bloom.build(held.filter(F.col("k") >= k), "t", counts[i]) for i, (k, _) in enumerate(TIERS)])
-    schema = (f"id {docs.schema['id'].dataType.simpleString()}, key long, n long, c long, tier int, "
-              "l long, t array<long>")
-    return _stored(docs.mapInArrow(_sets(percent, filters), schema), "sets")
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    parts = max(1, math.ceil(size / 20 / PART_ELEMENTS))        # of at most so many elements
+    held = _stored(docs.select("text").mapInArrow(_first_prefixes(percent, parts), _PACKET)
+                   .groupBy("part").applyInArrow(_shared, "t long, k long").select("t"), "elements")
+    shared = spark.sparkContext.broadcast(_bloom.build(held, "t", held.count()))
+    schema = f"id {docs.schema['id'].dataType.simpleString()}, key long, n long, c long, t array<long>"
+    return _stored(docs.mapInArrow(_sets(percent, shared), schema), "sets")
+
+
+def _prefixes_of(sets: DataFrame, percent: int) -> DataFrame:
+    """Steps 2 and 3."""
+    spark = sets.sparkSession
+    total = sets.agg(F.sum(F.size("t")).alias("n")).first()["n"] or 0
+    parts = max(1, math.ceil(total / PART_ELEMENTS))
+    rows = sets.select("c", "t")
+    counted = _stored(rows.mapInArrow(_elements(parts), _PACKET)
+                      .groupBy("part").applyInArrow(_shared, "t long, k long"), "counts")
+    counts = counted.agg(*[F.count(F.when(F.col("k") >= k, 1)).alias(str(k)) for k in LEVELS]).first()
+    levels = spark.sparkContext.broadcast(
+        [_bloom.build(counted.filter(F.col("k") >= k), "t", n)
+         for k, n in zip(LEVELS, counts, strict=True) if n])
+    return rows.mapInArrow(_prefixes(percent, levels), _PREFIX)
 
 
 STAR_TURNS = 2
@@ -255,11 +368,7 @@ def links(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     all_sets = _sets_of(rows.withColumn("key", F.xxhash64("text")), percent)
     sets = all_sets.filter(F.size("t") > 0)
-    size = F.expr(f"cast(n - (n * {percent} + 99) div 100 + l as int)")
-    p = sets.select(F.explode(F.slice("t", F.lit(1), size)).alias("t"), "c", "n", "l", "tier",
-                    F.col("c").alias("comp"))
-    p = _stored(_peel(p, percent), "prefixes")
-    tested, labels = None, None
+    p, tested, labels = _active(_prefixes_of(sets, percent), None), None, None
     for turn in range(STAR_TURNS + 1):
         if not p.head(1):
             break
@@ -268,9 +377,7 @@ def links(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int
         tested = done if tested is None else tested.union(done)
         labels = components(tested.filter("ok"))
         if turn < STAR_TURNS:
-            now = p.drop("comp").join(labels.withColumnRenamed("node", "c"), "c", "left")
-            now = now.withColumn("comp", F.coalesce("root", "c")).drop("root")
-            p = _stored(_peel(now, percent), "prefixes")
+            p = _active(p, labels)
     named = all_sets.filter("n > 0").groupBy("c").agg(F.min("id").alias("least"))
     if labels is None:
         named = named.withColumn("root", F.col("c"))
