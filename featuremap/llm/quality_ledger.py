@@ -100,7 +100,10 @@ def _measured(docs: DataFrame, text: str) -> DataFrame:
         "g", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     df = df.withColumn("o", F.when(some, order).otherwise(
         F.array().cast("array<struct<h:bigint,i:int>>")))
-    return df.withColumn("n_repeat_words", _repeated_words("o")).select("row", *MEASURES)
+    df = df.withColumn("n_repeat_words", _repeated_words("o"))
+    # as a generator's output, so that a later filter on a measurement is not pushed
+    # down as a second copy of all the work that leads to it
+    return df.select("row", F.inline(F.array(F.struct(*MEASURES))))
 
 
 def _bits() -> Column:

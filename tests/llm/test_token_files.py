@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from featuremap.llm import token_files
@@ -21,7 +22,7 @@ def test_units_give_the_ids_of_the_text():
     enc = token_files.Encoder(PATH)
     tok = Tokenizer.from_file(PATH)
     tok.encode_special_tokens = True
-    for t, raw in zip(texts, enc.encode(texts), strict=True):
+    for t, raw in zip(texts * 2, enc.encode(pa.array([*texts, *texts])), strict=True):
         assert np.frombuffer(raw, enc.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
 
 
