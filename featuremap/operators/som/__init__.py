@@ -3,4 +3,3 @@
 from .config import SOMConfig, decay, default_grid_size, neighborhood  # noqa: F401
 from .model import SOMModel  # noqa: F401
 from .train import SOM  # noqa: F401
-from .api import NotTrainedError, SOMAnalyzer, SOMPredictor, SOMTrainer  # noqa: F401,E402

@@ -27,7 +27,11 @@ def feature_columns(df: DataFrame, features: list[str] | None, vector_col: str |
                     d: int) -> list[Column]:
     """Feature expressions as doubles, NaN -> NULL."""
     if vector_col:
-        cols = [F.col(vector_col)[i].cast("double") for i in range(d)]
+        v = F.col(vector_col)
+        wrong = F.raise_error(F.concat(F.lit(f"'{vector_col}' needs {d} elements, got "),
+                                       F.size(v).cast("string"))).cast("double")
+        cols = [F.when(v.isNull() | (F.size(v) == d), F.get(v, F.lit(i)).cast("double")).otherwise(wrong)
+                for i in range(d)]
     else:
         cols = [F.col(c).cast("double") for c in features]
     return [F.nanvl(c, F.lit(None).cast("double")) for c in cols]
@@ -69,7 +73,9 @@ def score_udf(codebook_bc, second: bool):
             "k2": pd.arrays.IntegerArray(b2.astype(np.int32), b2 < 0),
         })
 
-    return F.pandas_udf(score, _SCORE)
+    # not deterministic for the planner: a filter on the result must not be pushed
+    # below the projection, where it would run the kernel a second time
+    return F.pandas_udf(score, _SCORE).asNondeterministic()
 
 
 def _arrow_score_udf(codebook_bc, second: bool):
@@ -85,7 +91,7 @@ def _arrow_score_udf(codebook_bc, second: bool):
              pa.array(b2.astype(np.int32), mask=b2 < 0)],
             names=["k", "dist", "k2"])
 
-    return F.arrow_udf(score, _SCORE)
+    return F.arrow_udf(score, _SCORE).asNondeterministic()
 
 
 class SOMModel(Model):

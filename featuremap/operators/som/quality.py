@@ -32,22 +32,12 @@ def quantization_error(scored: DataFrame) -> DataFrame:
     return scored.agg(F.avg("distance").alias("qe"))
 
 
-def topographic_error(scored: DataFrame, sample_rows: int | None = None,
-                      order_by: list[str] | None = None) -> DataFrame:
-    """Share of rows whose two best units are not 8-neighbours.
-
-    All rows by default (D14).  ``sample_rows`` evaluates only the first rows
-    in ``order_by`` order, as the reference's 1000-row shortcut does; the
-    order must be given because Spark rows have no positions.
-    """
+def topographic_error(scored: DataFrame) -> DataFrame:
+    """Share of rows whose two best units are not 8-neighbours (M16, D15), over
+    all rows (D14)."""
     bad = (chebyshev(F.col("neuron_x"), F.col("neuron_y"),
                      F.col("neuron2_x"), F.col("neuron2_y")) > 1).cast("int")
-    rows = scored.where(F.col("neuron_x").isNotNull())
-    if sample_rows is not None:
-        if not order_by:
-            raise ValueError("sample_rows needs order_by")
-        rows = rows.orderBy(*order_by).limit(sample_rows)
-    return rows.agg(F.avg(bad).cast("double").alias("te"))
+    return scored.where(F.col("neuron_x").isNotNull()).agg(F.avg(bad).cast("double").alias("te"))
 
 
 def hits(scored: DataFrame, x: int, y: int) -> DataFrame:
@@ -97,7 +87,7 @@ def quality_report(metrics_df: DataFrame) -> DataFrame:
         _bands(F.col("qe"), QE_BANDS, "poor").alias("qe_band"),
         _bands(F.col("te"), TE_BANDS, "poor").alias("te_band"),
         F.when(cov > COVERAGE_BANDS[0][0], COVERAGE_BANDS[0][1])
-         .when(cov >= COVERAGE_BANDS[1][0], COVERAGE_BANDS[1][1])
+         .when(cov > COVERAGE_BANDS[1][0], COVERAGE_BANDS[1][1])
          .otherwise("poor").alias("coverage_band"))
 
 
@@ -111,13 +101,15 @@ def activation(scored: DataFrame) -> DataFrame:
     return scored.withColumn("activation", F.lit(1.0) / (F.lit(1.0) + F.col("distance")))
 
 
-def uniformity(hits_df: DataFrame, dense_threshold: int) -> DataFrame:
-    """Spread of the hit map (M28): coefficient of variation, empty and dense neurons."""
+def uniformity(hits_df: DataFrame, dense_share: float) -> DataFrame:
+    """Spread of the hit map (M28): coefficient of variation, empty neurons, and dense
+    ones, which have more than ``dense_share`` of all rows."""
     h = F.col("hits")
+    hits_df = hits_df.withColumn("__all", F.sum(h).over(_over_grid()))
     return hits_df.agg(
         (F.stddev_pop(h) / F.avg(h)).alias("cv"),
         F.count_if(h == 0).cast("bigint").alias("empty_nodes"),
-        F.count_if(h > dense_threshold).cast("bigint").alias("dense_nodes"),
+        F.count_if(h > F.lit(dense_share) * F.col("__all")).cast("bigint").alias("dense_nodes"),
         F.avg(h).cast("double").alias("mean_hits"))
 
 
@@ -127,12 +119,15 @@ def label_hits(scored: DataFrame, label: str) -> DataFrame:
             .groupBy("neuron_x", "neuron_y", label).agg(F.count(F.lit(1)).alias("hits")))
 
 
-def sparse_outliers(scored: DataFrame, x: int, y: int, max_hits: int) -> DataFrame:
-    """Rows that land on neurons with at most ``max_hits`` rows.
+def sparse_outliers(scored: DataFrame, x: int, y: int, max_share: float) -> DataFrame:
+    """Rows that land on neurons with at most ``max_share`` of all rows.
 
     The hit table has ``x * y`` rows, so it is broadcast to the row side.
+    ``scored`` is read twice: pass stored or persisted rows, or they are scored
+    twice.
     """
-    h = hits(scored, x, y).where(F.col("hits") <= max_hits)
+    h = hits(scored, x, y).withColumn("__all", F.sum("hits").over(_over_grid()))
+    h = h.where(F.col("hits") <= F.lit(max_share) * F.col("__all")).drop("__all")
     return scored.join(F.broadcast(h), ["neuron_x", "neuron_y"], "inner")
 
 

@@ -35,13 +35,16 @@ class SOM(Estimator):
 
     ``features``: numeric columns (default: all numeric columns), or
     ``vector_col``: one array column.  ``handle_null``: ``error`` (default) or
-    ``skip`` rows with a NULL/NaN feature.  ``epochs`` passes at most; training
-    stops early when the quantization error changes by less than ``tol``.
+    ``skip`` rows with a NULL/NaN feature.  ``epochs`` passes; a ``tol`` above 0
+    ends training when the quantization error changes by less.  Random
+    initialization picks ``x * y`` distinct feature vectors by a seeded hash, or,
+    with ``init_key`` (a column that identifies rows), that many rows by the md5
+    of key and seed.
     """
 
     def __init__(self, x: int = 10, y: int = 10, features: list[str] | None = None,
-                 vector_col: str | None = None, epochs: int = 20, tol: float = 1e-4,
-                 handle_null: str = "error", **config):
+                 vector_col: str | None = None, epochs: int = 20, tol: float = 0.0,
+                 handle_null: str = "error", init_key: str | None = None, **config):
         self.config = SOMConfig(x=x, y=y, **config)
         self.features = features
         self.vector_col = vector_col
@@ -50,14 +53,19 @@ class SOM(Estimator):
         if handle_null not in ("error", "skip"):
             raise SOMError("handle_null must be 'error' or 'skip'")
         self.handle_null = handle_null
+        self.init_key = init_key
 
     # ------------------------------------------------------------------ helpers
     def _dimension(self, df: DataFrame) -> tuple[list[str] | None, int]:
         if self.vector_col:
-            first = df.select(F.size(self.vector_col).alias("n")).where("n >= 0").first()
-            if first is None:
+            size = F.when(F.col(self.vector_col).isNotNull(), F.size(self.vector_col))
+            row = df.agg(F.min(size).alias("lo"), F.max(size).alias("hi")).first()
+            if row["lo"] is None:
                 raise InsufficientDataError("no rows to infer the vector length from")
-            return None, int(first["n"])
+            if row["lo"] != row["hi"]:
+                raise DimensionMismatchError(
+                    f"vectors of '{self.vector_col}' have {row['lo']} to {row['hi']} elements")
+            return None, int(row["lo"])
         feats = self.features or numeric_columns(df)
         return list(feats), len(feats)
 
@@ -73,7 +81,8 @@ class SOM(Estimator):
         # over all cores: the bounds job materializes them and every epoch
         # re-reads them through the Python kernel without recomputing the input
         rcols = [f"__r{i}" for i in range(d)]
-        kept = df.select(*[c.alias(r) for c, r in zip(raw, rcols)])
+        key = [F.col(self.init_key).cast("string").alias("__key")] if self.init_key else []
+        kept = df.select(*[c.alias(r) for c, r in zip(raw, rcols)], *key)
         kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
         any_null = F.lit(False)
         for r in rcols:
@@ -81,8 +90,10 @@ class SOM(Estimator):
 
         # one job: size, null rows, bounds (M6, M7)
         aggs = [F.count(F.lit(1)).alias("n"), F.count_if(any_null).alias("nulls")]
-        aggs += [F.min(r).alias(f"mn{i}") for i, r in enumerate(rcols)]
-        aggs += [F.max(r).alias(f"mx{i}") for i, r in enumerate(rcols)]
+        # rows that will be dropped don't count for the bounds
+        used = [F.when(~any_null, F.col(r)) for r in rcols]
+        aggs += [F.min(r).alias(f"mn{i}") for i, r in enumerate(used)]
+        aggs += [F.max(r).alias(f"mx{i}") for i, r in enumerate(used)]
         try:
             row = kept.agg(*aggs).first()
             n = row["n"] - (row["nulls"] if self.handle_null == "skip" else 0)
@@ -103,9 +114,10 @@ class SOM(Estimator):
         model = SOMModel(cfg, np.zeros((cfg.k, d)), mins, maxs, features, self.vector_col)
         zcols = [f"__z{i}" for i in range(d)]
         scaled = kept.select(*[((F.col(r) - F.lit(float(lo))) / F.lit(float(rg))).alias(z)
-                               for r, lo, rg, z in zip(rcols, mins, model.ranges, zcols)])
+                               for r, lo, rg, z in zip(rcols, mins, model.ranges, zcols)],
+                             *(["__key"] if self.init_key else []))
         if self.handle_null == "skip":
-            scaled = scaled.dropna()
+            scaled = scaled.dropna(subset=zcols)
         try:
             W = self._init(scaled, zcols, cfg)
             history = []
@@ -132,9 +144,15 @@ class SOM(Estimator):
             return grid_codebook(cfg.x, cfg.y, d)
         if cfg.initialization == "pca":
             return pca_codebook(scaled, zcols, cfg.x, cfg.y)
-        # random / random_samples: K rows chosen by a seeded hash, a distributed top-K
-        rows = (scaled.orderBy(F.xxhash64(*zcols, F.lit(cfg.random_seed)), *zcols)
-                .limit(K).collect())
+        # random / random_samples, a distributed top-K: distinct vectors (combined
+        # map-side) in the order of a seeded hash, so copies of a row count once; or
+        # rows in the order of the md5 of their key
+        if self.init_key:
+            order = F.md5(F.concat(F.col("__key"), F.lit(f":{cfg.random_seed}")))
+            rows = scaled.orderBy(order, *zcols).limit(K).collect()
+        else:
+            rows = (scaled.select(*zcols).distinct()
+                    .orderBy(F.xxhash64(*zcols, F.lit(cfg.random_seed)), *zcols).limit(K).collect())
         pick = np.array([[r[z] for z in zcols] for r in rows], dtype=float)
         return np.array([pick[i % len(pick)] for i in range(K)])
 

@@ -159,32 +159,66 @@ def test_quantize_and_planes(spark, sample):
     assert len(planes) == 36 and {p.feature for p in planes} == set(FEATS)
 
 
-def test_reference_style_facades(spark, sample):
-    from featuremap.operators.som import NotTrainedError, SOMAnalyzer, SOMPredictor, SOMTrainer
-
-    df, _ = sample
-    t = SOMTrainer(x=5, y=5, input_len=4, features=FEATS)
-    with pytest.raises(NotTrainedError):
-        SOMAnalyzer(t)
-    t.fit(df, epochs=5)
-    m = SOMAnalyzer(t).get_metrics(df)
-    assert set(m) == {"qe", "te", "nodes_used", "total_nodes", "coverage", "max_hits", "mean_hits"}
-    assert SOMAnalyzer(t).node_distribution(df).agg(F.sum("hits")).first()[0] == 100
-    p = SOMPredictor(t)
-    assert p.predict(df).count() == 100 and t.get_weights().count() == 25
-    assert p.get_node_data((0, 0), df).count() >= 0
-
-
-def test_topographic_error_sample(spark, sample):
+def test_topographic_error_uses_all_rows(spark, sample):
     df, _ = sample
     m = SOM(4, 4, features=FEATS, epochs=3).fit(df)
     s = m.score(df)
-    full = Q.topographic_error(s).first().te
-    part = Q.topographic_error(s, sample_rows=10, order_by=["id"]).first().te
-    first10 = s.orderBy("id").limit(10).collect()
     want = sum(max(abs(r.neuron_x - r.neuron2_x), abs(r.neuron_y - r.neuron2_y)) > 1
-               for r in first10) / 10
-    assert part == pytest.approx(want) and 0 <= full <= 1
+               for r in s.collect()) / 100
+    assert Q.topographic_error(s).first().te == pytest.approx(want)
+
+
+def test_ragged_vectors_are_refused(spark):
+    from featuremap.errors import DimensionMismatchError
+
+    df = spark.createDataFrame([([0.1, 0.2],), ([0.3, 0.4, 0.5],), ([0.1, 0.9],), (None,)], "v array<double>")
+    with pytest.raises(DimensionMismatchError):
+        SOM(2, 2, vector_col="v", epochs=1, handle_null="skip").fit(df)
+    even = df.filter("v is null or size(v) = 2").unionByName(df.filter("size(v) = 2"))
+    m = SOM(2, 2, vector_col="v", epochs=1, handle_null="skip").fit(even)
+    with pytest.raises(Exception, match="needs 2 elements"):
+        m.transform(df).collect()
+
+
+def test_repeated_rows_do_not_collapse_the_map(spark):
+    rows = [(float(i % 7), float(i % 3)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    first = SOM(4, 4, features=["a", "b"], epochs=0, initialization="random").fit(df)
+    assert len({tuple(w) for w in first.codebook.tolist()}) == 16
+    m = SOM(5, 5, features=["a", "b"], epochs=5, initialization="random").fit(df)
+    assert m.transform(df).select("neuron_x", "neuron_y").distinct().count() > 5
+    k = SOM(4, 4, features=["a", "b"], epochs=0, initialization="random", init_key="id")
+    keyed = df.withColumn("id", F.monotonically_increasing_id())
+    assert k.fit(keyed).codebook.tolist() == k.fit(keyed.repartition(3)).codebook.tolist()
+
+
+def test_skipped_rows_do_not_widen_the_bounds(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (0.5, 0.2), (1000.0, None)], "a double, b double")
+    m = SOM(2, 2, features=["a", "b"], epochs=1, handle_null="skip").fit(df)
+    assert m.maxs.tolist() == [1.0, 1.0]
+
+
+def test_training_runs_all_epochs_unless_asked(spark, sample):
+    df, _ = sample
+    assert len(SOM(3, 3, features=FEATS, epochs=30).fit(df).history) == 30
+
+
+@pytest.mark.parametrize("what", ["metrics", "te", "hits", "label", "uniformity", "bands"])
+def test_the_kernel_runs_once_per_row(spark, sample, what):
+    df, _ = sample
+    m = SOM(3, 3, features=FEATS, epochs=1).fit(df)
+    s = m.score(df)
+    out = {"metrics": lambda: Q.metrics(s, 3, 3), "te": lambda: Q.topographic_error(s),
+           "hits": lambda: Q.hits(s, 3, 3), "label": lambda: Q.label_hits(s, "id"),
+           "uniformity": lambda: Q.uniformity(Q.hits(s, 3, 3), 5),
+           "bands": lambda: Q.quality_report(Q.metrics(s, 3, 3))}[what]()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_coverage_of_exactly_one_half_is_poor(spark):
+    m = spark.createDataFrame([(0.05, 0.05, 0.5), (0.05, 0.05, 0.51)], "qe double, te double, coverage double")
+    assert [r.coverage_band for r in Q.quality_report(m).orderBy("coverage").collect()] == ["poor", "acceptable"]
 
 
 def test_screened_kernel_equals_exact_scan():
