@@ -57,7 +57,7 @@ def resolve_columns(df: DataFrame, columns: Iterable[str] | None, default,
 def as_double(df: DataFrame, name: str) -> Column:
     """The column as a double with NaN turned into NULL (fit-side hygiene)."""
     dt = df.schema[name].dataType
-    c = F.col(name).cast("double")
+    c = F.col(q(name)).cast("double")
     if isinstance(dt, (T.FloatType, T.DoubleType)):
         c = F.nanvl(c, F.lit(None).cast("double"))
     return c

@@ -17,14 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import TransformerError
-from ..functions.columns import categorical_columns, resolve_columns
+from ..functions.columns import as_double, categorical_columns, q, resolve_columns
 from ..functions.ranking import sorted_index
+from ..session import scratch_path
 from .base import Estimator, Model
 
 _MODES = ("error", "warn", "ignore")
 MAP_LITERAL_LIMIT = 64          # mappings this small become a map literal in the projection
 BROADCAST_LIMIT = 1_000_000     # mappings up to this many rows ...
 BROADCAST_BYTES = 64 << 20      # ... and about this many bytes are broadcast
+COLLECT_BYTES = 16 << 20        # values of all columns of a fit that may come to the driver
 
 
 def _check_mode(mode: str) -> str:
@@ -36,7 +38,7 @@ def _check_mode(mode: str) -> str:
 def _stack(df: DataFrame, cols: list[str], extra: dict[str, Column] | None = None) -> DataFrame:
     """One row per (input row, column): ``(col, value[, extras])``."""
     extra = extra or {}
-    items = [F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value"),
+    items = [F.struct(F.lit(c).alias("col"), F.col(q(c)).cast("string").alias("value"),
                       *[v.alias(k) for k, v in extra.items()]) for c in cols]
     return df.select(F.inline(F.array(*items)))
 
@@ -48,6 +50,35 @@ def _distinct_counts(d: DataFrame) -> dict[str, tuple[int, int]]:
                                  F.sum(F.octet_length("value")).alias("b")).collect()}
 
 
+def report_unknown(df: DataFrame, pairs: list[tuple[str, Column, Column]], mode: str) -> None:
+    """``warn`` warns with the number of rows with unknown values, ``error`` raises with
+    the distinct values (the first 20 by name); one aggregate for all columns.
+
+    ``pairs``: column, value, and whether the row is unknown.  Streams are left to
+    the expressions of the transform.
+    """
+    if mode == "ignore" or df.isStreaming or not pairs:
+        return
+    found = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("col"), F.coalesce(v.cast("string"), F.lit("NULL")).alias("value"),
+                 bad.alias("bad")) for c, v, bad in pairs]))).where("bad")
+    counted = found.groupBy("col", "value").agg(F.count(F.lit(1)).alias("n"))
+    top = counted.groupBy("col").agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values")).collect()     # a row a column
+    if not top:
+        return
+    if mode == "warn":
+        warnings.warn("unknown categories: " + ", ".join(
+            f"{r['rows']} rows with {r['values']} values in '{r['col']}'" for r in top))
+        return
+    some = counted.orderBy("col", "value").limit(20).collect()
+    names = {r["col"]: [x["value"] for x in some if x["col"] == r["col"]] for r in top}
+    raise TransformerError("; ".join(
+        f"Unknown categories in '{r['col']}': {names[r['col']]}"
+        + (f" and more, {r['values']} in all" if r["values"] > len(names[r["col"]]) else "")
+        for r in top))
+
+
 class _Mapping:
     """value -> code/encoding for one column, small (dict) or distributed."""
 
@@ -73,8 +104,9 @@ class _Mapping:
             tab = self.table
         k, v = f"__k_{tag}", f"__v_{tag}"
         tab = tab.select(F.col("value").alias(k), F.col("enc").alias(v))
-        if self.small is not None or (self.size <= BROADCAST_LIMIT
-                                      and self.nbytes + 16 * self.size <= BROADCAST_BYTES):
+        nbytes = (sum(len(x.encode()) for x in self.small) if self.small is not None else self.nbytes)
+        size = len(self.small) if self.small is not None else self.size
+        if size <= BROADCAST_LIMIT and nbytes + 16 * size <= BROADCAST_BYTES:
             tab = F.broadcast(tab)          # size checked at fit time
         # otherwise a shuffle join planned by AQE (skewed keys are split)
         return (df.withColumn(f"__key_{tag}", key)
@@ -122,27 +154,22 @@ class LabelEncoder(Estimator):
             # again (count, ranking) without rescanning the input
             d = (_stack(df, learn).where(F.col("value").isNotNull()).distinct()
                  .persist(StorageLevel.MEMORY_AND_DISK))
-            cap = self.collect_limit * len(learn)
-            first = d.limit(cap + 1).collect() if cap > 0 else None
-            if first is None or len(first) > cap:
-                try:
-                    return self._fit_large(d, learn, maps)
-                finally:
-                    d.unpersist()
-            d.unpersist()
-            # everything fits under the bound: one job, no separate count
-            got: dict[str, list] = {c: [] for c in learn}
-            for r in first:
-                got[r["col"]].append(r["value"])
-            for c in learn:
-                maps[c] = _Mapping(c, small={v: i for i, v in enumerate(sorted(got[c]))},
-                                   size=len(got[c]))
+            try:
+                return self._fit_counted(d, learn, maps)
+            finally:
+                d.unpersist()
         return LabelModel(maps, self.handle_unknown)
 
-    def _fit_large(self, d: DataFrame, learn: list[str], maps: dict) -> "LabelModel":
-        """Counts first, then small columns collected, large ones ranked."""
+    def _fit_counted(self, d: DataFrame, learn: list[str], maps: dict) -> "LabelModel":
+        """Rows and bytes are counted first: the smallest columns are collected while
+        all of them together stay under both bounds, the others are ranked."""
         counts = _distinct_counts(d)
-        small_cols = [c for c in learn if counts.get(c, (0, 0))[0] <= self.collect_limit]
+        small_cols, rows, nbytes = [], 0, 0
+        for c in sorted(learn, key=lambda c: counts.get(c, (0, 0))):
+            n, b = counts.get(c, (0, 0))
+            rows, nbytes = rows + n, nbytes + b
+            if rows <= self.collect_limit and nbytes <= COLLECT_BYTES:
+                small_cols.append(c)
         big_cols = [c for c in learn if c not in small_cols]
         if small_cols:
             got: dict[str, list] = {c: [] for c in small_cols}
@@ -169,25 +196,34 @@ class LabelModel(Model):
         self.params = {c: {"n_categories": float(m.size or len(m.small or {}))}
                        for c, m in maps.items()}
 
-    def mapping(self, col: str) -> dict | None:
-        return self.maps[col].small
+    def mapping(self, col: str) -> dict | DataFrame:
+        """value -> code: a dict, or a DataFrame (value, enc) if it is too large for one."""
+        m = self.maps[col]
+        return m.small if m.small is not None else m.table
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, report: bool = True) -> DataFrame:
+        """``report`` looks for unknown values first (one pass) under ``warn`` and
+        ``error``; without it ``error`` fails in the job that meets one."""
         order = df.columns
         for i, (c, m) in enumerate(self.maps.items()):
-            if c not in df.columns:
+            if c in df.columns:
+                df = m.lookup(df, f"__code_{i}", F.col(q(c)).cast("string"), str(i))
+        if report:
+            report_unknown(df, [(c, F.col(q(c)), F.col(f"__code_{i}").isNull())
+                                for i, c in enumerate(self.maps) if c in order], self.handle_unknown)
+        for i, c in enumerate(self.maps):
+            if c not in order:
                 continue
             tmp = f"__code_{i}"
-            df = m.lookup(df, tmp, F.col(c).cast("string"), str(i))
             if self.handle_unknown == "error":
-                ok = _fail_unknown(c, F.col(tmp).isNotNull(), F.col(c), include_null=True)
+                ok = _fail_unknown(c, F.col(tmp).isNotNull(), F.col(q(c)), include_null=True)
                 code = F.when(ok, F.col(tmp))
             elif self.handle_unknown == "warn":
                 code = F.coalesce(F.col(tmp), F.lit(-1))
             else:
                 code = F.col(tmp)
             df = df.withColumn(c, code.cast("int")).drop(tmp)
-        return df.select(*order)
+        return df.select(*map(q, order))
 
 
 # ---------------------------------------------------------------- E2 / E2d / E2s
@@ -195,12 +231,13 @@ class OneHotEncoder(Estimator):
     """One 0/1 column ``{col}{sep}{category}`` per sorted category; original dropped.
 
     NULL and unseen values give all zeros (``ignore``) or raise (``error``).
-    More than ``max_categories`` distinct values is refused, not truncated.
+    With ``max_categories`` more distinct values than that are refused, never
+    truncated; for wide columns use ``sparse=True``.
     ``sparse=True`` emits one ``{col}_vec`` sparse vector column instead.
     """
 
     def __init__(self, columns=None, drop_first: bool = False, handle_unknown: str = "ignore",
-                 prefix_sep: str = "_", max_categories: int = 1000, sparse: bool = False):
+                 prefix_sep: str = "_", max_categories: int | None = None, sparse: bool = False):
         self.columns = columns
         self.drop_first = drop_first
         self.handle_unknown = _check_mode(handle_unknown)
@@ -213,17 +250,18 @@ class OneHotEncoder(Estimator):
         cats: dict[str, list[str]] = {c: [] for c in cols}
         if cols:
             d = _stack(df, cols).where(F.col("value").isNotNull()).distinct()
-            cap = self.max_categories * len(cols)
-            rows = d.limit(cap + 1).collect()       # bounded: never more than cap + 1 rows
-            if len(rows) > cap:
-                counts = _distinct_counts(d)
-                over = {c: n for c, (n, _) in counts.items() if n > self.max_categories}
-                raise TransformerError(f"too many categories for one-hot: {over}")
-            for r in rows:
-                cats[r["col"]].append(r["value"])
-            over = {c: len(v) for c, v in cats.items() if len(v) > self.max_categories}
+            # every category becomes an output column, so their number and bytes are
+            # counted before they come to the driver, which plans those columns
+            counts = _distinct_counts(d)
+            over = {c: n for c, (n, _) in counts.items()
+                    if self.max_categories is not None and n > self.max_categories}
             if over:
                 raise TransformerError(f"too many categories for one-hot: {over}")
+            size = sum(b + 16 * n for n, b in counts.values())
+            if size > BROADCAST_BYTES:
+                raise TransformerError(f"categories of {size} bytes cannot become columns")
+            for r in d.collect():
+                cats[r["col"]].append(r["value"])
         for c in cols:
             cats[c] = sorted(cats[c])
         return OneHotModel(cats, self.drop_first, self.handle_unknown, self.prefix_sep,
@@ -247,15 +285,15 @@ class OneHotModel(Model):
         present = [c for c in self.categories if c in df.columns]
         if self.handle_unknown == "error":
             df = df.withColumns({c: F.when(_fail_unknown(
-                c, F.col(c).cast("string").isin(self.categories[c]), F.col(c), False), F.col(c))
+                c, F.col(q(c)).cast("string").isin(self.categories[c]), F.col(q(c)), False), F.col(q(c)))
                 for c in present})
         if self.sparse:
             return self._sparse(df, present)
-        keep = [F.col(c) for c in df.columns if c not in present]
+        keep = [F.col(q(c)) for c in df.columns if c not in present]
         new = []
         for c in present:
             cats = self.categories[c][1:] if self.drop_first else self.categories[c]
-            s = F.col(c).cast("string")
+            s = F.col(q(c)).cast("string")
             new += [F.when(s == F.lit(v), 1).otherwise(0).alias(f"{c}{self.prefix_sep}{v}")
                     for v in cats]
         return df.select(*keep, *new)
@@ -274,7 +312,7 @@ class OneHotModel(Model):
             k = len(cats)
             pos = {v: i for i, v in enumerate(cats)}
             code = (F.try_element_at(F.create_map(*[F.lit(x) for kv in pos.items() for x in kv]),
-                                     F.col(c).cast("string")) if pos else F.lit(None))
+                                     F.col(q(c)).cast("string")) if pos else F.lit(None))
             meta = {"ml_attr": {"type": "nominal", "num_vals": k, "name": f"__code_{c}"}}
             out = out.withColumn(f"__code_{c}", F.coalesce(code, F.lit(k)).cast("double")
                                  .alias(f"__code_{c}", metadata=meta))
@@ -309,7 +347,7 @@ class TargetEncoder(Estimator):
             raise TransformerError(f"TargetEncoder requires a target column, got {self.target!r}")
         cols = [c for c in resolve_columns(df, self.columns, categorical_columns)
                 if c != self.target]
-        y = F.col(self.target).cast("double")
+        y = as_double(df, self.target)           # NaN targets count as missing, as NULL does
         if not cols:
             return TargetModel({}, df.agg(F.avg(y)).first()[0], self.handle_unknown)
         # one pass: per (column, value) target sum, target count and row count;
@@ -353,7 +391,14 @@ class TargetEncoder(Estimator):
         n_, m_ = F.col("n"), F.col("sy") / F.col("n")
         enc = (F.when((n_ == 0) | (n_ < F.lit(self.min_samples)), gl)
                .otherwise((n_ * m_ + F.lit(sm) * gl) / (n_ + F.lit(sm))))
-        table = st.where(F.col("value").isNotNull()).select("col", "value", enc.alias("enc"))
+        # written once, so that nothing stays persisted behind the model
+        path = scratch_path(df.sparkSession, "target-encodings")
+        try:
+            (st.where(F.col("value").isNotNull()).select("col", "value", enc.alias("enc"))
+             .write.parquet(path))
+        finally:
+            st.unpersist()
+        table = df.sparkSession.read.parquet(path)
         counts = _distinct_counts(table)
         for c in cols:
             maps[c] = _Mapping(c, table=table.where(F.col("col") == c).select("value", "enc"),
@@ -367,18 +412,24 @@ class TargetModel(Model):
         self.params = {c: {"global_mean": global_mean, "n_categories": float(m.size)}
                        for c, m in maps.items()}
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, report: bool = True) -> DataFrame:
+        """As :meth:`LabelModel.transform`."""
         order = df.columns
         for i, (c, m) in enumerate(self.maps.items()):
-            if c not in df.columns:
+            if c in df.columns:
+                df = m.lookup(df, f"__enc_{i}", F.col(q(c)).cast("string"), f"t{i}")
+        if report:
+            report_unknown(df, [(c, F.col(q(c)), F.col(q(c)).isNotNull() & F.col(f"__enc_{i}").isNull())
+                                for i, c in enumerate(self.maps) if c in order], self.handle_unknown)
+        for i, c in enumerate(self.maps):
+            if c not in order:
                 continue
             tmp = f"__enc_{i}"
-            df = m.lookup(df, tmp, F.col(c).cast("string"), f"t{i}")
             enc = F.coalesce(F.col(tmp), F.lit(self.global_mean).cast("double")).cast("double")
             if self.handle_unknown == "error":
-                enc = F.when(_fail_unknown(c, F.col(tmp).isNotNull(), F.col(c), False), enc)
+                enc = F.when(_fail_unknown(c, F.col(tmp).isNotNull(), F.col(q(c)), False), enc)
             df = df.withColumn(c, enc).drop(tmp)
-        return df.select(*order)
+        return df.select(*map(q, order))
 
 
 # ---------------------------------------------------------------- E4 / E4s
@@ -438,7 +489,7 @@ class HashEncoder(Model):
 
     def transform(self, df: DataFrame) -> DataFrame:
         cols = resolve_columns(df, self.columns, categorical_columns)
-        keep = [F.col(c) for c in df.columns if c not in cols]
+        keep = [F.col(q(c)) for c in df.columns if c not in cols]
         new = [self.bucket(c, i).alias(f"{c}_hash_{i}")
                for c in cols for i in range(self.n_functions)]
         return df.select(*keep, *new)

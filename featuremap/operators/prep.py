@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import as_double, non_numeric_columns, numeric_columns, resolve_columns
+from ..functions.columns import as_double, non_numeric_columns, numeric_columns, q, resolve_columns
 from ..functions.quantiles import exact_quantiles
 from .base import Estimator, Model
-from .encode import LabelEncoder
+from .encode import LabelEncoder, LabelModel
 from .scale import RobustScaler
 
 # Exact (case-insensitive) names dropped by the default id rule.
@@ -34,7 +34,7 @@ def drop_id_columns(df: DataFrame, rule: Callable[[str], bool] = is_id_like) ->
 def select_by_type(df: DataFrame, kind: str) -> DataFrame:
     """``numeric`` / ``categorical`` (non-numeric) column subset."""
     cols = numeric_columns(df) if kind == "numeric" else non_numeric_columns(df)
-    return df.select(*cols)
+    return df.select(*map(q, cols))
 
 
 # ---------------------------------------------------------------- X5
@@ -51,8 +51,9 @@ class MedianImputer(Estimator):
 
 
 # ---------------------------------------------------------------- X6
-def column_modes(df: DataFrame, cols: list[str]) -> dict[str, str | None]:
-    """Most frequent non-null value per column, ties to the smallest value.
+def column_modes(df: DataFrame, cols: list[str]) -> dict[str, object]:
+    """Most frequent non-null value per column, ties to the smallest value: a
+    string, or for columns of other types a typed literal column.
 
     One shuffle over ``(column, value)`` with map-side counting, then a second
     aggregate picking ``min(struct(-count, value))`` per column: no single
@@ -60,14 +61,20 @@ def column_modes(df: DataFrame, cols: list[str]) -> dict[str, str | None]:
     """
     if not cols:
         return {}
-    items = [F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in cols]
+    # values that are no scalars are counted as JSON text and read back from it
+    nested = {c: df.schema[c].dataType for c in cols
+              if isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType))}
+    text = lambda c: F.to_json(F.col(q(c))) if c in nested else F.col(q(c)).cast("string")
+    items = [F.struct(F.lit(c).alias("col"), text(c).alias("value")) for c in cols]
     best = (df.select(F.inline(F.array(*items)))
             .where(F.col("value").isNotNull())
             .groupBy("col", "value").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("col").agg(F.min(F.struct((-F.col("n")).alias("neg"), "value")).alias("b"))
             .collect())
     out: dict[str, str | None] = {c: None for c in cols}
-    out.update({r["col"]: r["b"]["value"] for r in best})
+    for r in best:
+        c, value = r["col"], r["b"]["value"]
+        out[c] = F.from_json(F.lit(value), nested[c]) if c in nested else value
     return out
 
 
@@ -85,7 +92,7 @@ class ModeImputer(Estimator):
 class FillModel(Model):
     def __init__(self, values: dict, nan_too: bool):
         self.values, self.nan_too = values, nan_too
-        self.params = {c: {"fill": v} for c, v in values.items()}
+        self.params = {c: {"fill": None if isinstance(v, Column) else v} for c, v in values.items()}
 
     def transform(self, df: DataFrame) -> DataFrame:
         exprs = {}
@@ -93,10 +100,18 @@ class FillModel(Model):
             if c not in df.columns or v is None:
                 continue
             dt = df.schema[c].dataType
-            src = as_double(df, c) if self.nan_too else F.col(c)
-            if isinstance(v, float) and not v.is_integer():
-                dt = T.DoubleType()      # a fractional median widens an integer column
-            exprs[c] = F.coalesce(src, F.lit(v)).cast(dt)
+            if isinstance(v, Column):
+                exprs[c] = F.coalesce(F.col(q(c)), v)
+            elif isinstance(dt, (T.FloatType, T.DoubleType)) and self.nan_too:
+                exprs[c] = F.coalesce(as_double(df, c), F.lit(v)).cast(dt)
+            elif isinstance(v, float) and not v.is_integer():
+                # a fractional median widens an integer column
+                exprs[c] = F.coalesce(F.col(q(c)).cast("double"), F.lit(v))
+            elif isinstance(v, float):
+                # values that are there keep their own type and digits
+                exprs[c] = F.coalesce(F.col(q(c)), F.lit(int(v)).cast(dt))
+            else:
+                exprs[c] = F.coalesce(F.col(q(c)), F.lit(v).cast(dt))
         return df.withColumns(exprs)
 
 
@@ -170,7 +185,7 @@ class AutoPrep(Estimator):
         kept = [c for c in df.columns if not self.rule(c)]
         # every fit below is a job over the same rows: materialize the input
         # once (spilling to disk if needed) instead of recomputing its lineage
-        base = df.select(*kept).persist(StorageLevel.MEMORY_AND_DISK)
+        base = df.select(*map(q, kept)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # empty input is rejected by the robust fit below (one count in its
             # first pass), so no separate job is spent on it here
@@ -184,7 +199,7 @@ class AutoPrep(Estimator):
             if mode:
                 filled = mode.transform(filled)
             label = LabelEncoder(cat, handle_unknown="warn").fit(filled) if cat else None
-            coded = label.transform(filled) if label else filled
+            coded = label.transform(filled, report=False) if label else filled
             scaler = RobustScaler(kept, exact=self.exact)
             robust = scaler.fit(coded)
         finally:
@@ -204,9 +219,11 @@ class AutoPrepModel(Model):
     def transform(self, df: DataFrame) -> DataFrame:
         out = df
         for m in (self.med, self.mode, self.label, self.robust):
-            if m is not None:
+            if isinstance(m, LabelModel):
+                out = m.transform(out, report=False)     # -1 for new values, no extra pass
+            elif m is not None:
                 out = m.transform(out)
         return out
 
     def features_only(self, df: DataFrame) -> DataFrame:
-        return self.transform(df.select(*self.features))
+        return self.transform(df.select(*map(q, self.features)))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import TransformerError
-from ..functions.columns import as_double, numeric_columns, resolve_columns
+from ..functions.columns import as_double, numeric_columns, q, resolve_columns
 from ..functions.quantiles import exact_quantiles
 from .base import Estimator, Model, literal, require_rows
 
@@ -63,7 +63,7 @@ class _ColumnwiseModel(Model):
 
     def transform(self, df: DataFrame) -> DataFrame:
         present = [c for c in self.params if c in df.columns]
-        return df.withColumns({c: self.expr(F.col(c).cast("double"), self.params[c])
+        return df.withColumns({c: self.expr(F.col(q(c)).cast("double"), self.params[c])
                                for c in present})
 
 
