@@ -13,6 +13,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from .errors import PipelineError
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "featuremap") -> SparkSession:
@@ -42,8 +44,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # pragma: no cover - Spark Connect: only the configuration is visible
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            configured = tempfile.mkdtemp(prefix="featuremap-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", configured)
+            raise PipelineError("set spark.checkpoint.dir to a folder that all executors share")
         return configured
     current = sc.getCheckpointDir()
     if current:
@@ -51,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise PipelineError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="featuremap-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

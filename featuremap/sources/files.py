@@ -8,20 +8,21 @@ first action for CSV) and are re-raised as ``SourceError``.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import DestinationError, SourceError
+from ..functions.columns import q
 
 # Tokens that the pandas CSV reader treats as missing by default.
 PANDAS_NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
+#: how a number is written; Java also takes a type suffix and hexadecimal
+NUMBER = r"^[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|[iI]nf(inity)?)$"
 # Spellings read as booleans.
 BOOL_TOKENS = ("True", "False", "true", "false", "TRUE", "FALSE")
 
@@ -58,7 +59,7 @@ class Destination:
 def _typed(df: DataFrame, overrides: dict[str, str] | None) -> DataFrame:
     if not overrides:
         return df
-    return df.withColumns({c: F.col(c).cast(t) for c, t in overrides.items() if c in df.columns})
+    return df.withColumns({c: F.col(q(c)).cast(t) for c, t in overrides.items() if c in df.columns})
 
 
 class CSVSource(Source):
@@ -69,26 +70,32 @@ class CSVSource(Source):
     else ``double`` if every value parses as a number, else ``boolean`` for
     True/False spellings, else ``string`` (dates stay strings).  Tokens in
     ``null_tokens`` become NULL.  ``schema_overrides={"a": "int"}`` forces
-    types (S4); an explicit ``schema`` skips inference.
+    types (S4); an explicit ``schema`` skips inference.  Quoted fields follow RFC
+    4180: separators, doubled quotes and, with ``multi_line`` (files are then not
+    split), line breaks.
     """
 
     def __init__(self, path: str, sep: str = ",", null_tokens=PANDAS_NULL_TOKENS,
                  schema: T.StructType | str | None = None,
-                 schema_overrides: dict[str, str] | None = None, encoding: str = "UTF-8"):
+                 schema_overrides: dict[str, str] | None = None, encoding: str = "UTF-8",
+                 multi_line: bool = False):
+        self.multi_line = multi_line
         self.path, self.sep, self.null_tokens = path, sep, tuple(null_tokens)
         self.schema, self.overrides, self.encoding = schema, schema_overrides, encoding
 
     def extract(self, spark: SparkSession) -> DataFrame:
         try:
             reader = (spark.read.option("header", True).option("sep", self.sep)
-                      .option("mode", "FAILFAST").option("encoding", self.encoding))
+                      .option("mode", "FAILFAST").option("encoding", self.encoding)
+                      .option("quote", '"').option("escape", '"')
+                      .option("multiLine", self.multi_line))
             if self.schema is not None:
                 return _typed(reader.schema(self.schema).csv(self.path), self.overrides)
             names = reader.csv(self.path).columns           # header only
             strings = T.StructType([T.StructField(n, T.StringType()) for n in names])
             raw = reader.schema(strings).csv(self.path)
-            raw = raw.select(*[F.when(F.col(n).isin(list(self.null_tokens)), F.lit(None))
-                               .otherwise(F.col(n)).alias(n) for n in names])
+            raw = raw.select(*[F.when(F.col(q(n)).isin(list(self.null_tokens)), F.lit(None))
+                               .otherwise(F.col(q(n))).alias(n) for n in names])
             return _typed(infer_types(raw, exclude=set(self.overrides or ())), self.overrides)
         except SourceError:
             raise
@@ -103,25 +110,25 @@ def infer_types(raw: DataFrame, exclude: set[str] = frozenset()) -> DataFrame:
         return raw
     aggs = []
     for i, n in enumerate(names):
-        c = F.col(n)
+        c = F.col(q(n))
         present = c.isNotNull()
-        aggs += [F.count_if(present & F.expr(f"try_cast(`{n}` AS BIGINT)").isNull()
-                            ).alias(f"i{i}"),
-                 F.count_if(present & F.expr(f"try_cast(`{n}` AS DOUBLE)").isNull()
-                            ).alias(f"d{i}"),
+        # a Java number may end in D, F or L; such text is no number here
+        number = F.trim(c).rlike(NUMBER)
+        aggs += [F.count_if(present & ~(number & c.try_cast("bigint").isNotNull())).alias(f"i{i}"),
+                 F.count_if(present & ~(number & c.try_cast("double").isNotNull())).alias(f"d{i}"),
                  F.count_if(present & ~c.isin(list(BOOL_TOKENS))).alias(f"b{i}"),
                  F.count(c).alias(f"n{i}")]
     row = raw.agg(*aggs).first()
     casts = {}
     for i, n in enumerate(names):
         if row[f"n{i}"] == 0:
-            casts[n] = F.col(n).cast("double")          # all missing: float NaN column in pandas
+            casts[n] = F.col(q(n)).cast("double")          # all missing: float NaN column in pandas
         elif row[f"i{i}"] == 0:
-            casts[n] = F.col(n).cast("bigint")
+            casts[n] = F.col(q(n)).cast("bigint")
         elif row[f"d{i}"] == 0:
-            casts[n] = F.col(n).cast("double")
+            casts[n] = F.col(q(n)).cast("double")
         elif row[f"b{i}"] == 0:
-            casts[n] = F.lower(F.col(n)) == F.lit("true")
+            casts[n] = F.lower(F.col(q(n))) == F.lit("true")
     return raw.withColumns(casts)
 
 
@@ -178,7 +185,7 @@ class CSVDestination(_Writer):
     """A directory of CSV part files with a header, overwritten (K1, K4, K5)."""
 
     def _write(self, df):
-        (df.write.mode(self.mode).option("header", True).options(**self.options)
+        (df.write.mode(self.mode).option("header", True).option("escape", '"').options(**self.options)
          .csv(self.path))
 
 
@@ -194,5 +201,3 @@ class ParquetDestination(_Writer):
         df.write.mode(self.mode).options(**self.options).parquet(self.path)
 
 
-def exists(path: str) -> bool:
-    return os.path.exists(path)

@@ -92,11 +92,16 @@ def read_rows(path: str, sheet=0):
         if "xl/sharedStrings.xml" in z.namelist():
             for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", _N):
                 shared.append("".join(t.text or "" for t in si.iter(f"{{{NS_MAIN}}}t")))
-        part = _sheet_part(z, sheet)
+        part, seen = _sheet_part(z, sheet), 0
         with z.open(part) as fh:
             for _, row in ET.iterparse(fh):
                 if row.tag != f"{{{NS_MAIN}}}row":
                     continue
+                # rows without any cell may be left out of the file
+                number = int(row.get("r") or seen + 1)
+                for _ in range(number - seen - 1):
+                    yield []
+                seen = number
                 cells = {}
                 for c in row.findall("m:c", _N):
                     t = c.get("t")
@@ -119,6 +124,10 @@ def read_rows(path: str, sheet=0):
                 yield [cells.get(i) for i in range(width)]
 
 
+def header_names(cells: list) -> list[str]:
+    return [str(h) if h is not None else f"_c{i}" for i, h in enumerate(cells)]
+
+
 class _FilePartition(InputPartition):
     def __init__(self, path: str):
         super().__init__(path)
@@ -126,20 +135,23 @@ class _FilePartition(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, files, sheet, width):
-        self.files, self.sheet, self.width = files, sheet, width
+    def __init__(self, files, sheet, names):
+        self.files, self.sheet, self.names = files, sheet, names
 
     def partitions(self):
         return [_FilePartition(f) for f in self.files]
 
     def read(self, partition):
         rows = read_rows(partition.path, self.sheet)
-        next(rows, None)                      # header
+        header = header_names(next(rows, []))
+        if sorted(header) != sorted(self.names):
+            raise SourceError(f"{partition.path}: columns {header} differ from {self.names}")
+        at = [header.index(n) for n in self.names]        # other files may order them otherwise
         for r in rows:
-            if not any(v not in (None, "") for v in r):
-                continue
-            r = (r + [None] * self.width)[: self.width]
-            yield tuple(r)
+            if any(v not in (None, "") for v in r[len(header):]):
+                raise SourceError(f"{partition.path}: a row has more cells than the header")
+            r = r + [None] * (len(header) - len(r))
+            yield tuple(r[i] for i in at)
 
 
 class _Commit(WriterCommitMessage):
@@ -185,11 +197,10 @@ class WorkbookDataSource(DataSource):
         if not files:
             raise SourceError(f"File not found: {self.options['path']}")
         header = next(read_rows(files[0], self._sheet()), [])
-        return T.StructType([T.StructField(str(h) if h is not None else f"_c{i}", T.StringType())
-                             for i, h in enumerate(header)])
+        return T.StructType([T.StructField(h, T.StringType()) for h in header_names(header)])
 
     def reader(self, schema):
-        return _Reader(_files(self.options["path"]), self._sheet(), len(schema.fields))
+        return _Reader(_files(self.options["path"]), self._sheet(), [f.name for f in schema.fields])
 
     def writer(self, schema, overwrite):
         return _Writer(local_path(self.options["path"]), self.options.get("sheet", "Sheet1"),
