@@ -3,13 +3,15 @@ scripts (G1-G6, M22, J1, U1, O1, O2, A1, A2, X9-X14)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators.auto import auto_segment
 from ..operators.joins import left_join_hot_right
-from ..operators.prep import AutoPrep, bands, coord_label, with_share
+from ..operators.prep import bands, with_share
 from ..operators.segment import SEGMENT_LOOKUP, cluster_codebook, elbow, label_rows, lookup_table, profile
-from ..operators.som import SOM, default_grid_size
-from .q_som import (CUST_EPOCHS, CUST_FEATS, LINE_EPOCHS, cust_model, cust_sql,
+from ..operators.som import default_grid_size
+from .q_som import (CUST_EPOCHS, CUST_SRC, CUST_FEATS, LINE_EPOCHS, cust_model, cust_sql,
                     customer_features, line_model, line_sql)
 from .registry import query, table
 
@@ -32,11 +34,12 @@ def top_neurons(spark, sf):
 
 @query("dense_neurons", sql=line_sql() + f"""
 SELECT nx AS neuron_x, ny AS neuron_y, count(*) AS hits FROM a{LINE_EPOCHS} WHERE rn = 1
-GROUP BY nx, ny HAVING count(*) > 2400""")
+GROUP BY nx, ny HAVING count(*) > 0.04::DOUBLE * (SELECT count(*) FROM src)""")
 def dense_neurons(spark, sf):
     a, _ = _line_assigned(spark, sf)
     return (a.groupBy("neuron_x", "neuron_y").agg(F.count(F.lit(1)).alias("hits"))
-            .where(F.col("hits") > 2400))
+            .withColumn("__all", F.sum("hits").over(Window.partitionBy()))      # one row a neuron
+            .where(F.col("hits") > F.lit(0.04) * F.col("__all")).drop("__all"))
 
 
 @query("value_counts", sql="""
@@ -164,8 +167,6 @@ _AUTO_FEATS = ["c_mktsegment", "c_acctbal", "n_orders", "total_spent"]
 
 
 def _auto_src_sql():
-    from .q_som import CUST_SRC
-
     def rob(c):
         return (f"CASE WHEN quantile_cont({c}, 0.75) OVER () = quantile_cont({c}, 0.25) OVER () "
                 f"THEN 0.0::DOUBLE ELSE ({c} - median({c}) OVER ()) / (quantile_cont({c}, 0.75) OVER () "
@@ -185,19 +186,12 @@ def _auto_sql():
                     sigma, 0.5, "gaussian", "asymptotic")
 
 
-def auto_segmentation_df(spark, sf, epochs=_AUTO_EPOCHS, tol=0.0):
+def auto_segmentation_df(spark, sf, epochs=_AUTO_EPOCHS):
     """read -> automatic preparation -> grid-size rule -> train -> label rows."""
     base = customer_features(spark, sf).withColumnRenamed("c_custkey", "customer_id") \
         .select("customer_id", *_AUTO_FEATS)
-    prep = AutoPrep().fit(base)                          # drops customer_id (id rule)
-    feats = prep.transform(base)
-    n = prep.n_rows if prep.n_rows is not None else feats.count()
-    side, sigma = default_grid_size(n)
-    model = SOM(side, side, features=prep.features, epochs=epochs, tol=tol, sigma=sigma,
-                learning_rate=0.5, initialization="grid").fit(feats)
-    return (model.transform(feats, prefix="som_group")
-            .select("customer_id", "som_group_x", "som_group_y",
-                    coord_label("som_group_x", "som_group_y").alias("som_cluster")))
+    return auto_segment(base, epochs=epochs).rows.select(
+        "customer_id", "som_group_x", "som_group_y", "som_cluster")
 
 
 @query("auto_segmentation", headline=True, sql=_auto_sql() + f"""
@@ -205,3 +199,14 @@ SELECT customer_id, nx AS som_group_x, ny AS som_group_y, nx || '-' || ny AS som
 FROM a{_AUTO_EPOCHS} WHERE rn = 1""")
 def auto_segmentation(spark, sf):
     return auto_segmentation_df(spark, sf)
+
+
+@query("auto_segmentation_rows", sql=_auto_sql() + f"""
+SELECT f.c_custkey AS customer_id, f.c_mktsegment, f.c_acctbal, f.n_orders, f.total_spent,
+       a.nx || '-' || a.ny AS som_cluster
+FROM a{_AUTO_EPOCHS} a JOIN ({CUST_SRC}) f ON a.customer_id = f.c_custkey WHERE a.rn = 1""")
+def auto_segmentation_rows(spark, sf):
+    """The library call keeps every input column as it was."""
+    base = customer_features(spark, sf).withColumnRenamed("c_custkey", "customer_id") \
+        .select("customer_id", *_AUTO_FEATS)
+    return auto_segment(base, epochs=_AUTO_EPOCHS).rows.drop("som_group_x", "som_group_y")
