@@ -43,16 +43,16 @@ from featuremap.session import ship_package
 
 SHARD_BYTES = 16 << 20
 INDEX_KEYS = 100_000
-CACHE_UNITS = 300_000
+CACHE_UNITS = 400_000
 
-#: the characters the pre-tokeniser takes as white space
+#: the characters the pre-tokeniser takes as white space, for re and for RE2
 _WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_BEFORE_SPACE = re.compile(f"[{_WS}] ")
+_BEFORE_SPACE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 _UNIT = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 
 
 class Encoder:
-    """The library's ids, a text's units encoded once while they stay cached.
+    """The library's ids; the units of a text are encoded once while they stay cached.
 
     A text is cut where white space follows a character that is none.  The
     pre-tokeniser's pattern always ends a match there and never looks back, so
@@ -66,28 +66,98 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.units: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian bytes."""
-        cut = [self._cut(t) if t else [] for t in texts]
-        if len(self.units) > CACHE_UNITS:
-            self.units.clear()
-        get = self.units
-        new = list({u for units in cut for u in units if u not in get})
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            coded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            get.update((u, np.array(c.ids, self.dtype).tobytes()) for u, c in zip(part, coded, strict=True))
-        return [b"".join([get[u] for u in units]) for units in cut]
-
-    @staticmethod
-    def _cut(text: str) -> list[str]:
-        if _BEFORE_SPACE.search(text):
-            return _UNIT.findall(text)
-        first, *rest = text.split(" ")
-        units = [" " + u for u in rest]
-        return [first, *units] if first else units
+        self.width = np.dtype(self.dtype).itemsize
+        (self.line,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+
+    def encode(self, column: pa.Array) -> list[bytes]:
+        """The ids of each text of a string column as little-endian bytes."""
+        import pyarrow.compute as pc
+
+        column = pc.fill_null(column, "")
+        odd = pc.match_substring_regex(column, _BEFORE_SPACE).to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(column)
+        for i in np.flatnonzero(odd).tolist():
+            out[i] = b"".join(self._ids(_UNIT.findall(column[i].as_py())))
+        plain = np.flatnonzero(~odd)
+        if not len(plain):
+            return out
+        lists = pc.split_pattern(column.take(pa.array(plain)), " ")
+        at = lists.offsets.to_numpy().astype(np.int64)
+        at = at - at[0]
+        words = lists.flatten().dictionary_encode()
+        index = words.indices.to_numpy().astype(np.int64)
+        # all but the first piece of a text follow a space
+        units = [" " + u for u in words.dictionary.to_pylist()]
+        first = words.dictionary.take(words.indices.take(pa.array(at[:-1]))).to_pylist()
+        index[at[:-1]] = len(units) + np.arange(len(first))
+        values = self._ids(units + first)
+        raw = np.frombuffer(b"".join(values), self.dtype)
+        size = np.fromiter(map(len, values), np.int64, len(values)) // self.width
+        start = np.cumsum(size) - size
+        n = size[index]
+        end = np.cumsum(n)
+        ids = raw[np.repeat(start[index] - (end - n), n) + np.arange(end[-1])]
+        for i, lo, hi in zip(plain.tolist(), (end - n)[at[:-1]].tolist(), end[at[1:] - 1].tolist(), strict=True):
+            out[i] = ids[lo:hi].tobytes()
+        return out
+
+    def _ids(self, units: list[str]) -> list[bytes]:
+        if len(self.young) > CACHE_UNITS:
+            self.young, self.old = {"": b""}, self.young
+        young, old = self.young, self.old
+        out = [young.get(u) for u in units]
+        new = {}
+        for i, v in enumerate(out):
+            if v is None:
+                u = units[i]
+                if (v := old.get(u)) is None:
+                    new[u] = None
+                else:
+                    young[u] = out[i] = v
+        if new:
+            split = {u: parts for u in new if len(parts := _parts(u)) > 1}
+            todo = dict.fromkeys(p for u in new for p in split.get(u, (u,)))
+            for u in list(todo):
+                if (v := young.get(u) or old.get(u)) is not None:
+                    young[u] = v
+                    del todo[u]
+            # a line feed is a token of its own between other characters and before a space
+            bare = [u for u in todo if u.split() == [u.removeprefix(" ")]]
+            for lo in range(0, len(bare), 1000):
+                part = bare[lo:lo + 1000]
+                (coded,) = self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)
+                raw = np.array(coded.ids, self.dtype)
+                cut = [-1, *np.flatnonzero(raw == self.line).tolist(), len(raw)]
+                if len(cut) != len(part) + 1:
+                    raise AssertionError("a unit holds a line feed")
+                raw, width = raw.tobytes(), self.width
+                young.update((u, raw[(i + 1) * width:j * width]) for u, i, j in zip(part, cut, cut[1:], strict=False))
+            rest = [u for u in todo if u not in young]
+            for u, coded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+                young[u] = np.array(coded.ids, self.dtype).tobytes()
+            young.update((u, b"".join([young[p] for p in parts])) for u, parts in split.items())
+            out = [young[u] if v is None else v for u, v in zip(units, out, strict=True)]
+        return out
+
+
+def _parts(unit: str) -> list[str]:
+    """A unit at its line feeds between other characters, and before a full stop or
+    comma after letters: there the pattern ends a match too."""
+    out = []
+    lines = unit.split("\n")
+    if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in (lines[0].removeprefix(" "), *lines[1:])):
+        return [unit]
+    for i, line in enumerate(lines):
+        if i:
+            out.append("\n")
+        word = line[:-1]
+        if line[-1:] in (".", ",") and word.removeprefix(" ").isalpha():
+            out += [word, line[-1]]
+        else:
+            out.append(line)
+    return out
 
 
 @lru_cache(maxsize=2)
@@ -113,14 +183,14 @@ def _write(tokenizer: str, folder: str, end_id: int):
         system, base = _filesystem(folder)
         shard = TaskContext.get().partitionId()
         name, out = f"{shard:06d}-{uuid.uuid4().hex}.ids", None
-        end, width = np.array([end_id], enc.dtype).tobytes(), np.dtype(enc.dtype).itemsize
+        end, width = np.array([end_id], enc.dtype).tobytes(), enc.width
         offset, last, rep = 0, object(), 0
         try:
             for batch in batches:
-                for part in slices(batch, "text"):
+                for part in slices(batch, "text", SHARD_BYTES):
                     if out is None:
                         out = system.open_output_stream(f"{base}/{name}")
-                    raw = [x + end for x in enc.encode(part.column("text").to_pylist())]
+                    raw = [x + end for x in enc.encode(part.column("text"))]
                     out.write(b"".join(raw))
                     ids, reps = part.column("id"), []
                     for i in ids.to_pylist():

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -18,7 +19,9 @@ def brute(rows, end=2):
 
 def test_units_give_the_ids_of_the_text():
     texts = ["", " ", "a", " a", "a ", "a  b", "  a", "x\n y\n\n z", "it's we'll ' s", "don't　 do \x1c !\x1c x",
-             "tab\t here \t\t there", "漢字 かな 🙂 é ßß", "1 23 456.7 -8", "<|endoftext|> in text", "\n", "a\n", "!\x85 b"]
+             "tab\t here \t\t there", "漢字 かな 🙂 é ßß", "1 23 456.7 -8", "<|endoftext|> in text", "\n", "a\n", "!\x85 b", "one.\nTwo, three.\nfour.\n\nfive\n six\x85\nseven", "a\nb\n", " x\n\ty. z"]
+    words = ["foo.", "bar,", "it's", "x\ny", "Z.\nA", "²,", "½.", "e\u0301.", "\n", "a.b", "..", "9.", "é,\nÉ.", "ǅ.", "ʰ,"]
+    texts += [" ".join(r.choice(words) for _ in range(40)) for r in [random.Random(i) for i in range(30)]]
     enc = token_files.Encoder(PATH)
     tok = Tokenizer.from_file(PATH)
     tok.encode_special_tokens = True
