@@ -108,10 +108,12 @@ class _Mapping:
         size = len(self.small) if self.small is not None else self.size
         if size <= BROADCAST_LIMIT and nbytes + 16 * size <= BROADCAST_BYTES:
             tab = F.broadcast(tab)          # size checked at fit time
-        # otherwise a shuffle join planned by AQE (skewed keys are split)
-        return (df.withColumn(f"__key_{tag}", key)
-                .join(tab, F.col(f"__key_{tag}") == F.col(k), "left")
-                .drop(k, f"__key_{tag}").withColumnRenamed(v, out))
+        # otherwise a shuffle join planned by AQE (skewed keys are split); rows without
+        # a key match nothing and are spread by the partition they come from
+        spread = F.coalesce(key, F.concat(F.lit("none "), F.spark_partition_id().cast("string")))
+        return (df.withColumn(f"__none_{tag}", key.isNull()).withColumn(f"__key_{tag}", spread)
+                .join(tab, (F.col(f"__key_{tag}") == F.col(k)) & ~F.col(f"__none_{tag}"), "left")
+                .drop(k, f"__key_{tag}", f"__none_{tag}").withColumnRenamed(v, out))
 
 
 def _fail_unknown(col: str, known: Column, value: Column, include_null: bool) -> Column:

@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,13 +147,12 @@ def coord_label(x: Column | str, y: Column | str, sep: str = "-") -> Column:
 # ---------------------------------------------------------------- X13 / X14
 def with_share(df: DataFrame, count_col: str = "count", out: str = "percent",
                scale: float = 100.0) -> DataFrame:
-    """Share of the total of ``count_col`` (``sum() over ()``).
-
-    Meant for grouped results (one row per segment, band or neuron): the
-    window gathers those few rows, never the raw input, into one task.
-    """
-    total = F.sum(count_col).over(Window.partitionBy())
-    return df.withColumn(out, F.col(count_col) * F.lit(scale) / total)
+    """Share of the total of ``count_col``: a one-row aggregate, joined by broadcast,
+    so no task gathers the rows."""
+    total = df.agg(F.sum(q(count_col)).alias("__total")).withColumn("__one", F.lit(1))
+    return (df.withColumn("__one", F.lit(1)).join(F.broadcast(total), "__one")
+            .withColumn(out, F.col(q(count_col)) * F.lit(scale) / F.col("__total"))
+            .drop("__one", "__total"))
 
 
 def attach_lookup(df: DataFrame, lookup: DataFrame, key: str,

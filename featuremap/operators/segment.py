@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from .prep import attach_lookup, with_share
 
-# Segment names, strategies and budgets of the reference's
-# customer-segmentation example, by segment id.
+#: an example lookup: segment id, name, strategy, budget; pass your own rows
 SEGMENT_LOOKUP = [
     (0, "VIP Spenders", "Premium Experience", "30% - Alto valor, alto ROI"),
     (1, "Budget Conscious", "Value Maximization", "25% - Volumen potencial"),
@@ -46,9 +45,9 @@ def elbow(codebook: DataFrame, ks=range(2, 10), seed: int = 42) -> DataFrame:
 
 
 def label_rows(assigned: DataFrame, neuron_segments: DataFrame) -> DataFrame:
-    """Segment of every row through its neuron (G3); the neuron table has
-    x*y rows, so it is broadcast."""
-    return assigned.join(F.broadcast(neuron_segments), ["neuron_x", "neuron_y"], "left")
+    """Segment of every row through its neuron (G3).  The planner decides how the
+    neuron table is joined: its size is the caller's."""
+    return assigned.join(neuron_segments, ["neuron_x", "neuron_y"], "left")
 
 
 def profile(labelled: DataFrame, segment: str, measures: list[str],

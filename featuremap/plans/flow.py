@@ -93,6 +93,8 @@ class Pipeline:
             df = m.transform(df)
         self._data = df
         self.model = PipelineModel(models)
+        # all stages are fitted: what comes now reads the input itself
+        self.unpersist()
         return self.model
 
     def run(self, spark: SparkSession | None = None) -> DataFrame:
@@ -106,7 +108,6 @@ class Pipeline:
             if self._destination is not None:
                 save = getattr(self._destination, "save", self._destination)
                 save(self._data)
-                self.unpersist()
             return self._data
         except PipelineError:
             raise

@@ -115,7 +115,7 @@ FROM a{CUST_EPOCHS} LEFT JOIN lk ON lk.segment = {_SEG_SQL} WHERE rn = 1""")
 def segment_lookup(spark, sf):
     lab = _segmented(spark, sf)
     lk = lookup_table(spark)
-    out = lab.join(F.broadcast(lk), "segment", "left").withColumn(
+    out = lab.join(lk, "segment", "left").withColumn(
         "name", F.coalesce("name", F.concat(F.lit("Segment "), F.col("segment").cast("string"))))
     return out.select("c_custkey", "segment", "name", "strategy")
 

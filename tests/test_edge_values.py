@@ -154,3 +154,12 @@ def test_workbook_rows_and_columns_by_name(spark, tmp_dir):
     with pytest.raises(Exception, match="differ"):
         ExcelSource(tmp_dir + "/w").extract(spark).collect()
     assert issubclass(SourceError, Exception)
+
+
+def test_rows_without_a_key_pass_a_large_mapping(spark, monkeypatch):
+    from featuremap.operators import encode
+
+    monkeypatch.setattr(encode, "BROADCAST_LIMIT", 0)
+    df = spark.createDataFrame([("a",), (None,), ("b",), (None,), ("none 0",)], "k string").repartition(3)
+    out = LabelEncoder(["k"], collect_limit=0, handle_unknown="ignore").fit(df).transform(df)
+    assert sorted((r.k for r in out.collect()), key=str) == [0, 1, 2, None, None]
