@@ -29,26 +29,49 @@ def _places(keys: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     return a & np.uint64(words - 1), mask
 
 
-def build(df: DataFrame, column: str, n: int, bits_per_key: int = 16) -> np.ndarray:
-    """The filter over the longs of ``column``, about ``n`` of them: at most
-    MAX_BITS / 64 words reach the driver."""
-    bits = 1 << min(max(n * bits_per_key - 1, 1023).bit_length(), MAX_BITS.bit_length() - 1)
+_PAGE = 4096        # words
+
+
+def build(df: DataFrame, column: str, n: int) -> np.ndarray:
+    """The filter over the longs of ``column``, about ``n`` of them."""
+    return build_levels(df.select(F.col(column).alias("t"), F.lit(0).cast("long").alias("k")), [(0, n)])[0]
+
+
+def build_levels(df: DataFrame, levels: list[tuple[int, int]], bits_per_key: int = 16) -> list[np.ndarray]:
+    """A filter per (least k, about how many keys) over the keys ``t`` with at least
+    that ``k``.  Pages of the filters are united by Spark and come to the driver
+    packed, MAX_BITS / 8 bytes a level at most."""
+    sizes = [(k, (1 << min(max(n * bits_per_key - 1, 1023).bit_length(), MAX_BITS.bit_length() - 1)) // 64)
+             for k, n in levels]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, mask = _places(batch.column(0).to_numpy().view("u8"), bits // 64)
-            order = np.argsort(at)
-            at, mask = at[order], mask[order]
-            first = np.flatnonzero(np.diff(at, prepend=at[:1] + np.uint64(1))) if len(at) else []
-            value = np.bitwise_or.reduceat(mask, first) if len(at) else mask
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at[first].view("i8")), pa.array(value.view("i8"))], names=["at", "value"])
-
-    rows = (df.select(column).mapInArrow(run, "at long, value long")
-            .groupBy("at").agg(F.bit_or("value").alias("value")).toArrow())
-    out = np.zeros(bits // 64, np.int64)
-    out[rows.column("at").to_numpy()] = rows.column("value").to_numpy()
-    return out.view("u8")
+            t, k = batch.column("t").to_numpy().view("u8"), batch.column("k").to_numpy()
+            for level, (least, words) in enumerate(sizes):
+                at, mask = _places(t[k >= least], words)
+                if not len(at):
+                    continue
+                order = np.argsort(at)
+                at, mask = at[order], mask[order]
+                first = np.flatnonzero(np.diff(at, prepend=at[:1] + np.uint64(1)))
+                at, value = at[first].view("i8"), np.bitwise_or.reduceat(mask, first)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at // _PAGE * len(sizes) + level), pa.array(at % _PAGE), pa.array(value.view("i8"))],
+                    names=["page", "at", "value"])
+
+    def unite(table: pa.Table) -> pa.Table:
+        page = np.zeros(_PAGE, np.uint64)
+        np.bitwise_or.at(page, table.column("at").to_numpy(), table.column("value").to_numpy().view("u8"))
+        return pa.table({"page": table.column("page")[:1], "words": [page.tobytes()]})
+
+    rows = (df.select("t", "k").mapInArrow(run, "page long, at long, value long")
+            .groupBy("page").applyInArrow(unite, "page long, words binary").toArrow())
+    out = [np.zeros(words, np.uint64) for _, words in sizes]
+    for page, words in zip(rows.column("page").to_pylist(), rows.column("words"), strict=True):
+        table, lo = out[page % len(sizes)], page // len(sizes) * _PAGE
+        part = np.frombuffer(words.as_buffer(), "<u8")
+        table[lo:lo + _PAGE] = part[:len(table) - lo]
+    return out
 
 
 def test(table: np.ndarray, keys: np.ndarray) -> np.ndarray:

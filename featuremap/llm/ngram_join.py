@@ -18,8 +18,8 @@ compared.  A pair is held to the smaller l of its two sets.
 4. Star rounds: each set is compared with the most central holder it shares
    elements with.  A large group of near copies is linked in a number of
    comparisons that grows with its members, not their pairs.
-5. Pairs not yet in one component are all compared if they share l elements of
-   their prefixes, early enough that the rest can still make up the overlap.
+5. Pairs not yet in one component are all compared if the first element they share
+   leaves room for the overlap and they share l elements of their prefixes.
 
 Equal sets are one class throughout.  Comparisons are exact on the sets.
 
@@ -206,15 +206,10 @@ def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
 
 def _elements(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()              # classes this task has sent, to save copies
         for batch in _pieces(batches):
             t, owner, _ = _flat(batch)
-            c = batch.column("c").to_numpy()
-            new = np.array([x not in done and not done.add(x) for x in c.tolist()], bool)
-            if len(done) > 1_000_000:
-                done.clear()
-            if new[owner].any():
-                yield _packets(t[new[owner]], c[owner][new[owner]], parts)
+            if len(t):
+                yield _packets(t, batch.column("c").to_numpy()[owner], parts)
 
     return run
 
@@ -223,7 +218,7 @@ def _prefixes(percent: int, levels):
     """Rows (t, c, n, l, pos, central) of the second prefixes: elements that another
     set holds too, with their place in the order of level and hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, done = levels.value, set()
+        tables = levels.value
         for batch in _pieces(batches):
             t, owner, n = _flat(batch)
             c = batch.column("c").to_numpy()
@@ -248,10 +243,7 @@ def _prefixes(percent: int, levels):
                     match = np.where(cost < best, l, match)
                     best = np.minimum(best, cost)
             central = np.bincount(owner, level, len(n)) / np.maximum(n, 1)
-            new = np.array([x not in done and not done.add(x) for x in c.tolist()], bool)
-            if len(done) > 1_000_000:
-                done.clear()
-            keep = (pos < (n - need + match)[owner]) & (level > 0) & new[owner]
+            keep = (pos < (n - need + match)[owner]) & (level > 0)
             o = owner[keep]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(t[keep].view("i8")), pa.array(c[o]), pa.array(n[o].astype(np.int64)),
@@ -304,24 +296,33 @@ def _star(p: DataFrame, tested: DataFrame | None, percent: int, turn: int) -> Da
 
 
 def _all_pairs(p: DataFrame, tested: DataFrame | None, percent: int) -> DataFrame:
-    """Pairs of different components that share as many elements as the smaller l,
-    the first l of them with enough elements after them."""
-    left = p.select("t", F.col("c").alias("a"), "n", "l", "pos", F.col("comp").alias("ca"))
-    right = p.select("t", F.col("c").alias("b"), F.col("n").alias("m"), F.col("l").alias("k"),
+    """Pairs of different components that share as many prefix elements as the smaller l.
+
+    Of the elements that two sets share, the first in the common order has all the
+    others after it in both; so it must come early enough for the overlap, and only
+    elements that do make a pair.  The shared elements of those pairs are counted.
+    """
+    left = p.select("t", F.col("c").alias("a"), "n", "pos", F.col("comp").alias("ca"))
+    right = p.select("t", F.col("c").alias("b"), F.col("n").alias("m"),
                      F.col("pos").alias("at"), F.col("comp").alias("cb"))
     pairs = (left.join(right, "t")
              .filter(f"a < b and ca <> cb and 100 * least(n, m) >= {percent} * greatest(n, m) and "
-                     f"least(n - pos, m - at) + least(l, k) - 1 >= {_overlap(percent)}")
-             .groupBy("a", "b").agg(F.count("*").alias("shared"), F.min(F.least("l", "k")).alias("l"))
-             .filter("shared >= l").select("a", "b"))
-    return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+                     f"least(n - pos, m - at) >= {_overlap(percent)}")
+             .select("a", "b").distinct())
+    if tested is not None:
+        pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    pairs = _stored(pairs, "near")
+    of_a = p.select(F.col("c").alias("a"), "t", "l")
+    of_b = p.select(F.col("c").alias("b"), "t", F.col("l").alias("k"))
+    return (pairs.join(of_a, "a").join(of_b, ["b", "t"])
+            .groupBy("a", "b").agg(F.count("*").alias("shared"), F.min(F.least("l", "k")).alias("l"))
+            .filter("shared >= l").select("a", "b"))
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, ok) from the whole sets."""
     nodes = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    full = (sets.select("c", "t").join(nodes, "c", "left_semi")
-            .groupBy("c").agg(F.first("t").alias("t")))
+    full = sets.join(nodes, "c", "left_semi")
     both = (pairs.join(full.select(F.col("c").alias("a"), F.col("t").alias("ta")), "a")
             .join(full.select(F.col("c").alias("b"), F.col("t").alias("tb")), "b"))
     shared = F.size(F.array_intersect("ta", "tb"))
@@ -339,7 +340,9 @@ def _sets_of(docs: DataFrame, percent: int) -> DataFrame:
                    .groupBy("part").applyInArrow(_shared, "t long, k long").select("t"), "elements")
     shared = spark.sparkContext.broadcast(_bloom.build(held, "t", held.count()))
     schema = f"id {docs.schema['id'].dataType.simpleString()}, key long, n long, c long, t array<long>"
-    return _stored(docs.mapInArrow(_sets(percent, shared), schema), "sets")
+    out = _stored(docs.mapInArrow(_sets(percent, shared), schema), "sets")
+    shared.unpersist()
+    return out
 
 
 def _prefixes_of(sets: DataFrame, percent: int) -> DataFrame:
@@ -347,14 +350,12 @@ def _prefixes_of(sets: DataFrame, percent: int) -> DataFrame:
     spark = sets.sparkSession
     total = sets.agg(F.sum(F.size("t")).alias("n")).first()["n"] or 0
     parts = max(1, math.ceil(total / PART_ELEMENTS))
-    rows = sets.select("c", "t")
-    counted = _stored(rows.mapInArrow(_elements(parts), _PACKET)
+    counted = _stored(sets.mapInArrow(_elements(parts), _PACKET)
                       .groupBy("part").applyInArrow(_shared, "t long, k long"), "counts")
     counts = counted.agg(*[F.count(F.when(F.col("k") >= k, 1)).alias(str(k)) for k in LEVELS]).first()
     levels = spark.sparkContext.broadcast(
-        [_bloom.build(counted.filter(F.col("k") >= k), "t", n)
-         for k, n in zip(LEVELS, counts, strict=True) if n])
-    return rows.mapInArrow(_prefixes(percent, levels), _PREFIX)
+        _bloom.build_levels(counted, [(k, n) for k, n in zip(LEVELS, counts, strict=True) if n]))
+    return sets.mapInArrow(_prefixes(percent, levels), _PREFIX)
 
 
 STAR_TURNS = 2
@@ -367,7 +368,8 @@ def links(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int
     ship_package(spark)
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     all_sets = _sets_of(rows.withColumn("key", F.xxhash64("text")), percent)
-    sets = all_sets.filter(F.size("t") > 0)
+    # one row per class: equal sets are found once
+    sets = _stored(all_sets.filter(F.size("t") > 0).select("c", "t").dropDuplicates(["c"]), "class-sets")
     p, tested, labels = _active(_prefixes_of(sets, percent), None), None, None
     for turn in range(STAR_TURNS + 1):
         if not p.head(1):
