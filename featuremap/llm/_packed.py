@@ -22,8 +22,10 @@ def unpack(data: bytes, ascending: bool = False) -> np.ndarray:
     return np.cumsum(values, dtype=np.uint64) if ascending else values
 
 
-def edges(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Where ascending uint64 keys pass from one part to the next; a part is a range."""
-    step = (1 << 64) // parts + 1
-    limits = np.array([i * step for i in range(1, parts)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(keys, limits), [len(keys)]])
+def runs(keys: np.ndarray, parts: int) -> list[tuple[int, int, int]]:
+    """(part, start, end) of the parts that ascending uint64 keys fall into; a part is
+    a range of hashes."""
+    step = np.uint64(min((1 << 64) // parts + 1, (1 << 64) - 1))
+    part = np.minimum(keys // step, np.uint64(parts - 1))
+    start = np.flatnonzero(np.diff(part, prepend=~part[:1]))
+    return list(zip(part[start].tolist(), start.tolist(), [*start[1:].tolist(), len(keys)], strict=False))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremap.llm import _blocks
-from featuremap.llm._packed import edges, pack, unpack
+from featuremap.llm._packed import pack, runs, unpack
 from featuremap.llm._words import ALNUM, Words, mix, slices, words
 from featuremap.session import ship_package
 
@@ -81,9 +81,7 @@ def _request(order: int, shards: int):
         rows = []
         for n in range(1, order + 1):
             keys, counts = np.unique(_grams(w, n)[0], return_counts=True)
-            at = edges(keys, shards)
-            for s in np.flatnonzero(np.diff(at)).tolist():
-                lo, hi = at[s], at[s + 1]
+            for s, lo, hi in runs(keys, shards):
                 rows.append((n * shards + s, pack(keys[lo:hi], True), pack(counts[lo:hi])))
         part, keys, counts = zip(*rows, strict=True) if rows else ((), (), ())
         return pa.table({"block": pa.array([block] * len(rows), pa.int32()),

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from featuremap.llm import _bloom
 from featuremap.llm._components import components
-from featuremap.llm._packed import edges, pack, unpack
+from featuremap.llm._packed import pack, runs, unpack
 from featuremap.llm._words import NON_SPACE, mix, slices, words
 from featuremap.session import scratch_path, ship_package
 
@@ -119,11 +119,14 @@ def _packets(t: np.ndarray, c: np.ndarray, parts: int) -> pa.RecordBatch:
     first = np.flatnonzero(np.diff(t, prepend=~t[:1]))
     count = np.diff(np.append(first, len(t)))
     t, low, high = t[first], c[first], c[first + count - 1]
-    at, rows = edges(t, parts), []
-    for k in np.flatnonzero(np.diff(at)).tolist():
-        s = slice(at[k], at[k + 1])
-        rows.append((k, pack(t[s], True), pack(low[s]), pack(high[s] - low[s]), pack(count[s]),
-                     classes.tobytes()))
+    rows = []
+    for k, lo, hi in runs(t, parts):
+        s = slice(lo, hi)
+        used, a, b = classes, low[s], high[s]
+        if hi - lo < len(classes):          # few elements: only the classes they name
+            names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+            used, a, b = classes[names], at[:hi - lo], at[hi - lo:]
+        rows.append((k, pack(t[s], True), pack(a), pack(b - a), pack(count[s]), used.tobytes()))
     columns = list(zip(*rows, strict=True)) or [()] * 6
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[0], pa.int32()), *(pa.array(x, pa.binary()) for x in columns[1:])],

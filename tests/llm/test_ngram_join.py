@@ -43,6 +43,14 @@ def test_like_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in want})
 
 
+def test_many_small_parts(spark, monkeypatch):
+    rows = docs()[::3]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(ngram_join, "PART_ELEMENTS", 200)
+    got = sorted((r.id, r.n_shingles, r.component_id) for r in ngram_join.links(df).collect())
+    assert got == sorted(brute.components(rows))
+
+
 def test_ids_null_or_repeated(spark):
     a = "a text of some words that is here more than once today"
     rows = [(5, a), (5, a), (None, a), (9, a), (5, "something else of a few words for sure"), (None, ""), (1, None)]
