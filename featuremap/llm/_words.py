@@ -7,13 +7,18 @@ slice (or one single longer text), never the partition.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+from featuremap.session import ship_package
 
 SLICE_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 _LONG_WORD = 4096           # bytes; longer words are hashed one by one
 _C1 = np.uint64(0xFF51AFD7ED558CCD)
 _C2 = np.uint64(0xC4CEB9FE1A85EC53)
@@ -144,6 +149,11 @@ def _hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return h
 
 
-def column_or_null(batch: pa.RecordBatch, name: str) -> pa.Array:
-    column = batch.column(name)
-    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+def ready(spark: SparkSession) -> None:
+    """Ship the package, and let no Arrow batch of texts exceed ``BATCH_BYTES``: both
+    sides of a Python worker hold a whole batch.  Results don't depend on it."""
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = re.fullmatch(r"(\d+)b?", spark.conf.get(key))
+    if size and int(size[1]) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))

@@ -28,8 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featuremap.llm._words import slices
-from featuremap.session import ship_package
+from featuremap.llm._words import ready, slices
 
 CHUNK, OVERLAP = 32_768, 512
 
@@ -150,7 +149,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
     """``docs`` without the text column and with ``ids`` (array of int)."""
     import public_tokenizers
 
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     others = [c for c in docs.columns if c not in (text, ids)]
     fields = [F.col(f"`{c}`") for c in others] or [F.lit(0).alias("_")]
     rows = docs.select(F.struct(*fields).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
@@ -195,7 +194,7 @@ def _decode(path: str, ids: str, digest: bool):
 def decode(coded: DataFrame, path: str, ids: str = "ids", digest: bool = False) -> DataFrame:
     """The bytes of the ids as column ``decoded`` in place of ``ids``; with
     ``digest`` their SHA-256 in hex as ``decoded_sha256`` beside ``ids``."""
-    ship_package(coded.sparkSession)
+    ready(coded.sparkSession)
     coded = coded.drop("decoded_sha256" if digest else "decoded")
     schema = (_plus(coded, decoded_sha256="string") if digest
               else _plus(coded.drop(ids), decoded="binary"))

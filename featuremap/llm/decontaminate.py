@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremap.llm import _bloom
-from featuremap.llm._words import ALNUM, Words, mix, slices, words
-from featuremap.session import scratch_path, ship_package
+from featuremap.llm._words import ALNUM, Words, mix, ready, slices, words
+from featuremap.session import scratch_path
 
 WINDOW = 10
 #: benchmark windows are broadcast up to this size, counted before the join
@@ -133,7 +133,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str =
     """Per row of ``docs``: ``id``, text key ``key``, ``n_words``, ``spans`` (place and
     length of the windows found, sorted), ``items`` (sorted ids as strings)."""
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     path = scratch_path(spark, "benchmark-windows")
     bench_windows(benchmark, item_id, item_text, window).write.parquet(path)
     windows = spark.read.parquet(path)

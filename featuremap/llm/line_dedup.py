@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featuremap.llm import _blocks, _mph
-from featuremap.llm._words import slices
-from featuremap.session import scratch_path, ship_package
+from featuremap.llm._words import ready, slices
+from featuremap.session import scratch_path
 
 SPACE = " \t\n\x0b\x0c\r"
 MIN_CHARS = 10
@@ -97,7 +97,7 @@ def build_index(docs: DataFrame, path: str, id: str = "doc_id", text: str = "tex
     """Write the index of the repeated lines of ``docs`` to ``path`` (Parquet, one
     row a shard); returns the number of shards that hashes are dealt to."""
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     rows = _blocks.pack(docs.select(id, text), id, text).select("id", "text")
     lines = (rows.mapInArrow(_count(min_chars), "a long, b long, low long, high long, n long")
              .groupBy("a", "b")
@@ -180,7 +180,7 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
     that has them; with ``report`` also ``n_lines`` and ``n_dropped`` (which
     then replace columns of these names)."""
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     if index is None:
         path = scratch_path(spark, "line-index")
         index = path, build_index(docs, path, id, text, min_chars)

@@ -45,8 +45,8 @@ from pyspark.sql import functions as F
 from featuremap.llm import _bloom
 from featuremap.llm._components import components
 from featuremap.llm._packed import pack, runs, unpack
-from featuremap.llm._words import NON_SPACE, mix, slices, words
-from featuremap.session import scratch_path, ship_package
+from featuremap.llm._words import NON_SPACE, mix, ready, slices, words
+from featuremap.session import scratch_path
 
 SHINGLE = 5
 PERCENT = 80
@@ -159,7 +159,7 @@ def _shared(table: pa.Table) -> pa.Table:
 def _first_prefixes(percent: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 h, at = _shingles(part.column("text"))
                 n, c = np.diff(at), _class(h, at)
                 size = np.where(n > 0, n - _need(n, percent) + _match(n, percent), 0)
@@ -368,7 +368,7 @@ def links(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int
     """(id, key, n_shingles, component_id) per row of ``docs``; ``key`` is the text's
     xxhash64.  ``percent`` is the similarity asked for, more than 50."""
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     all_sets = _sets_of(rows.withColumn("key", F.xxhash64("text")), percent)
     # one row per class: equal sets are found once
