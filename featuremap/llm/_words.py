@@ -6,6 +6,8 @@ slice (or one single longer text), never the partition.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 import re
 from collections.abc import Iterator
@@ -60,9 +62,18 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         hi = int(np.searchsorted(size, size[lo] + limit, side="right")) - 1
         hi = min(max(hi, lo + 1), batch.num_rows)
         yield batch.slice(lo, hi - lo)
+        trim()
         lo = hi
 
 
+def trim() -> None:
+    """Give freed memory back: Spark keeps Python workers for the next tasks, and two
+    or more share an executor's memory with the JVM."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):      # other C libraries
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 @dataclass
 class Words:
     """Words of several texts: text ``d`` owns words ``first[d]:first[d + 1]``."""

@@ -90,14 +90,18 @@ def _bounds(source: str, chunk: int, overlap: int):
     return run
 
 
-def _encode(path: str):
+def _encode(path: str, digest: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(path)
         for batch in batches:
             for part in slices(batch, "part"):
                 ids = [np.array(enc.encode_ordinary(t or ""), np.int32)
                        for t in part.column("part").to_pylist()]
-                yield _with(part, "ids", ids)
+                out = _with(part, "ids", ids)
+                if digest:
+                    out = out.append_column("decoded_sha256", pa.array(
+                        [hashlib.sha256(enc.decode_bytes(x.tolist())).hexdigest() for x in ids]))
+                yield out
 
     return run
 
@@ -145,17 +149,19 @@ def _pieces(long: DataFrame, chunk: int, overlap: int, source: str) -> DataFrame
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
-           chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """``docs`` without the text column and with ``ids`` (array of int)."""
+           chunk: int = CHUNK, overlap: int = OVERLAP, digest: bool = False) -> DataFrame:
+    """``docs`` without the text column and with ``ids`` (array of int); with
+    ``digest`` also ``decoded_sha256`` as :func:`decode` gives it, in the same pass."""
     import public_tokenizers
 
     ready(docs.sparkSession)
-    others = [c for c in docs.columns if c not in (text, ids)]
+    others = [c for c in docs.columns if c not in (text, ids) and not (digest and c == "decoded_sha256")]
     fields = [F.col(f"`{c}`") for c in others] or [F.lit(0).alias("_")]
     rows = docs.select(F.struct(*fields).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
     long = F.coalesce(F.length("text"), F.lit(0)) > chunk + overlap
     short = rows.filter(~long).select("row", F.col("text").alias("part"))
-    coded = short.mapInArrow(_encode(path), _plus(short.select("row"), ids="array<int>"))
+    more = {"decoded_sha256": "string"} if digest else {}
+    coded = short.mapInArrow(_encode(path, digest), _plus(short.select("row"), ids="array<int>", **more))
     # a key per long row: equal rows share it and are counted
     keyed = (rows.filter(long)
              .groupBy(F.struct("row", F.xxhash64("text").alias("key")).alias("row"), "text")
@@ -168,8 +174,10 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
                                          lambda x: x["ids"])).alias("ids"))
               .select(F.col("row.row").alias("row"), "ids", F.explode(
                   F.array_repeat(F.lit(0), F.col("row.copies").cast("int"))).alias("_")).drop("_"))
+    if digest:
+        joined = decode(joined, path, digest=True)
     return coded.unionByName(joined).select(
-        *[F.col("row")[c].alias(c) for c in others], F.col("ids").alias(ids))
+        *[F.col("row")[c].alias(c) for c in others], F.col("ids").alias(ids), *more)
 
 
 def _decode(path: str, ids: str, digest: bool):

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featuremap.llm import _blocks, _mph
-from featuremap.llm._words import ready, slices
+from featuremap.llm._words import ready, slices, trim
 from featuremap.session import scratch_path
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -152,6 +152,7 @@ def _probe(requests: pa.Table, index: pa.Table) -> pa.Table:
 
 def _finish(min_chars: int):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
+        trim()
         owners: dict[bytes, int] = {}
         for found in replies.column("found").to_pylist():
             rows = np.frombuffer(found, "<u8").reshape(-1, 3)

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from featuremap.llm import _bloom
 from featuremap.llm._components import components
 from featuremap.llm._packed import pack, runs, unpack
-from featuremap.llm._words import NON_SPACE, mix, ready, slices, words
+from featuremap.llm._words import NON_SPACE, mix, ready, slices, trim, words
 from featuremap.session import scratch_path
 
 SHINGLE = 5
@@ -56,7 +56,7 @@ SHARE, FIRST = 0.1, 3
 TRY = (1, 2, 4, 8)
 #: counts from which the frequency levels start
 LEVELS = (2, 4, 8, 16, 32, 64, 128, 512, 2048, 8192, 1 << 15, 1 << 18, 1 << 21)
-PART_ELEMENTS = 1_000_000
+PART_ELEMENTS = 500_000
 
 
 def _shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -138,6 +138,7 @@ _PACKET = "part int, t binary, low binary, more binary, n binary, classes binary
 
 def _shared(table: pa.Table) -> pa.Table:
     """Elements of a part that two different classes hold, and their holders."""
+    trim()
     t, low, high, n = [], [], [], []
     for r in table.select(["t", "low", "more", "n", "classes"]).to_pylist():
         classes = np.frombuffer(r["classes"], "<i8")
@@ -205,6 +206,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
     for batch in batches:
         for lo in range(0, batch.num_rows, rows):
             yield batch.slice(lo, rows)
+            trim()
 
 
 def _elements(parts: int):

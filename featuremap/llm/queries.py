@@ -149,10 +149,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = byte_bpe.encode(docs, path).select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"))
-    return byte_bpe.decode(coded, path, digest=True).drop("ids")
+    return byte_bpe.encode(docs, path, digest=True).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        "decoded_sha256")
 
 
 JACCARD_SQL = f"""

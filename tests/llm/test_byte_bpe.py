@@ -38,5 +38,10 @@ def test_repeated_long_rows_and_empty_table(spark):
     coded = byte_bpe.encode(docs, PATH, chunk=50, overlap=20)
     assert sorted(r.doc_id for r in coded.collect()) == [1, 1, 2]
     assert byte_bpe.encode(docs.limit(0), PATH).count() == 0
+    want = hashlib.sha256(long.encode()).hexdigest()
     digest = byte_bpe.decode(coded, PATH, digest=True).collect()
-    assert {r.decoded_sha256 for r in digest} == {hashlib.sha256(long.encode()).hexdigest()}
+    assert {r.decoded_sha256 for r in digest} == {want}
+    both = docs.unionByName(spark.createDataFrame([(3, "short"), (4, None)], "doc_id long, text string"))
+    got = {r.doc_id: r.decoded_sha256 for r in byte_bpe.encode(both, PATH, chunk=50, overlap=20, digest=True).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == {1: want, 2: want, 3: sha("short"), 4: sha("")}
