@@ -43,7 +43,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each document, checked by decoding them."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = docs.select("doc_id", "text", F.sha2("text", 256).alias("text_sha256"))
-    coded = byte_bpe.decode(byte_bpe.encode(docs, path), path, digest=True)
+    coded = byte_bpe.encode(docs, path, digest=True)
     same = F.col("decoded_sha256") == F.coalesce("text_sha256", F.sha2(F.lit(""), 256))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                         same.alias("round_trip"))
