@@ -317,11 +317,11 @@ def _all_pairs(p: DataFrame, tested: DataFrame | None, percent: int) -> DataFram
     if tested is not None:
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
     pairs = _stored(pairs, "near")
-    of_a = p.select(F.col("c").alias("a"), "t", "l")
-    of_b = p.select(F.col("c").alias("b"), "t", F.col("l").alias("k"))
-    return (pairs.join(of_a, "a").join(of_b, ["b", "t"])
-            .groupBy("a", "b").agg(F.count("*").alias("shared"), F.min(F.least("l", "k")).alias("l"))
-            .filter("shared >= l").select("a", "b"))
+    prefix = p.groupBy("c").agg(F.collect_set("t").alias("t"), F.min("l").alias("l"))
+    of_a = prefix.select(F.col("c").alias("a"), F.col("t").alias("ta"), F.col("l").alias("la"))
+    of_b = prefix.select(F.col("c").alias("b"), F.col("t").alias("tb"), F.col("l").alias("lb"))
+    return (pairs.join(of_a, "a").join(of_b, "b")
+            .filter(F.size(F.array_intersect("ta", "tb")) >= F.least("la", "lb")).select("a", "b"))
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
