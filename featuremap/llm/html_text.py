@@ -42,6 +42,7 @@ _INLINE = frozenset(
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _HIDDEN = frozenset("head script style template title noscript iframe object svg math canvas textarea".split())
 _RAW = frozenset("script style textarea title iframe noscript".split())
+_HEAD = frozenset("base link meta noframes noscript script style template title".split())
 _MAIN = frozenset(("article", "main"))
 _ASIDE = frozenset("nav footer aside form header menu dialog button select".split())
 _ASIDE_WORDS = frozenset(
@@ -85,6 +86,8 @@ class _Page:
             self._parts, self._linked = [], 0
 
     def _text(self, text: str) -> None:
+        if self._hidden and text.strip():
+            self._leave_head()
         if text and not self._hidden:
             self._parts.append(text)
             if self._link:
@@ -126,6 +129,11 @@ class _Page:
                 if top == tag:
                     break
 
+    def _leave_head(self) -> None:
+        """End a head whose end tag was left out, where something starts that cannot stand in it."""
+        if self._stack and self._stack[-1][0] == "head":
+            self._close("head")
+
     def _read(self, source: str) -> None:
         self._counts: dict[str, int] = {}
         at, raw = 0, None
@@ -147,6 +155,8 @@ class _Page:
                 continue
             tag = m[2].lower()
             block = tag not in _INLINE
+            if not m[1] and tag not in _HEAD:
+                self._leave_head()
             if tag == "br":
                 self._text(" ")
                 continue

@@ -39,6 +39,23 @@ def test_markup_that_is_not_clean(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_head_and_body_without_end_tags(spark):
+    page = html_text._Page("<html><head><title>t</title><body><article><p>text")
+    assert page.texts == ["text"] and page.labels == [True]
+    for start in ("<p>", "<b>", "<br>", "<img src=x>", "<div>", "<head><p>", "<html><p>", ""):
+        page = html_text._Page(
+            "<head><meta name=a><link rel=b><title>t</title><style>s</style>\n<template><p>no</p></template>"
+            "<noscript><p>no</noscript><script>no</script>" + start + "one<p>two")
+        assert " ".join(page.texts) == "one two", start
+    article = "".join(f"<p>Sentence {i} of a text that is long enough to be kept.</p>" for i in range(5))
+    whole = ("<html><head><title>t</title></head><body><nav><a href=x>menu</a></nav><article>" + article
+             + "</article></body></html>")
+    bare = re.sub("</head>|</body>|</html>", "", whole)
+    df = spark.createDataFrame([(i, "u", p) for i, p in enumerate([whole, bare])], "page_id long, url string, html string")
+    one, two = (r.text for r in html_text.extract(df).orderBy("page_id").collect())
+    assert one == two and "Sentence 4" in two
+
+
 def test_gradient():
     r = np.random.default_rng(1)
     x, size = r.normal(size=(60, 4)).astype(np.float32), np.array([10, 0, 30, 20])
