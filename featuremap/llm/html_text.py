@@ -48,8 +48,11 @@ _ASIDE = frozenset("nav footer aside form header menu dialog button select".spli
 _ASIDE_WORDS = frozenset(
     "ad ads advert advertisement banner breadcrumb comment comments cookie footer header menu nav "
     "navbar newsletter notice popup promo related share sidebar social sponsor".split())
+#: a quote opens a value right after "=" only, and only if it is closed; elsewhere it is a character
+_ATTRIBUTE = (r"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+"
+              r"(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:\"[^\"]*+\"|'[^']*+'|[^ \t\n\f\r\"'>][^ \t\n\f\r>]*+)?+)?+")
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S)
+    rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[ \t\n\f\r/]++|{_ATTRIBUTE})*+)>|<[!?][^>]*>", re.S)
 _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 

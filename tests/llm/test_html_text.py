@@ -56,6 +56,18 @@ def test_head_and_body_without_end_tags(spark):
     assert one == two and "Sentence 4" in two
 
 
+def test_stray_quotes():
+    texts = lambda s: html_text._Page(s).texts
+    assert texts("<p title=Bob's>one</p><p>it's two</p><p>three</p>") == ["one", "it's two", "three"]
+    assert texts('<img alt="5" tall"><p>first para</p><p class="x">second') == ["first para", "second"]
+    for tag in ("<p '>", '<p ">', "<p a=b'c\">", "<p it's a=1>", "<p a='x' '>", "<p a=\"x\"y'z>", "<p =\">", "<p a==\">",
+                "<p a=>", "<p a= >", "<p/a='/'>", "<p a / = \">", "<p title=\"it's > one\">", "<p title = 'a \"> b'>",
+                "<p\n title\t=\n'>'\n>", "<p a='>'b='>'>", "<p a=x/>"):
+        assert texts(f"{tag}one</p '><p>it's \"two</p><p>three") == ["one", "it's \"two", "three"], tag
+    for quote in "'\"":              # a value that is never closed ends with its tag
+        assert texts(f"<p>one</p><p class={quote}x>two</p><p>three") == ["one", "two", "three"]
+
+
 def test_gradient():
     r = np.random.default_rng(1)
     x, size = r.normal(size=(60, 4)).astype(np.float32), np.array([10, 0, 30, 20])
