@@ -9,7 +9,9 @@ The labeller is trained here on a bounded sample (``TRAIN_PAGES`` pages of lowes
 hash, at most ``TRAIN_BLOCKS`` blocks of each), with labels from the pages'
 own semantic markup where there is any: text of article or main, outside their
 navigation, asides, forms, notices and comments.  While training, parts of the
-tag path are hidden at random, so words and context count too.
+tag path are hidden at random, so words and context count too; each such page is
+also seen with its article and main, and with all its sections, as plain divs, so
+pages without semantic tags are known.
 
 Defined results: null or empty html and pages without a text block give an empty
 text; every row gives one row; if no page of the sample has semantic markup the
@@ -44,6 +46,7 @@ _HIDDEN = frozenset("head script style template title noscript iframe object svg
 _RAW = frozenset("script style textarea title iframe noscript".split())
 _HEAD = frozenset("base link meta noframes noscript script style template title".split())
 _MAIN = frozenset(("article", "main"))
+_SECTIONS = _MAIN | frozenset("nav footer aside header section".split())
 _ASIDE = frozenset("nav footer aside form header menu dialog button select".split())
 _ASIDE_WORDS = frozenset(
     "ad ads advert advertisement banner breadcrumb comment comments cookie footer header menu nav "
@@ -61,9 +64,11 @@ def _bucket(word: str) -> int:
 
 
 class _Page:
-    """Blocks of one page: texts, path vectors, share of link text, label from markup."""
+    """Blocks of one page: texts, path vectors, share of link text, label from markup.
+    In the path vectors the tags ``as_div`` are divs."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, as_div: frozenset[str] = frozenset()):
+        self._as_div = as_div
         self.texts: list[str] = []
         self.paths: list[np.ndarray] = []
         self.links: list[float] = []
@@ -97,7 +102,7 @@ class _Page:
                 self._linked += len(text)
 
     def _open(self, tag: str, attributes: str) -> None:
-        names = [tag]
+        names = ["div" if tag in self._as_div else tag]
         if attributes:
             for m in _MARK.finditer(attributes):
                 names += re.findall(r"[a-z]+", (m[1] or m[2] or m[3] or "").lower())
@@ -216,12 +221,14 @@ def _parsed(column: pa.Array) -> list[_Page]:
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for page in _parsed(batch.column("text")):
-            x, _, _ = _features([page])
-            x, y = x[:TRAIN_BLOCKS], np.array(page.labels[:TRAIN_BLOCKS], bool)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x.tobytes()]), pa.array([y.tobytes()]), pa.array([page.semantic])],
-                names=["x", "y", "semantic"])
+        for text in batch.column("text").to_pylist():
+            page = _Page(text)
+            for seen in (page, _Page(text, _MAIN), _Page(text, _SECTIONS)) if page.semantic else (page,):
+                x, _, _ = _features([seen])
+                x, y = x[:TRAIN_BLOCKS], np.array(page.labels[:TRAIN_BLOCKS], bool)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x.tobytes()]), pa.array([y.tobytes()]), pa.array([page.semantic])],
+                    names=["x", "y", "semantic"])
 
 
 def _hide(x: np.ndarray, r: np.random.Generator) -> np.ndarray:

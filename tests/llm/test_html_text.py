@@ -23,6 +23,20 @@ def test_whole_pages_and_held_out_accuracy(spark):
     assert sum(got[i] == want[i] for i in want) == len(want)
 
 
+def without(source, tags):
+    return re.sub(rf"(</?)(?:{tags})\b", r"\1div", source)
+
+
+def test_held_out_pages_without_semantic_tags(spark):
+    pages = spark.read.parquet(SF + "/pages.parquet")
+    weights = html_text.train(pages.filter("page_id % 2 = 0"))
+    odd = pages.filter("page_id % 2 = 1").collect()
+    for tags in ("article|main", "article|main|nav|footer|aside|header|section"):
+        df = spark.createDataFrame([(r.page_id, r.url, without(r.html, tags)) for r in odd], pages.schema)
+        got = {r.page_id: r.text for r in html_text.extract(df, weights).collect()}
+        assert sum(got[r.page_id] == main_text(r.html) for r in odd) == len(odd), tags
+
+
 def test_markup_that_is_not_clean(spark):
     page = html_text._Page(
         "<html><head><title>no</title></head><body><nav><li>menu<li>more</nav>"
