@@ -16,8 +16,10 @@ Layout below ``path``:
                 offset and n.  A key costs one hash evaluation, one comparison
                 and one read of exactly its bytes.
 
-Defined results: a null or empty text has the end id only; repeated rows and
-ids each have their own entry; an empty table gives no files and empty tables;
+Defined results: a null or empty text has the end id only; the text of an added
+token (``<|endoftext|>``) becomes that token's id, as the library's plain call has
+it, or with ``literal`` ordinary pieces; repeated rows and ids each have their own
+entry; an empty table gives no files and empty tables;
 other columns are ignored.
 """
 
@@ -56,15 +58,19 @@ class Encoder:
 
     A text is cut where white space follows a character that is none.  The
     pre-tokeniser's pattern always ends a match there and never looks back, so
-    the ids of the text are the ids of its units in order.
+    the ids of the text are the ids of its units in order.  Texts with an added
+    token in them are left to the library as a whole; with ``literal`` special
+    tokens are ordinary characters.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, literal: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()
+                      if not (literal and t.special)]
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.width = np.dtype(self.dtype).itemsize
         (self.line,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
@@ -78,9 +84,15 @@ class Encoder:
         column = pc.fill_null(column, "")
         odd = pc.match_substring_regex(column, _BEFORE_SPACE).to_numpy(zero_copy_only=False)
         out: list[bytes] = [b""] * len(column)
-        for i in np.flatnonzero(odd).tolist():
+        whole = np.zeros(len(column), bool)
+        for token in self.added:
+            whole |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(whole).tolist():
+            (coded,) = self.tokenizer.encode_batch_fast([column[i].as_py()], add_special_tokens=False)
+            out[i] = np.array(coded.ids, self.dtype).tobytes()
+        for i in np.flatnonzero(odd & ~whole).tolist():
             out[i] = b"".join(self._ids(_UNIT.findall(column[i].as_py())))
-        plain = np.flatnonzero(~odd)
+        plain = np.flatnonzero(~odd & ~whole)
         if not len(plain):
             return out
         lists = pc.split_pattern(column.take(pa.array(plain)), " ")
@@ -161,8 +173,8 @@ def _parts(unit: str) -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, literal: bool = False) -> Encoder:
+    return Encoder(path, literal)
 
 
 def _filesystem(path: str):
@@ -176,10 +188,10 @@ def _filesystem(path: str):
 _DIRECTORY = "id long, rep long, shard int, file string, offset long, n long"
 
 
-def _write(tokenizer: str, folder: str, end_id: int):
+def _write(tokenizer: str, folder: str, end_id: int, literal: bool):
     """Encode a range of documents into one file; a directory row for each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, literal)
         system, base = _filesystem(folder)
         shard = TaskContext.get().partitionId()
         name, out = f"{shard:06d}-{uuid.uuid4().hex}.ids", None
@@ -247,9 +259,9 @@ def _part(parts: int):
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id: str = "doc_id",
-          text: str = "text") -> None:
+          text: str = "text", literal: bool = False) -> None:
     """Write shards, directory and index of ``docs`` below ``path``, a folder all
-    executors share."""
+    executors share; with ``literal`` special tokens in a text are ordinary characters."""
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"),
@@ -260,7 +272,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id: str = "do
     system.create_dir(base, recursive=True)
     order = ["id", F.xxhash64("text")]
     (rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-     .mapInArrow(_write(tokenizer, f"{path}/shards", end_id), _DIRECTORY)
+     .mapInArrow(_write(tokenizer, f"{path}/shards", end_id, literal), _DIRECTORY)
      .write.parquet(f"{path}/runs"))
     # equal ids may run on into the next shard: one row per shard says how many came before
     runs = spark.read.schema(_DIRECTORY).parquet(f"{path}/runs")
@@ -283,7 +295,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id: str = "do
     parts = max(1, math.ceil(keys.count() / INDEX_KEYS))
     (keys.withColumn("part", _part(parts)).groupBy("part").applyInArrow(_build, _INDEX)
      .write.parquet(f"{path}/index"))
-    spark.createDataFrame([(encoder(tokenizer).dtype, end_id, parts)], _META).write.parquet(f"{path}/meta")
+    spark.createDataFrame([(encoder(tokenizer, literal).dtype, end_id, parts)], _META).write.parquet(f"{path}/meta")
 
 
 def _probe(keys: pa.Table, index: pa.Table) -> pa.Table:

@@ -58,6 +58,26 @@ def test_files_keep_every_row_in_order(spark, tmp_dir, monkeypatch):
     assert {r.id: r.value for r in few}[8] == zlib.crc32(np.array(ids8, "<u4").tobytes())
 
 
+def test_added_tokens_as_the_plain_call_has_them(spark, tmp_dir):
+    token = "<|endoftext|>"
+    texts = [token, f"a{token}b", f" {token} ", f"a \n{token}\n b\n", f"x.\n{token}{token},\ny", f"a  b\t {token} it's",
+             "<|endoftext| >", "plain text", "", None]
+    tok = Tokenizer.from_file(PATH)
+    want = {t: tok.encode(t or "", add_special_tokens=False).ids for t in texts}
+    assert want[token] == [50256]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for literal in (False, True):
+        path = f"{tmp_dir}/{literal}"
+        token_files.write(docs, path, PATH, 2, **({"literal": True} if literal else {}))
+        keys = token_files.directory(spark, path).select("id", "rep")
+        got = {texts[r.id]: list(r.value) for r in token_files.lookup(spark, path, keys).collect()}
+        if literal:
+            assert 50256 not in sum(got.values(), []) and tok.decode(got[texts[1]][:-1]) == texts[1]
+            want = {t: v for t, v in want.items() if token not in (t or "")}
+            got = {t: got[t] for t in want}
+        assert got == {t: [*v, 2] for t, v in want.items()}
+
+
 def test_empty_table(spark, tmp_dir):
     docs = spark.createDataFrame([], "doc_id long, text string")
     token_files.write(docs, tmp_dir + "/e", PATH, 2)
