@@ -119,6 +119,16 @@ def ledger(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
             .select(F.col("row")[id].alias(id), *MEASURES, "fail_bits"))
 
 
+def store(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Write the ledger of ``docs`` to ``path``/ledger and, from there, its ablation to
+    ``path``/ablation; the stored ledger."""
+    spark = docs.sparkSession
+    ledger(docs, id, text).write.parquet(f"{path}/ledger")
+    book = spark.read.parquet(f"{path}/ledger")
+    ablation(book).write.parquet(f"{path}/ablation")
+    return book
+
+
 def apply_policy(book: DataFrame, policy: str | tuple[str, ...] = "v1") -> DataFrame:
     """The ledger with ``kept``: no rule of the policy failed."""
     return book.withColumn("kept", F.col("fail_bits").bitwiseAND(F.lit(mask(policy))) == 0)

@@ -85,7 +85,7 @@ FROM b
 
 @_query("op9_quality_ledger", QUALITY_SQL)
 def op9_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = quality_ledger.ledger(table(spark, sf_dir, "documents"))
+    book = quality_ledger.store(table(spark, sf_dir, "documents"), scratch_path(spark, "quality"))
     base = quality_ledger.mask("base")
     return quality_ledger.apply_policy(book, "v1").selectExpr(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

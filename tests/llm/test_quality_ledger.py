@@ -1,8 +1,10 @@
 import random
+import unicodedata
 
 import brute
 
 from featuremap.llm import quality_ledger as Q
+from featuremap.llm import queries
 
 
 def texts():
@@ -40,6 +42,33 @@ def test_ablation_counts_by_bits(spark):
     assert empty.count() == 0 and Q.ablation(empty).count() == 0
 
 
+def test_stored_ledger_and_ablation_of_all_documents(spark, tmp_dir, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    failed = {}
+    for d in docs.collect():
+        t = d.text or ""
+        n, chars, symbols, dup, repeat = brute.quality(t)
+        lines = sum(bool(x.strip(Q.SPACE)) for x in t.split("\n"))
+        upper = sum(unicodedata.category(c) == "Lu" for c in t)
+        failed[d.doc_id] = {name for name, bad in (
+            ("few_words", n < 10), ("repeated_words", 100 * repeat > 20 * n), ("symbols", 100 * symbols > 20 * n),
+            ("shouting", chars >= 20 and 100 * upper > 50 * chars), ("exclamations", 100 * t.count("!") > 50 * n),
+            ("repeated_lines", 100 * dup > 50 * lines), ("long_words", chars > 40 * n)) if bad}
+    want = {}
+    for p, rules in Q.POLICIES.items():
+        bad = [f & set(rules) for f in failed.values()]
+        for r in rules:
+            want[p, r] = (sum(r in b for b in bad), sum(b == {r} for b in bad), sum(not b for b in bad),
+                          sum(b <= {r} for b in bad))
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: f"{tmp_dir}/{name}")
+    out = queries.QUERIES["op9_quality_ledger"](spark, "/root/testdata/sf0.01")
+    assert {r.doc_id: r.kept for r in out.collect()} == {i: not f & set(Q.POLICIES["v1"]) for i, f in failed.items()}
+    assert spark.read.parquet(f"{tmp_dir}/quality/ledger").count() == len(failed)
+    got = {(r.policy, r.rule): (r.n_failed, r.n_only, r.n_kept, r.n_kept_without)
+           for r in spark.read.parquet(f"{tmp_dir}/quality/ablation").collect()}
+    assert got == want
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = Q.apply_policy(Q.ledger(docs))._jdf.queryExecution().executedPlan().toString()
