@@ -23,6 +23,7 @@ from featuremap.llm import (
     ngram_join,
     quality_ledger,
     token_files,
+    trie_dedup,
 )
 from featuremap.session import scratch_path
 
@@ -328,3 +329,17 @@ def op4_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_counts.edit(counted, path).select(
         "doc_id", "n_tokens_before", "n_tokens", "n_chars_encoded",
         F.sha2("text", 256).alias("text_sha256"))
+
+
+COPIES_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.t) AS text_sha256
+FROM d JOIN g ON d.t = g.t
+"""
+
+
+@_query("op11_trie_dedup", COPIES_SQL)
+def op11_trie_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return trie_dedup.mark(docs).drop("text")
