@@ -83,7 +83,7 @@ class Trie:
 
     def insert(self, text: bytes, owner, n: int, key: tuple) -> bytes | None:
         """None, or the longest prefix of the string whose subtree was spilled."""
-        node, at, spilled = self.root, 0, None
+        node, at, spilled = self.root, 0, 0 if self.root.spilled else None
         while at < len(text):
             child = node.kids.get(text[at])
             if child is not None and text.startswith(child.label, at):
