@@ -22,6 +22,7 @@ from featuremap.llm import (
     lm_score,
     ngram_join,
     quality_ledger,
+    source_audit,
     token_files,
     trie_dedup,
 )
@@ -343,3 +344,42 @@ FROM d JOIN g ON d.t = g.t
 def op11_trie_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return trie_dedup.mark(docs).drop("text")
+
+
+AUDIT_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+           FROM documents),
+o AS (SELECT r, lang, source, unnest(w) AS t FROM d),
+k AS (SELECT lang, t FROM o GROUP BY lang, t HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT o.lang, o.source, o.t, count(*) AS n FROM o JOIN k ON k.lang = o.lang AND k.t = o.t GROUP BY ALL),
+g AS (SELECT d.lang, d.source, coalesce(any_value(x.total), 0)::HUGEINT AS total
+      FROM d LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) x
+        ON x.lang = d.lang AND x.source = d.source GROUP BY d.lang, d.source),
+p AS (SELECT g.lang, g.source, k.t, coalesce(c.n, 0) AS n,
+             1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.total + v.v) AS p
+      FROM g JOIN k ON k.lang = g.lang JOIN v ON v.lang = g.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = k.t),
+q AS (SELECT p.lang, p.t, 1 + 1000000000::HUGEINT * (sum(p.n) + 1) // (any_value(a.total) + any_value(v.v)) AS q
+      FROM p JOIN v ON v.lang = p.lang
+      JOIN (SELECT lang, sum(total) AS total FROM g GROUP BY lang) a ON a.lang = p.lang GROUP BY p.lang, p.t),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(any_value(s.value), 0) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+                     FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL) s
+            ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+          GROUP BY a.lang, a.source, b.source),
+found AS (SELECT p.lang, p.source, p.t AS item, (p - q) * (p - q) // q AS value
+          FROM p JOIN q ON q.lang = p.lang AND q.t = p.t WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+           FROM (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+                 UNION ALL SELECT lang, source, 'term', item, value FROM found))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@_query("op12_source_audit", AUDIT_SQL)
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
