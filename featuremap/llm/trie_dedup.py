@@ -318,8 +318,9 @@ def mark(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: str = "l
     this text), ``kept`` and ``text_sha256``."""
     done, hot = owners(docs, id, text, keep)
     docs = docs.drop(*(c for c in RESULT if c not in (id, text)))
-    rows = _keyed(docs, id, text, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    rows = rows.withColumn("sha", F.sha2("text", 256))
+    # columns of their own, not a struct: the plan drops those that are not asked for
+    carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    rows = _keyed(docs, id, text, *carried).withColumn("sha", F.sha2("text", 256))
     twins = done.groupBy(*_KEY).agg(F.count("*").alias("texts")).filter("texts > 1").select(*_KEY)
     parts = [(rows, done)]
     if not twins.isEmpty():
@@ -332,11 +333,11 @@ def mark(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: str = "l
                   done.alias("x").join(twins.alias("t"), _same("x", "t"), "left_anti"))]
     out = [_found(x, groups, hot) for x, groups in parts]
     if not twins.isEmpty():
-        out.append(exact.select("x.row", "x.owner", "x.sha", F.col("g.owner").alias("keep_id"),
-                                F.col("g.n").alias("group_size")))
+        out.append(exact.select("x.*", F.col("g.owner").alias("keep_id"), F.col("g.n").alias("group_size"))
+                   .select(out[0].columns))
     both = out[0] if len(out) == 1 else out[0].unionByName(out[1])
     kept = F.col("keep_id").isNull() | F.col("owner").eqNullSafe(F.col("keep_id"))
-    return both.select(*(F.col("row")[c].alias(c) for c in docs.columns), "keep_id", "group_size",
+    return both.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)), "keep_id", "group_size",
                        kept.alias("kept"), F.col("sha").alias("text_sha256"))
 
 
@@ -346,16 +347,17 @@ def _found(rows: DataFrame, groups: DataFrame, hot: DataFrame) -> DataFrame:
     groups = groups.filter("n > 1")
     warm = groups.alias("x").join(F.broadcast(hot).alias("h"), _same("x", "h"), "left_anti")
     hot = groups.alias("x").join(F.broadcast(hot).alias("h"), _same("x", "h"), "left_semi")
+    # no text has a negative size: rows already found match nothing below, and spread
+    nowhere = -1 - F.pmod(F.xxhash64("x.owner"), F.lit(1 << 20))
+    rest = [c for c in rows.columns if c not in (*_KEY, "text")]
     first = (rows.alias("x").join(F.broadcast(hot).alias("h"), _same("x", "h"), "left")
-             .select("x.row", "x.owner", "x.sha", "x.a", "x.b", F.col("h.owner").alias("hot_id"),
+             .select(*(f"x.{c}" for c in (*rest, "a", "b")), F.col("h.owner").alias("hot_id"),
                      F.col("h.n").alias("hot_n"),
-                     # no text has a negative size: rows already found match nothing and spread
-                     F.when(F.col("h.n").isNotNull(), -1 - F.pmod(F.xxhash64("x.owner"), F.lit(1 << 20)))
-                     .otherwise(F.col("x.size")).alias("size")))
+                     F.when(F.col("h.n").isNotNull(), nowhere).otherwise(F.col("x.size")).alias("size")))
     pick = lambda name, own: F.when(F.col("hot_n").isNotNull(), F.col(f"hot_{name}")).when(
         F.col("g.n").isNotNull(), F.col("g.owner" if name == "id" else "g.n")).otherwise(own)
     return (first.alias("x").join(warm.alias("g"), _same("x", "g"), "left")
-            .select("x.row", "x.owner", "x.sha", pick("id", F.col("x.owner")).alias("keep_id"),
+            .select(*(f"x.{c}" for c in rest), pick("id", F.col("x.owner")).alias("keep_id"),
                     pick("n", F.lit(1).cast("long")).alias("group_size")))
 
 
