@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import brute
+import numpy as np
 import pytest
 
 from featuremap.llm import source_audit
@@ -45,7 +46,7 @@ def rows():
 @pytest.mark.parametrize("small", [False, True])
 def test_like_brute_force(spark, monkeypatch, small):
     if small:           # many shards, a broadcast for every few, many blocks, early flushes
-        for name, value in (("SHARD_TERMS", 4), ("BROADCAST_BYTES", 400), ("HELD_TERMS", 9), ("DENSE_BYTES", 200),
+        for name, value in (("SHARD_TERMS", 4), ("BROADCAST_BYTES", 400), ("HELD_TERMS", 9), ("HELD_WORDS", 50), ("DENSE_BYTES", 200),
                             ("BLOCK_VALUES", 12)):
             monkeypatch.setattr(source_audit, name, value)
     docs = spark.createDataFrame([(*x, 1, "b") for x in rows()],
@@ -64,9 +65,14 @@ def test_empty_table(spark):
 def test_other_terms_meet_the_stored_ones():
     import pyarrow as pa
 
-    row = source_audit._build(pa.table({"lang": ["en"] * 3, "shard": pa.array([0] * 3, pa.int32()),
+    row = source_audit._build(pa.table({"lang": ["en"] * 3, "shard": [0] * 3, "shards": [1] * 3,
                                         "term": ["a", "bb", "ccc"]})).to_pylist()[0]
     shard = source_audit.Shard(row["hash"], row["ends"], row["terms"])
     found = [b"a", b"bb", b"ccc", *(b"other%d" % i for i in range(500))]
     slots = shard.slots(*source_audit._digests("en", found), found)
     assert sorted(slots[:3].tolist()) == [0, 1, 2] and (slots[3:] == -1).all()
+
+
+def test_large_counts_stay_exact():
+    n = np.array([0, 10 ** 10, 2 ** 62], np.int64)
+    assert source_audit._p(n, 2 ** 62, 7).tolist() == [1 + 10 ** 9 * (x + 1) // (2 ** 62 + 7) for x in n.tolist()]
