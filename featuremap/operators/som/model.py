@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ...errors import DimensionMismatchError, SOMError
+from ...functions.columns import q
 from ...session import ship_package
 from ..base import Model
 from .config import SOMConfig
@@ -27,13 +28,13 @@ def feature_columns(df: DataFrame, features: list[str] | None, vector_col: str |
                     d: int) -> list[Column]:
     """Feature expressions as doubles, NaN -> NULL."""
     if vector_col:
-        v = F.col(vector_col)
+        v = F.col(q(vector_col))
         wrong = F.raise_error(F.concat(F.lit(f"'{vector_col}' needs {d} elements, got "),
                                        F.size(v).cast("string"))).cast("double")
         cols = [F.when(v.isNull() | (F.size(v) == d), F.get(v, F.lit(i)).cast("double")).otherwise(wrong)
                 for i in range(d)]
     else:
-        cols = [F.col(c).cast("double") for c in features]
+        cols = [F.col(q(c)).cast("double") for c in features]
     return [F.nanvl(c, F.lit(None).cast("double")) for c in cols]
 
 

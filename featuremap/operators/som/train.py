@@ -1,6 +1,6 @@
-"""Batch self-organizing map training.
+"""Self-organizing map training.
 
-Every epoch is one distributed pass:
+``mode="batch"`` (the default): every epoch is one distributed pass:
 
     persisted scaled rows --(Arrow UDF, broadcast codebook)--> best unit per row
       --> groupBy(unit).agg(count, sum of each feature, sum of distances)
@@ -10,6 +10,8 @@ most K rows per partition whatever the skew, and K rows reach the driver,
 where the K x K neighbourhood smoothing of the batch rule runs:
 
     w_k <- w_k + lr * sum_b h(k,b) (s_b - n_b w_k) / sum_b |h(k,b)| n_b
+
+``mode="online"``: the rule that moves the codebook after every sample (``online.py``).
 """
 
 from __future__ import annotations
@@ -22,10 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...errors import DimensionMismatchError, InsufficientDataError, SOMError
-from ...functions.columns import numeric_columns
+from ...functions.columns import numeric_columns, q
 from ...functions.partitions import spread_persisted
 from ...session import ship_package
 from ..base import Estimator
+from . import online
 from .config import SOMConfig, decay, neighborhood
 from .model import SOMModel, feature_columns, score_udf, share
 
@@ -40,11 +43,17 @@ class SOM(Estimator):
     initialization picks ``x * y`` distinct feature vectors by a seeded hash, or,
     with ``init_key`` (a column that identifies rows), that many rows by the md5
     of key and seed.
+
+    ``mode="online"`` visits single rows in a seeded order: by the md5 of
+    ``init_key``, or of the feature values where there is none.  ``workers`` partitions
+    learn side by side (default: the cluster's parallelism; 1 is the sequential rule)
+    and are averaged ``syncs`` times an epoch.  The learning rate always decays there.
     """
 
     def __init__(self, x: int = 10, y: int = 10, features: list[str] | None = None,
                  vector_col: str | None = None, epochs: int = 20, tol: float = 0.0,
-                 handle_null: str = "error", init_key: str | None = None, **config):
+                 handle_null: str = "error", init_key: str | None = None, mode: str = "batch",
+                 workers: int | None = None, syncs: int = 1, **config):
         self.config = SOMConfig(x=x, y=y, **config)
         self.features = features
         self.vector_col = vector_col
@@ -54,11 +63,17 @@ class SOM(Estimator):
             raise SOMError("handle_null must be 'error' or 'skip'")
         self.handle_null = handle_null
         self.init_key = init_key
+        if mode not in ("batch", "online"):
+            raise SOMError("mode must be 'batch' or 'online'")
+        if syncs < 1 or (workers is not None and workers < 1):
+            raise SOMError("workers and syncs must be at least 1")
+        self.mode, self.workers, self.syncs = mode, workers, int(syncs)
 
     # ------------------------------------------------------------------ helpers
     def _dimension(self, df: DataFrame) -> tuple[list[str] | None, int]:
         if self.vector_col:
-            size = F.when(F.col(self.vector_col).isNotNull(), F.size(self.vector_col))
+            vector = F.col(q(self.vector_col))
+            size = F.when(vector.isNotNull(), F.size(vector))
             row = df.agg(F.min(size).alias("lo"), F.max(size).alias("hi")).first()
             if row["lo"] is None:
                 raise InsufficientDataError("no rows to infer the vector length from")
@@ -81,7 +96,7 @@ class SOM(Estimator):
         # over all cores: the bounds job materializes them and every epoch
         # re-reads them through the Python kernel without recomputing the input
         rcols = [f"__r{i}" for i in range(d)]
-        key = [F.col(self.init_key).cast("string").alias("__key")] if self.init_key else []
+        key = [F.col(q(self.init_key)).cast("string").alias("__key")] if self.init_key else []
         kept = df.select(*[c.alias(r) for c, r in zip(raw, rcols)], *key)
         kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
         any_null = F.lit(False)
@@ -120,6 +135,9 @@ class SOM(Estimator):
             scaled = scaled.dropna(subset=zcols)
         try:
             W = self._init(scaled, zcols, cfg)
+            if self.mode == "online":
+                W, history = self._online(scaled, zcols, W)
+                return SOMModel(cfg, W, mins, maxs, features, self.vector_col, history)
             history = []
             prev = None
             for e in range(self.epochs):
@@ -137,6 +155,17 @@ class SOM(Estimator):
             kept.unpersist()
         return SOMModel(cfg, W, mins, maxs, features, self.vector_col, history)
 
+    def _online(self, scaled: DataFrame, zcols: list[str], W: np.ndarray):
+        key = (F.coalesce("__key", F.lit("")) if self.init_key
+               else F.concat_ws(",", *[F.col(z).cast("string") for z in zcols]))
+        workers = self.workers or scaled.sparkSession.sparkContext.defaultParallelism
+        dealt = online.deal(scaled.select(*zcols, *(["__key"] if self.init_key else [])), key, workers)
+        dealt = dealt.select("key", *zcols).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return online.train(dealt, zcols, W, self.config, self.epochs, self.syncs)
+        finally:
+            dealt.unpersist()
+
     # ------------------------------------------------------------------ init (M2, M3)
     def _init(self, scaled: DataFrame, zcols: list[str], cfg: SOMConfig) -> np.ndarray:
         K, d = cfg.k, len(zcols)
