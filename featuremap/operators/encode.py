@@ -224,7 +224,8 @@ class LabelModel(Model):
                 code = F.coalesce(F.col(tmp), F.lit(-1))
             else:
                 code = F.col(tmp)
-            df = df.withColumn(c, code.cast("int")).drop(tmp)
+            # counted at fit time: codes past 2^31 need a long
+            df = df.withColumn(c, code.cast("long" if self.maps[c].size > 2 ** 31 else "int")).drop(tmp)
         return df.select(*map(q, order))
 
 
@@ -232,33 +233,49 @@ class LabelModel(Model):
 class OneHotEncoder(Estimator):
     """One 0/1 column ``{col}{sep}{category}`` per sorted category; original dropped.
 
-    NULL and unseen values give all zeros (``ignore``) or raise (``error``).
+    NULL and unseen values give all zeros.  Unseen values are silent (``ignore``),
+    counted in a warning (``warn``), or raise with their names (``error``).
     With ``max_categories`` more distinct values than that are refused, never
     truncated; for wide columns use ``sparse=True``.
-    ``sparse=True`` emits one ``{col}_vec`` sparse vector column instead.
+
+    ``sparse=True`` emits one column per input column and has no category list on the
+    driver or in the plan: positions are label codes, ranked on the cluster and joined.
+    ``sparse_format`` is ``vector`` (``{col}_vec``, an ML sparse vector) or ``indices``
+    (``{col}_idx``, the positions of the ones as ``array<bigint>``).
     """
 
     def __init__(self, columns=None, drop_first: bool = False, handle_unknown: str = "ignore",
-                 prefix_sep: str = "_", max_categories: int | None = None, sparse: bool = False):
+                 prefix_sep: str = "_", max_categories: int | None = None, sparse: bool = False,
+                 sparse_format: str = "vector"):
         self.columns = columns
         self.drop_first = drop_first
         self.handle_unknown = _check_mode(handle_unknown)
         self.prefix_sep = prefix_sep
         self.max_categories = max_categories
-        self.sparse = sparse
+        if sparse_format not in ("vector", "indices"):
+            raise TransformerError("sparse_format must be 'vector' or 'indices'")
+        self.sparse, self.sparse_format = sparse, sparse_format
+
+    def _refuse_too_many(self, counts: dict[str, int]) -> None:
+        over = {c: n for c, n in counts.items()
+                if self.max_categories is not None and n > self.max_categories}
+        if over:
+            raise TransformerError(f"too many categories for one-hot: {over}")
 
-    def fit(self, df: DataFrame) -> "OneHotModel":
+    def fit(self, df: DataFrame) -> "OneHotModel | SparseOneHotModel":
         cols = resolve_columns(df, self.columns, categorical_columns)
+        if self.sparse:
+            labels = LabelEncoder(cols, collect_limit=MAP_LITERAL_LIMIT).fit(df).maps if cols else {}
+            labels = {c: labels[c] for c in cols}
+            self._refuse_too_many({c: m.size for c, m in labels.items()})
+            return SparseOneHotModel(labels, self.drop_first, self.handle_unknown, self.sparse_format)
         cats: dict[str, list[str]] = {c: [] for c in cols}
         if cols:
             d = _stack(df, cols).where(F.col("value").isNotNull()).distinct()
             # every category becomes an output column, so their number and bytes are
             # counted before they come to the driver, which plans those columns
             counts = _distinct_counts(d)
-            over = {c: n for c, (n, _) in counts.items()
-                    if self.max_categories is not None and n > self.max_categories}
-            if over:
-                raise TransformerError(f"too many categories for one-hot: {over}")
+            self._refuse_too_many({c: n for c, (n, _) in counts.items()})
             size = sum(b + 16 * n for n, b in counts.values())
             if size > BROADCAST_BYTES:
                 raise TransformerError(f"categories of {size} bytes cannot become columns")
@@ -266,31 +283,31 @@ class OneHotEncoder(Estimator):
                 cats[r["col"]].append(r["value"])
         for c in cols:
             cats[c] = sorted(cats[c])
-        return OneHotModel(cats, self.drop_first, self.handle_unknown, self.prefix_sep,
-                           self.sparse)
+        return OneHotModel(cats, self.drop_first, self.handle_unknown, self.prefix_sep)
 
 
 class OneHotModel(Model):
-    def __init__(self, categories, drop_first, handle_unknown, prefix_sep, sparse=False):
+    def __init__(self, categories, drop_first, handle_unknown, prefix_sep):
         self.categories = categories
         self.drop_first = drop_first
         self.handle_unknown = handle_unknown
         self.prefix_sep = prefix_sep
-        self.sparse = sparse
         self.params = {c: {"n_categories": float(len(v))} for c, v in categories.items()}
 
     def output_columns(self, col: str) -> list[str]:
         cats = self.categories[col][1:] if self.drop_first else self.categories[col]
         return [f"{col}{self.prefix_sep}{v}" for v in cats]
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, report: bool = True) -> DataFrame:
+        """As :meth:`LabelModel.transform`."""
         present = [c for c in self.categories if c in df.columns]
+        known = {c: F.col(q(c)).cast("string").isin(self.categories[c]) for c in present}
+        if report:
+            report_unknown(df, [(c, F.col(q(c)), F.col(q(c)).isNotNull() & ~known[c]) for c in present],
+                           self.handle_unknown)
         if self.handle_unknown == "error":
-            df = df.withColumns({c: F.when(_fail_unknown(
-                c, F.col(q(c)).cast("string").isin(self.categories[c]), F.col(q(c)), False), F.col(q(c)))
-                for c in present})
-        if self.sparse:
-            return self._sparse(df, present)
+            df = df.withColumns({c: F.when(_fail_unknown(c, known[c], F.col(q(c)), False), F.col(q(c)))
+                                 for c in present})
         keep = [F.col(q(c)) for c in df.columns if c not in present]
         new = []
         for c in present:
@@ -300,28 +317,64 @@ class OneHotModel(Model):
                     for v in cats]
         return df.select(*keep, *new)
 
-    def _sparse(self, df: DataFrame, present: list[str]) -> DataFrame:
-        """One sparse vector per column via ``pyspark.ml.feature.OneHotEncoder``.
 
-        Codes come from a map literal; NULL / unseen map to the extra "invalid"
-        slot, which ``dropLast`` removes, so they give an all-zero vector.
-        """
+class SparseOneHotModel(Model):
+    """Positions by join to the label codes; works at any number of categories.
+
+    ``widths`` has each column's vector length (without the first category under
+    ``drop_first``); ``mapping(col)`` the codes.
+    """
+
+    def __init__(self, maps: dict[str, _Mapping], drop_first: bool, handle_unknown: str, form: str):
+        self.maps, self.drop_first, self.handle_unknown, self.form = maps, drop_first, handle_unknown, form
+        self.widths = {c: max(m.size - int(drop_first), 0) for c, m in maps.items()}
+        self.params = {c: {"n_categories": float(m.size)} for c, m in maps.items()}
+
+    def mapping(self, col: str) -> dict | DataFrame:
+        m = self.maps[col]
+        return m.small if m.small is not None else m.table
+
+    def transform(self, df: DataFrame, report: bool = True) -> DataFrame:
+        """As :meth:`LabelModel.transform`."""
+        present = [c for c in self.maps if c in df.columns]
+        keep = [F.col(q(c)) for c in df.columns if c not in present]
+        code = {c: f"__code_{i}" for i, c in enumerate(self.maps)}
+        for i, c in enumerate(self.maps):
+            if c in present:
+                df = self.maps[c].lookup(df, code[c], F.col(q(c)).cast("string"), f"o{i}")
+        if report:
+            report_unknown(df, [(c, F.col(q(c)), F.col(q(c)).isNotNull() & F.col(code[c]).isNull())
+                                for c in present], self.handle_unknown)
+        if self.handle_unknown == "error":
+            df = df.withColumns({code[c]: F.when(_fail_unknown(c, F.col(code[c]).isNotNull(), F.col(q(c)), False),
+                                                 F.col(code[c])) for c in present})
+        at = {c: F.col(code[c]).cast("long") - int(self.drop_first) for c in present}
+        if self.form == "indices":
+            none = F.array().cast("array<bigint>")
+            return df.select(*keep, *[F.when(at[c] >= 0, F.array(at[c])).otherwise(none).alias(f"{c}_idx")
+                                      for c in present])
+        return self._vectors(df, keep, at)
+
+    def _vectors(self, df: DataFrame, keep: list[Column], at: dict[str, Column]) -> DataFrame:
+        """ML sparse vectors; rows without a position take the last slot, which is dropped."""
         from pyspark.ml.feature import OneHotEncoder as MLOneHot
 
-        out = df
-        for c in present:
-            cats = self.categories[c][1:] if self.drop_first else self.categories[c]
-            k = len(cats)
-            pos = {v: i for i, v in enumerate(cats)}
-            code = (F.try_element_at(F.create_map(*[F.lit(x) for kv in pos.items() for x in kv]),
-                                     F.col(q(c)).cast("string")) if pos else F.lit(None))
-            meta = {"ml_attr": {"type": "nominal", "num_vals": k, "name": f"__code_{c}"}}
-            out = out.withColumn(f"__code_{c}", F.coalesce(code, F.lit(k)).cast("double")
-                                 .alias(f"__code_{c}", metadata=meta))
-            enc = MLOneHot(inputCols=[f"__code_{c}"], outputCols=[f"{c}_vec"], dropLast=True,
-                           handleInvalid="keep")
-            out = enc.fit(out).transform(out).drop(c, f"__code_{c}")
-        return out
+        wide = [c for c in at if self.widths[c] >= 2 ** 31 - 1]
+        if wide:
+            raise TransformerError(f"too many categories for an ML vector (use sparse_format='indices'): {wide}")
+        slots = {c: f"__slot_{i}" for i, c in enumerate(at)}
+        for c, col in at.items():
+            width = self.widths[c]
+            meta = {"ml_attr": {"type": "nominal", "num_vals": width, "name": slots[c]}}
+            slot = F.when(col >= 0, col).otherwise(F.lit(width)).cast("double")
+            df = df.withColumn(slots[c], slot.alias(slots[c], metadata=meta))
+        if slots:
+            out = {c: f"__vec_{i}" for i, c in enumerate(slots)}
+            ml = MLOneHot(inputCols=list(slots.values()), outputCols=list(out.values()), dropLast=True,
+                          handleInvalid="keep")
+            df = ml.fit(df).transform(df)
+            keep = [*keep, *[F.col(out[c]).alias(f"{c}_vec") for c in slots]]
+        return df.select(*keep)
 
 
 # ---------------------------------------------------------------- E3 / E3u / E3m / E3r
@@ -477,14 +530,14 @@ class HashEncoder(Model):
         return self.transform(df)
 
     def bucket(self, col: str, i: int) -> Column:
-        text = F.concat(F.lit(f"{col}_{i}_"), F.col(col).cast("string"))
+        text = F.concat(F.lit(f"{col}_{i}_"), F.col(q(col)).cast("string"))
         if self.hash == "md5":
             b = md5_bucket(text, self.n_bins)
         elif self.hash == "xxhash64":
             b = F.pmod(F.xxhash64(text), F.lit(self.n_bins).cast("bigint"))
         else:
             b = F.pmod(F.hash(text).cast("bigint"), F.lit(self.n_bins).cast("bigint"))
-        b = F.when(F.col(col).isNull(), F.lit(0).cast("bigint")).otherwise(b)
+        b = F.when(F.col(q(col)).isNull(), F.lit(0).cast("bigint")).otherwise(b)
         if self.signed:
             b = b - F.lit(self.n_bins // 2)
         return b.cast("int")

@@ -136,6 +136,30 @@ def _round_cols(df, cols, keep):
     return df.select(*keep, *[F.round(c, R).alias(c) for c in cols])
 
 
+_WIDE_SQL = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {idx} AS l_orderkey_idx
+FROM (SELECT *, (dense_rank() OVER (ORDER BY l_orderkey::VARCHAR) - 1)::BIGINT AS code FROM lineitem)"""
+
+
+def _wide(spark, sf, **options):
+    li = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order.key"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    model = OneHotEncoder(["order.key"], sparse=True, sparse_format="indices", **options).fit(li)
+    return model.transform(li).withColumnRenamed("order.key_idx", "l_orderkey_idx")
+
+
+@query("onehot_sparse_wide", sql=_WIDE_SQL.format(idx="[code]"))
+def onehot_sparse_wide(spark, sf):
+    """As many categories as orders; positions come from a join."""
+    return _wide(spark, sf)
+
+
+@query("onehot_sparse_drop_first", sql=_WIDE_SQL.format(
+    idx="CASE WHEN code = 0 THEN []::BIGINT[] ELSE [code - 1] END"))
+def onehot_sparse_drop_first(spark, sf):
+    return _wide(spark, sf, drop_first=True)
+
+
 @query("target_encode", headline=True, sql=_target_sql(
     "orders", ["o_orderpriority", "o_orderstatus"], "o_totalprice"))
 def target_encode(spark, sf):
@@ -194,6 +218,18 @@ def hash_signed(spark, sf):
     return HashEncoder(["url"], n_bins=1000, n_functions=2, signed=True).transform(p)
 
 
+def _dotted_sql(i):
+    e = f"CAST(('0x' || md5('part.brand_{i}_' || p_brand))::UHUGEINT % 8 AS INTEGER)"
+    return f"CASE WHEN p_brand IS NULL THEN 0 ELSE {e} END AS brand_{i}"
+
+
+@query("hash_dotted_name", sql=f"SELECT p_partkey, {_dotted_sql(0)}, {_dotted_sql(1)} FROM part")
+def hash_dotted_name(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("part.brand"))
+    out = HashEncoder(["part.brand"], n_bins=8, n_functions=2).transform(p)
+    return out.toDF("p_partkey", "brand_0", "brand_1")
+
+
 @query("hash_xxhash64")
 def hash_xxhash64(spark, sf):
     """E4s with a caller-chosen hash (xxhash64); no SQL twin of Spark's xxhash64."""

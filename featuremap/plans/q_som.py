@@ -87,6 +87,16 @@ def som_assign(spark, sf):
     return model.transform(rows).select(*LINE_KEYS, "neuron_x", "neuron_y")
 
 
+@query("som_assign_dotted", sql=line_sql(1) + """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, nx AS neuron_x, ny AS neuron_y FROM a1 WHERE rn = 1""")
+def som_assign_dotted(spark, sf):
+    """Feature names with dots, as the CSV source yields them."""
+    rows = line_rows(spark, sf).withColumnsRenamed({c: c.replace("l_", "line.") for c in LINE_FEATS})
+    model = SOM(features=[c.replace("l_", "line.") for c in LINE_FEATS], epochs=1, tol=0,
+                initialization="grid", **LINE).fit(rows)
+    return model.transform(rows).select(*LINE_KEYS, "neuron_x", "neuron_y")
+
+
 @query("som_predict", headline=True, sql=line_sql() + f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, nx AS neuron_x, ny AS neuron_y, round(dist, 6) AS distance
 FROM a{LINE_EPOCHS} WHERE rn = 1""")

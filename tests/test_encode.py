@@ -65,9 +65,32 @@ def test_onehot_unknown_and_null_all_zero(spark):
     m = OneHotEncoder(["c"]).fit(frame(spark, c=["a", "b"]))
     out = m.transform(frame(spark, c=["z", None]))
     assert rows(out, "c_a", "c_b") == [(0, 0), (0, 0)]
+    m = OneHotEncoder(["c"], handle_unknown="error").fit(frame(spark, c=["a"]))
     with pytest.raises(PySparkException):
-        OneHotEncoder(["c"], handle_unknown="error").fit(frame(spark, c=["a"])) \
-            .transform(frame(spark, c=["z"])).collect()
+        m.transform(frame(spark, c=["z"]), report=False).collect()
+    for sparse in (False, True):
+        fitted = lambda mode: OneHotEncoder(["c"], handle_unknown=mode, sparse=sparse).fit(  # noqa: B023, E731
+            frame(spark, c=["a", "b"]))
+        with pytest.raises(TransformerError, match="'y', 'z'"):
+            fitted("error").transform(frame(spark, c=["z", "a", "y", None]))
+        with pytest.warns(UserWarning, match="3 rows with 2 values in 'c'"):
+            fitted("warn").transform(frame(spark, c=["z", "a", "y", "z", None]))
+
+
+def test_onehot_sparse_indices_at_any_width(spark):
+    n = 30_000
+    df = spark.range(n).selectExpr("id", "CASE WHEN id % 5 > 0 THEN id || '.x' END AS `a.b`", "'k' AS c")
+    model = OneHotEncoder(["a.b", "c"], sparse=True, sparse_format="indices", drop_first=True).fit(df)
+    out = model.transform(df)
+    assert out.columns == ["id", "a.b_idx", "c_idx"] and model.widths == {"a.b": n * 4 // 5 - 1, "c": 0}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "111.x" not in plan and len(plan) < 20_000
+    order = {v: i for i, v in enumerate(sorted(f"{i}.x" for i in range(n) if i % 5))}
+    want = {i: [order[f"{i}.x"] - 1] if i % 5 and order[f"{i}.x"] else [] for i in range(n)}
+    assert {r["id"]: r["a.b_idx"] for r in out.collect()} == want
+    assert out.where("size(c_idx) > 0").count() == 0
+    wide = OneHotEncoder(["a.b"], sparse=True).fit(df).transform(df.limit(3)).collect()
+    assert {len(r["a.b_vec"]) for r in wide} == {n * 4 // 5}
 
 
 def test_onehot_refuses_too_many(spark):
