@@ -162,6 +162,10 @@ class LabelEncoder(Estimator):
                 d.unpersist()
         return LabelModel(maps, self.handle_unknown)
 
+    def fit_values(self, values: DataFrame, columns: list[str]) -> "LabelModel":
+        """Learn from a stored table of distinct ``(col, value)`` instead of the rows."""
+        return self._fit_counted(values, columns, {})
+
     def _fit_counted(self, d: DataFrame, learn: list[str], maps: dict) -> "LabelModel":
         """Rows and bytes are counted first: the smallest columns are collected while
         all of them together stay under both bounds, the others are ranked."""

@@ -4,6 +4,7 @@ total (X13), constant lookups (X14) and the automatic preparation (X16)."""
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
@@ -13,9 +14,10 @@ from pyspark.sql import types as T
 
 from ..functions.columns import as_double, non_numeric_columns, numeric_columns, q, resolve_columns
 from ..functions.quantiles import exact_quantiles
-from .base import Estimator, Model
+from ..functions.statistics import code_quantiles, filled_quantiles, gather, weighted_quantiles
+from .base import Estimator, Model, require_rows
 from .encode import LabelEncoder, LabelModel
-from .scale import RobustScaler
+from .scale import RobustModel, RobustScaler
 
 # Exact (case-insensitive) names dropped by the default id rule.
 ID_LIKE_NAMES = ("name", "ticket", "cabin")
@@ -173,38 +175,85 @@ class AutoPrep(Estimator):
     """Automatic preparation: drop id-like columns -> median / mode imputation ->
     label codes for non-numeric columns -> robust scaling of every column.
 
-    Two kinds of distributed work: the imputation aggregates and the quartile
-    aggregate of the robust scaler; label mappings are small and broadcast.
+    Three passes over the rows: the numeric columns' sketches, the categorical columns'
+    value counts, and the order statistics that medians and quartiles need.  Modes,
+    label codes and the quartiles of codes come from the stored counts.  Columns of
+    nested types go through the four fits one after another instead.
     """
 
-    def __init__(self, rule: Callable[[str], bool] = is_id_like, exact: bool = True):
-        self.rule, self.exact = rule, exact
+    def __init__(self, rule: Callable[[str], bool] = is_id_like):
+        self.rule = rule
 
     def fit(self, df: DataFrame) -> "AutoPrepModel":
         kept = [c for c in df.columns if not self.rule(c)]
         # every fit below is a job over the same rows: materialize the input
         # once (spilling to disk if needed) instead of recomputing its lineage
         base = df.select(*map(q, kept)).persist(StorageLevel.MEMORY_AND_DISK)
+        nested = any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in base.schema.fields)
         try:
-            # empty input is rejected by the robust fit below (one count in its
-            # first pass), so no separate job is spent on it here
-            num = numeric_columns(base)
-            cat = [c for c in kept if c not in num]
-            med = MedianImputer(num, exact=self.exact).fit(base) if num else None
-            mode = ModeImputer(cat).fit(base) if cat else None
-            filled = base
-            if med:
-                filled = med.transform(filled)
-            if mode:
-                filled = mode.transform(filled)
-            label = LabelEncoder(cat, handle_unknown="warn").fit(filled) if cat else None
-            coded = label.transform(filled, report=False) if label else filled
-            scaler = RobustScaler(kept, exact=self.exact)
-            robust = scaler.fit(coded)
+            return (self._staged if nested else self._fused)(base, kept)
         finally:
             base.unpersist()
+
+    def _fused(self, base: DataFrame, kept: list[str]) -> "AutoPrepModel":
+        num = numeric_columns(base)
+        cat = [c for c in kept if c not in num]
+        stats = gather(base, num, cat)
+        require_rows(stats.rows, "AutoPrep")
+        probs = [0.5, 0.25, 0.75]
+        floats = {c for c in num if isinstance(base.schema[c].dataType, T.FloatType)}
+        medians, quantiles = filled_quantiles(
+            base, stats, probs, lambda c, v: struct.unpack("f", struct.pack("f", v))[0] if c in floats else v)
+        params = {c: dict(zip(("median", "q1", "q3"), (quantiles[c, p] for p in probs), strict=True)) for c in num}
+        med = FillModel(medians, nan_too=True) if num else None
+        mode = label = None
+        if cat:
+            modes = dict.fromkeys(cat)
+            missing = dict.fromkeys(cat, stats.rows)
+            for r in stats.counts.groupBy("col").agg(      # a row a column
+                    F.min(F.struct((-F.col("n")).alias("neg"), "value")).alias("b"), F.sum("n").alias("n")).collect():
+                modes[r["col"]], missing[r["col"]] = r["b"]["value"], stats.rows - r["n"]
+            mode = FillModel(modes, nan_too=False)
+            label = LabelEncoder(cat, handle_unknown="warn").fit_values(stats.counts.select("col", "value"), cat)
+            params.update(self._code_params(stats.counts, label, modes, missing, probs))
+        model = AutoPrepModel(kept, med, mode, label, RobustModel({c: params[c] for c in kept}))
+        model.n_rows = stats.rows
+        return model
+
+    @staticmethod
+    def _code_params(counts, label, modes, missing, probs) -> dict[str, dict]:
+        """Quartiles of each column's label codes, its nulls filled with the mode.  Columns
+        whose codes came to the driver (a bounded number of them) are read in one job."""
+        out = {}
+        small = {c: m.small for c, m in label.maps.items() if m.small is not None}
+        weights: dict[str, dict[int, int]] = {c: {} for c in small}
+        for r in counts.where(F.col("col").isin(list(small))).collect():
+            weights[r["col"]][small[r["col"]][r["value"]]] = r["n"]
+        for c, m in label.maps.items():
+            if modes[c] is None:            # no value at all: every row gets the unknown code
+                found = dict.fromkeys(probs, -1.0)
+            elif c in small:
+                weights[c][small[c][modes[c]]] += missing[c]
+                found = weighted_quantiles(sorted(weights[c].items()), probs)
+            else:
+                n = F.col("n") + F.when(F.col("value") == modes[c], missing[c]).otherwise(0)
+                mine = counts.where(F.col("col") == c).select("value", n.alias("n"))
+                found = code_quantiles(m.lookup(mine, "code", F.col("value"), "c"), probs)
+            out[c] = dict(zip(("median", "q1", "q3"), (float(found[p]) for p in probs), strict=True))
+        return out
+
+    def _staged(self, base: DataFrame, kept: list[str]) -> "AutoPrepModel":
+        num = numeric_columns(base)
+        cat = [c for c in kept if c not in num]
+        med = MedianImputer(num).fit(base) if num else None
+        mode = ModeImputer(cat).fit(base)
+        filled = mode.transform(med.transform(base) if med else base)
+        label = LabelEncoder(cat, handle_unknown="warn").fit(filled)
+        scaler = RobustScaler(kept)
+        # empty input is rejected here (one count in the first pass)
+        robust = scaler.fit(label.transform(filled, report=False))
         model = AutoPrepModel(kept, med, mode, label, robust)
-        model.n_rows = getattr(scaler, "n_rows", None)     # rows seen by the last fit
+        model.n_rows = scaler.n_rows
         return model
 
 
