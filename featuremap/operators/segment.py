@@ -6,15 +6,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .kmeans import KMeans
 from .prep import attach_lookup, with_share
 
 #: an example lookup: segment id, name, strategy, budget; pass your own rows
 SEGMENT_LOOKUP = [
-    (0, "VIP Spenders", "Premium Experience", "30% - Alto valor, alto ROI"),
-    (1, "Budget Conscious", "Value Maximization", "25% - Volumen potencial"),
-    (2, "Occasional Shoppers", "Activation Campaigns", "20% - Recuperar clientes"),
-    (3, "Loyal Advocates", "Brand Ambassador", "15% - Maximizar word-of-mouth"),
-    (4, "At-Risk Churners", "Win-Back", "10% - Salvar relaciones"),
+    (0, "large accounts", "account manager", "high"),
+    (1, "price sensitive", "bundles", "medium"),
+    (2, "seasonal", "reminders", "low"),
+    (3, "regular", "loyalty points", "medium"),
+    (4, "inactive", "survey", "low"),
 ]
 
 
@@ -22,26 +23,36 @@ def lookup_table(spark: SparkSession, rows=SEGMENT_LOOKUP) -> DataFrame:
     return spark.createDataFrame(rows, "segment int, name string, strategy string, budget string")
 
 
-def cluster_codebook(codebook: DataFrame, k: int = 5, seed: int = 42):
-    """K-means over the codebook vectors (G1): ``neuron_x, neuron_y, segment``.
+def _weighted_codebook(codebook: DataFrame, hits: DataFrame | None) -> tuple[DataFrame, int]:
+    """Codebook rows with a key and, from ``hits`` (neuron_x, neuron_y, hits), weights."""
+    out = codebook.withColumn("__key", F.concat_ws("-", "neuron_x", "neuron_y"))
+    if hits is not None:
+        weights = hits.select("neuron_x", "neuron_y", F.col("hits").cast("double").alias("__hits"))
+        out = out.join(weights, ["neuron_x", "neuron_y"], "left")
+    return out, codebook.select(F.size("weights")).first()[0]
+
+
+def _kmeans(codebook: DataFrame, ks, seed: int, hits: DataFrame | None):
+    rows, size = _weighted_codebook(codebook, hits)
+    return rows, KMeans(vector_col="weights", size=size, key="__key", ks=ks, seed=seed,
+                        weight="__hits" if hits is not None else None).fit(rows)
 
-    The codebook has x*y rows, so this is small work on the cluster.
-    Returns the assignment and the training cost.
-    """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
 
-    v = codebook.withColumn("features", array_to_vector("weights"))
-    km = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="segment").fit(v)
-    out = km.transform(v).select("neuron_x", "neuron_y", F.col("segment").cast("int"))
-    return out, km.summary.trainingCost
+def cluster_codebook(codebook: DataFrame, k: int = 5, seed: int = 42, hits: DataFrame | None = None):
+    """K-means over the codebook vectors (G1): ``neuron_x, neuron_y, segment`` and the cost.
+
+    With ``hits`` every neuron counts as often as rows fell on it, so the clusters are
+    those of the quantized rows; neurons without rows get the nearest cluster.  To
+    cluster rows themselves use :class:`KMeans`.
+    """
+    rows, model = _kmeans(codebook, [k], seed, hits)
+    return model.transform(rows, k).select("neuron_x", "neuron_y", "segment"), model.inertia[k]
 
 
-def elbow(codebook: DataFrame, ks=range(2, 10), seed: int = 42) -> DataFrame:
-    """Inertia for each k."""
-    spark = codebook.sparkSession
-    rows = [(int(k), float(cluster_codebook(codebook, k, seed)[1])) for k in ks]
-    return spark.createDataFrame(rows, "k int, inertia double")
+def elbow(codebook: DataFrame, ks=range(2, 10), seed: int = 42, hits: DataFrame | None = None) -> DataFrame:
+    """Inertia for each k (G2); all k are fitted in the same jobs."""
+    _, model = _kmeans(codebook, list(ks), seed, hits)
+    return model.elbow(codebook)
 
 
 def label_rows(assigned: DataFrame, neuron_segments: DataFrame) -> DataFrame:

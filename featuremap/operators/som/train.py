@@ -19,6 +19,7 @@ from __future__ import annotations
 import warnings
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -196,20 +197,55 @@ def grid_codebook(x: int, y: int, d: int) -> np.ndarray:
     return W
 
 
-def pca_codebook(scaled: DataFrame, zcols: list[str], x: int, y: int) -> np.ndarray:
-    """Span the first two principal components: ``w(i,j) = a_i pc1 + b_j pc2``,
-    ``a, b`` evenly spaced in [-1, 1]; signs fixed so the largest entry is positive."""
-    from pyspark.ml.feature import PCA, VectorAssembler
+#: squarings of the covariance; they settle eigenvalues that differ in the 13th digit
+SQUARINGS = 50
+
 
+def covariance(rows: DataFrame, zcols: list[str]) -> np.ndarray:
+    """Sample covariance from one aggregate: every partition adds up its products first,
+    so d * d / 2 numbers a partition are shuffled and come to the driver."""
     d = len(zcols)
-    vec = VectorAssembler(inputCols=zcols, outputCol="__v").transform(scaled)
-    k = min(2, d)
-    pcs = PCA(k=k, inputCol="__v", outputCol="__p").fit(vec).pc.toArray().copy()  # (d, k)
-    for c in range(k):
-        if pcs[np.argmax(np.abs(pcs[:, c])), c] < 0:
-            pcs[:, c] = -pcs[:, c]
-    pc1 = pcs[:, 0]
-    pc2 = pcs[:, 1] if k > 1 else np.zeros(d)
+    i, j = np.triu_indices(d + 1)           # index d stands for the constant 1
+
+    def run(batches):
+        total = np.zeros((d + 1, d + 1))
+        for batch in batches:
+            z = np.column_stack([*(batch.column(c).to_numpy(zero_copy_only=False) for c in zcols),
+                                 np.ones(batch.num_rows)])
+            total += z.T @ z
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total[i, j])], names=["i", "j", "s"])
+
+    total = np.zeros((d + 1, d + 1))
+    for r in (rows.select(*zcols).mapInArrow(run, "i long, j long, s double")
+              .groupBy("i", "j").agg(F.sum("s").alias("s")).collect()):
+        total[r["i"], r["j"]] = total[r["j"], r["i"]] = r["s"]
+    n, sums = total[d, d], total[:d, d]
+    return (total[:d, :d] - np.outer(sums, sums) / n) / (n - 1)
+
+
+def leading_direction(cov: np.ndarray) -> np.ndarray:
+    """Unit vector of the largest eigenvalue by power iteration, squaring the matrix; its
+    largest entry is positive.  Zeros for a matrix without one."""
+    m, scale = cov, np.abs(cov).max()
+    if not scale > 0:
+        return np.zeros(len(cov))
+    for _ in range(SQUARINGS):
+        m = m / np.abs(m).max()
+        m = m @ m
+    v = m @ (1.0 / np.arange(1, len(cov) + 1))
+    v = v / np.sqrt((v * v).sum())
+    return -v if v[np.argmax(np.abs(v))] < 0 else v
+
+
+def pca_codebook(scaled: DataFrame, zcols: list[str], x: int, y: int) -> np.ndarray:
+    """Span the first two principal directions: ``w(i,j) = a_i pc1 + b_j pc2``,
+    ``a, b`` evenly spaced in [-1, 1].  The second is that of the covariance without
+    the part along the first; a part below rounding gives no direction."""
+    cov = covariance(scaled, zcols)
+    pc1 = leading_direction(cov)
+    rest = cov - (pc1 @ cov @ pc1) * np.outer(pc1, pc1)
+    pc2 = (leading_direction(rest) if np.abs(rest).max() > 1e-12 * np.abs(cov).max()
+           else np.zeros(len(zcols)))
     a, b = np.linspace(-1, 1, x), np.linspace(-1, 1, y)
     return np.array([a[i] * pc1 + b[j] * pc2 for i in range(x) for j in range(y)])
 

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from ..operators.auto import auto_segment
 from ..operators.joins import left_join_hot_right
+from ..operators.kmeans import KMeans
 from ..operators.prep import bands, with_share
 from ..operators.segment import SEGMENT_LOOKUP, cluster_codebook, elbow, label_rows, lookup_table, profile
 from ..operators.som import default_grid_size
+from .kmeans_sql import kmeans_ctes
 from .q_som import (CUST_EPOCHS, CUST_SRC, CUST_FEATS, LINE_EPOCHS, cust_model, cust_sql,
                     customer_features, line_model, line_sql)
 from .registry import query, table
@@ -80,17 +82,59 @@ def band_profile(spark, sf):
                                        ("percent", "avg_c_acctbal", "avg_total_spent")])
 
 
-@query("segment_kmeans")
+# k-means over the codebook, each neuron weighted by its rows
+_CODEBOOK_SQL = line_sql().rstrip() + f""",
+kz AS (SELECT nx || '-' || ny AS key, coalesce(n, 0)::DOUBLE AS w, nx, ny, w0 AS z0, w1 AS z1, w2 AS z2, w3 AS z3
+       FROM cb{LINE_EPOCHS} LEFT JOIN (SELECT nx, ny, count(*) AS n FROM a{LINE_EPOCHS} WHERE rn = 1 GROUP BY nx, ny)
+       USING (nx, ny)),
+"""
+
+
+def _codebook_and_hits(spark, sf):
+    rows, model = line_model(spark, sf)
+    hits = model.transform(rows).groupBy("neuron_x", "neuron_y").agg(F.count(F.lit(1)).alias("hits"))
+    return model.codebook_df(spark), hits
+
+
+@query("segment_kmeans", sql=_CODEBOOK_SQL + kmeans_ctes(4, [5]) + """
+SELECT nx AS neuron_x, ny AS neuron_y, fin.c::INTEGER AS segment FROM fin JOIN kz USING (key)""")
 def segment_kmeans(spark, sf):
-    _, model = line_model(spark, sf)
-    seg, _ = cluster_codebook(model.codebook_df(spark), k=5, seed=42)
-    return seg
+    codebook, hits = _codebook_and_hits(spark, sf)
+    return cluster_codebook(codebook, k=5, seed=42, hits=hits)[0]
 
 
-@query("segment_elbow")
+@query("segment_elbow", sql=_CODEBOOK_SQL + kmeans_ctes(4, list(range(2, 10))) + """
+SELECT k::INTEGER AS k, round(sum(w * d2), 6) AS inertia FROM fin GROUP BY k""")
 def segment_elbow(spark, sf):
-    _, model = line_model(spark, sf)
-    return elbow(model.codebook_df(spark), range(2, 10))
+    codebook, hits = _codebook_and_hits(spark, sf)
+    return elbow(codebook, range(2, 10), hits=hits).withColumn("inertia", F.round("inertia", R))
+
+
+# k-means over the rows themselves: customers in thousands of currency, weighted by orders
+_ROWS_SQL = f"""WITH kz AS (SELECT c_custkey::VARCHAR AS key, n_orders::DOUBLE AS w, c_custkey,
+  c_acctbal / 1000.0::DOUBLE AS z0, total_spent / 1000000.0::DOUBLE AS z1 FROM ({CUST_SRC})),
+"""
+
+
+def _customer_kmeans(spark, sf, ks):
+    rows = customer_features(spark, sf).select(
+        "c_custkey", "n_orders", (F.col("c_acctbal") / 1000.0).alias("balance.k"),
+        (F.col("total_spent") / 1000000.0).alias("spent"))
+    return rows, KMeans(["balance.k", "spent"], key="c_custkey", weight="n_orders", ks=ks, iterations=6).fit(rows)
+
+
+@query("kmeans_rows", sql=_ROWS_SQL + kmeans_ctes(2, [4], iterations=6) + """
+SELECT c_custkey, c::INTEGER AS segment FROM fin JOIN kz USING (key)""")
+def kmeans_rows(spark, sf):
+    rows, model = _customer_kmeans(spark, sf, [4])
+    return model.transform(rows).select("c_custkey", "segment")
+
+
+@query("kmeans_rows_elbow", sql=_ROWS_SQL + kmeans_ctes(2, list(range(2, 10)), iterations=6) + """
+SELECT k::INTEGER AS k, round(sum(w * d2), 6) AS inertia FROM fin GROUP BY k""")
+def kmeans_rows_elbow(spark, sf):
+    rows, model = _customer_kmeans(spark, sf, list(range(2, 10)))
+    return model.elbow(rows).withColumn("inertia", F.round("inertia", R))
 
 
 # the fixed neuron -> segment rule used by the lookup and profile queries

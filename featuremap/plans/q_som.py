@@ -8,7 +8,7 @@ from ..operators.som import SOM, SOMModel
 from ..operators.som import quality as Q
 from ..session import scratch_path
 from .registry import query, table
-from .som_sql import som_ctes
+from .som_sql import pca_start, som_ctes
 
 R = 6
 
@@ -179,7 +179,10 @@ def som_init_sample(spark, sf):
     return model.codebook_df(spark).select("neuron_x", "neuron_y", *_w_cols(model))
 
 
-@query("som_init_pca")
+@query("som_init_pca", sql=som_ctes(
+    CUST_SRC, ["c_custkey", "c_mktsegment"], CUST_FEATS, CUST["x"], CUST["y"], 2, CUST["sigma"],
+    CUST["learning_rate"], start=pca_start(3, CUST["x"], CUST["y"])) + """
+SELECT nx AS neuron_x, ny AS neuron_y, """ + ", ".join(f"round(w{i}, 6) AS w{i}" for i in range(3)) + " FROM cb2")
 def som_init_pca(spark, sf):
     rows = customer_features(spark, sf)
     model = SOM(features=CUST_FEATS, epochs=2, tol=0, initialization="pca", **CUST).fit(rows)

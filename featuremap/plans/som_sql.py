@@ -31,7 +31,8 @@ def _h(kind: str, sigma: float) -> str:
 
 def som_ctes(src: str, keys: list[str], feats: list[str], x: int, y: int, epochs: int,
              sigma: float = 1.0, lr: float = 0.5, kind: str = "gaussian",
-             decay_function: str = "asymptotic", second: bool = False) -> str:
+             decay_function: str = "asymptotic", second: bool = False, start: str | None = None) -> str:
+    """``start``: CTEs that define ``cb0`` from ``z``, instead of the grid start."""
     d = len(feats)
     k = ", ".join(keys)
     zk = ", ".join(f"z.{c}" for c in keys)
@@ -41,7 +42,7 @@ def som_ctes(src: str, keys: list[str], feats: list[str], x: int, y: int, epochs
     ctes.append(f"z AS (SELECT {k}, " + ", ".join(
         f"({f} - mn{i}) / (CASE WHEN mx{i} - mn{i} = 0 THEN 1.0::DOUBLE ELSE mx{i} - mn{i} END) AS z{i}"
         for i, f in enumerate(feats)) + " FROM src, b)")
-    ctes.append("cb0 AS (SELECT i::INTEGER AS nx, j::INTEGER AS ny, " + ", ".join(
+    ctes.append(start or "cb0 AS (SELECT i::INTEGER AS nx, j::INTEGER AS ny, " + ", ".join(
         (f"(i::DOUBLE + 0.5::DOUBLE) / {x}::DOUBLE AS w{f}" if f % 2 == 0
          else f"(j::DOUBLE + 0.5::DOUBLE) / {y}::DOUBLE AS w{f}") for f in range(d))
         + f" FROM range({x}) t(i), range({y}) u(j))")
@@ -74,4 +75,31 @@ def som_ctes(src: str, keys: list[str], feats: list[str], x: int, y: int, epochs
             f"max(CASE WHEN r = 2 THEN nx END) AS neuron2_x, max(CASE WHEN r = 2 THEN ny END) AS neuron2_y "
             f"FROM (SELECT *, rn AS r FROM a{epochs}) "
             f"GROUP BY {k})")
-    return "WITH " + ",\n".join(ctes) + "\n"
+    return ("WITH RECURSIVE " if start else "WITH ") + ",\n".join(ctes) + "\n"
+
+
+def pca_start(d: int, x: int, y: int, squarings: int = 50) -> str:
+    """``cb0`` along the first two principal directions of ``z``; the covariance is a flat
+    list, squared again and again."""
+    cells = range(d * d)
+    cov = ", ".join(f"covar_samp(z{e // d}, z{e % d})" for e in cells)
+    square = f"""list_transform(range({d * d}), lambda e: list_sum(list_transform(range({d}), lambda t:
+      m[e // {d} * {d} + t + 1] * m[t * {d} + e % {d} + 1])))"""
+    unit = lambda name, src: f"""{name}r(step, m) AS (
+  SELECT 0, m FROM {src} UNION ALL SELECT step + 1, {square} FROM (
+    SELECT step, list_transform(m, lambda v: v / s) AS m FROM (
+      SELECT step, m, list_max(list_transform(m, lambda v: abs(v))) AS s FROM {name}r WHERE step < {squarings}))),
+{name}v AS (SELECT list_transform(range({d}), lambda i: list_sum(list_transform(range({d}), lambda t:
+    m[i * {d} + t + 1] * (1.0::DOUBLE / (t + 1))))) AS v FROM {name}r WHERE step = {squarings}),
+{name}n AS (SELECT list_transform(v, lambda a: a / sqrt(list_sum(list_transform(v, lambda b: b * b)))) AS v FROM {name}v),
+{name} AS (SELECT CASE WHEN v[list_position(list_transform(v, lambda a: abs(a)), list_max(list_transform(v, lambda a: abs(a))))] < 0
+                  THEN list_transform(v, lambda a: -a) ELSE v END AS v FROM {name}n)"""
+    rest = ", ".join(f"m[{e + 1}] - l * v[{e // d + 1}] * v[{e % d + 1}]" for e in cells)
+    quad = " + ".join(f"v[{e // d + 1}] * m[{e + 1}] * v[{e % d + 1}]" for e in cells)
+    grid = ", ".join(f"(2.0::DOUBLE * i / {x - 1} - 1.0::DOUBLE) * p1.v[{f + 1}] + "
+                     f"(2.0::DOUBLE * j / {y - 1} - 1.0::DOUBLE) * p2.v[{f + 1}] AS w{f}" for f in range(d))
+    return f"""pc AS (SELECT [{cov}] AS m FROM z),
+{unit('p1', 'pc')},
+pd AS (SELECT [{rest}] AS m FROM (SELECT m, v, {quad} AS l FROM pc, p1)),
+{unit('p2', 'pd')},
+cb0 AS (SELECT i::INTEGER AS nx, j::INTEGER AS ny, {grid} FROM range({x}) t(i), range({y}) u(j), p1, p2)"""

@@ -70,3 +70,22 @@ def test_without_key_nulls_and_bad_modes(spark):
     for bad in (dict(mode="both"), dict(mode="online", workers=0), dict(mode="online", syncs=0)):
         with pytest.raises(SOMError):
             SOM(**bad)
+
+
+def test_pca_start_is_the_eigenvectors(spark):
+    from featuremap.operators.som.train import covariance, leading_direction, pca_codebook
+
+    z = np.random.default_rng(3).normal(0, 1, (500, 5)) @ np.diag([1.0, 5.0, 2.0, 0.1, 1.0])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in z], [f"z{i}" for i in range(5)]).repartition(4)
+    cov = covariance(df, df.columns)
+    assert np.allclose(cov, np.cov(z.T))
+    _, vectors = np.linalg.eigh(cov)
+    for got, want in ((leading_direction(cov), vectors[:, -1]),):
+        assert np.allclose(got, want * np.sign(want[np.argmax(np.abs(want))]))
+    book = pca_codebook(df, df.columns, 3, 3)
+    second = vectors[:, -2] * np.sign(vectors[:, -2][np.argmax(np.abs(vectors[:, -2]))])
+    assert np.allclose(book[5] - book[3], 2 * second) and np.allclose(book[4], 0)
+    line = df.select("z0", (F.col("z0") * 2).alias("z1"))
+    flat = pca_codebook(line, ["z0", "z1"], 3, 3)
+    assert np.allclose(flat[0], flat[2]) and not np.allclose(flat[0], flat[6])
+    assert np.allclose(pca_codebook(df.select(F.lit(1.0).alias("z0"), F.lit(2.0).alias("z1")), ["z0", "z1"], 3, 3), 0)

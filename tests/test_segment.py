@@ -9,7 +9,7 @@ from featuremap.operators.som import quality as Q
 def test_profile_with_lookup_default_name(spark):
     rows = spark.createDataFrame([(0, 1.0), (0, 3.0), (7, 10.0)], ["segment", "spend"])
     p = {r.segment: r for r in profile(rows, "segment", ["spend"], lookup_table(spark)).collect()}
-    assert p[0].name == "VIP Spenders" and p[0].avg_spend == 2.0
+    assert p[0].name == "large accounts" and p[0].avg_spend == 2.0
     assert p[7].name == "Segment 7" and p[7].strategy is None
     assert p[0].percent == pytest.approx(200 / 3)
 
