@@ -69,37 +69,41 @@ def _repeated_words(order: str) -> Column:
         lambda a: a["n"])
 
 
-def _measured(docs: DataFrame, text: str) -> DataFrame:
-    """``row`` (the whole input row) and the measurements."""
-    df = docs.select(F.struct("*").alias("row"))
-    df = df.select("row", F.coalesce(F.col("row")[text].cast("string"), F.lit("")).alias("t"))
-    bare = F.btrim(F.col("t"), F.lit(SPACE))
+def _measured(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
+    """``row`` (a struct of the columns ``carry``) and the measurements.  Each step drops
+    what the next ones don't need: the lines before the words are split, the text with
+    the words, the words with their hashes, those with the windows'."""
+    t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    df = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"), t.alias("t"))
+    found = ["row", "n_symbols", "n_bangs", "n_upper"]
     lines = F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
     df = df.select(
-        "row",
-        F.when(bare != "", F.split(bare, SPACES)).otherwise(F.array().cast("array<string>")).alias("w"),
-        lines.alias("l"),
+        "row", "t", lines.alias("l"),
         _length_of(F.col("t"), r"[^#*$%&|<>]+").alias("n_symbols"),
         _length_of(F.col("t"), r"[^!]+").alias("n_bangs"),
         _length_of(F.col("t"), r"[^\p{Lu}]+").alias("n_upper"))
+    df = df.select(*found, "t", F.size("l").cast("long").alias("n_lines"),
+                   (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"))
+    found += ["n_lines", "n_dup_lines"]
+    bare = F.btrim(F.col("t"), F.lit(SPACE))
+    df = df.select(*found, F.when(bare != "", F.split(bare, SPACES)).otherwise(
+        F.array().cast("array<string>")).alias("w"))
+    df = df.select(*found, F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+                   F.size("w").cast("long").alias("n_words"),
+                   F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
+    found += ["word_chars", "n_words"]
     h = F.col("h")
     grams = F.transform(
         F.sequence(F.lit(0), F.size("h") - WINDOW),
         lambda i: F.xxhash64(*[h[i + j] for j in range(WINDOW)]))
-    df = df.withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
-    df = df.select(
-        "row", "n_symbols", "n_bangs", "n_upper",
-        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
-        F.size("w").cast("long").alias("n_words"),
-        F.size("l").cast("long").alias("n_lines"),
-        (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size("w") > WINDOW, grams).otherwise(F.array().cast("array<long>")).alias("g"))
+    df = df.select(*found, F.when(F.size("h") > WINDOW, grams).otherwise(
+        F.array().cast("array<long>")).alias("g"))
     # only a text with some repeated window pays for the sort
     some = F.size(F.array_distinct("g")) < F.size("g")
     order = F.sort_array(F.transform(
         "g", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    df = df.withColumn("o", F.when(some, order).otherwise(
-        F.array().cast("array<struct<h:bigint,i:int>>")))
+    df = df.select(*found, F.when(some, order).otherwise(
+        F.array().cast("array<struct<h:bigint,i:int>>")).alias("o"))
     df = df.withColumn("n_repeat_words", _repeated_words("o"))
     # as a generator's output, so that a later filter on a measurement is not pushed
     # down as a second copy of all the work that leads to it
@@ -115,7 +119,7 @@ def _bits() -> Column:
 
 def ledger(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id``, the measurements and ``fail_bits`` of every row."""
-    return (_measured(docs, text).withColumn("fail_bits", _bits())
+    return (_measured(docs, text, [id]).withColumn("fail_bits", _bits())
             .select(F.col("row")[id].alias(id), *MEASURES, "fail_bits"))
 
 
@@ -137,7 +141,7 @@ def apply_policy(book: DataFrame, policy: str | tuple[str, ...] = "v1") -> DataF
 def keep(docs: DataFrame, policy: str | tuple[str, ...] = "v1", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass the policy, columns unchanged."""
     ok = _bits().bitwiseAND(F.lit(mask(policy))) == 0
-    return _measured(docs, text).filter(ok).select("row.*")
+    return _measured(docs, text, docs.columns).filter(ok).select("row.*")
 
 
 def ablation(book: DataFrame, policies: dict = POLICIES) -> DataFrame:
