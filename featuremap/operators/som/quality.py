@@ -5,9 +5,11 @@ lazy aggregate or join; grid-sized sides (x*y rows) are broadcast."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ...functions.columns import q
+
 # Quality bands used by the reference's tutorial report.
 QE_BANDS = ((0.1, "excellent"), (0.2, "good"), (0.3, "acceptable"))
 TE_BANDS = ((0.1, "excellent"), (0.2, "good"))
@@ -72,6 +74,42 @@ def metrics(scored: DataFrame, x: int, y: int) -> DataFrame:
         F.avg("h").cast("double").alias("mean_hits"))
 
 
+class ObservedMetrics:
+    """The metrics of rows that were observed while another action wrote them."""
+
+    def __init__(self, observation: Observation, x: int, y: int):
+        self._seen, self.x, self.y = observation, x, y
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """As :func:`metrics`; waits for the action that computes the observed rows."""
+        seen, total = self._seen.get, self.x * self.y
+        hits = [h["count"] for h in seen["hits"] or [] if h["item"] is not None]
+        n, used = sum(hits), len(hits)
+        row = (seen["sd"] / n, seen["sb"] / n, used, total, used / total, max(hits), n / used) if n else (
+            None, None, 0, total, 0.0, None, None)
+        return spark.createDataFrame([row], "qe double, te double, nodes_used long, total_nodes long, "
+                                            "coverage double, max_hits long, mean_hits double")
+
+
+def observe_metrics(scored: DataFrame, x: int, y: int, prefix: str = "neuron") -> tuple[DataFrame, ObservedMetrics]:
+    """``scored`` unchanged, with its metrics computed by the action that reads it: no
+    second scoring pass.  That must be an action on the rows themselves, such as a write
+    (each partition then counts once, also when tasks are tried again), and each further
+    action on the result scores again.
+
+    The hits of all neurons come from one frequent-items sketch with room for every
+    neuron, which never drops one and so counts exactly.
+    """
+    nx, ny, mx, my = (F.col(q(f"{prefix}{c}")) for c in ("_x", "_y", "2_x", "2_y"))
+    bad = (chebyshev(nx, ny, mx, my) > 1).cast("long")
+    k, room = x * y, max(64, 4 * x * y)
+    seen = Observation()
+    top = f"approx_top_k(CAST({q(prefix + '_x')} * {y} + {q(prefix + '_y')} AS BIGINT), {k + 1}, {room})"
+    out = scored.observe(seen, F.sum(F.when(nx.isNotNull(), F.col("distance"))).alias("sd"),
+                         F.sum(F.when(nx.isNotNull(), bad)).alias("sb"), F.expr(top).alias("hits"))
+    return out, ObservedMetrics(seen, x, y)
+
+
 def _bands(c: Column, bands, default: str) -> Column:
     out = None
     for lim, label in bands:

@@ -12,6 +12,8 @@ from ..operators.kmeans import KMeans
 from ..operators.prep import bands, with_share
 from ..operators.segment import SEGMENT_LOOKUP, cluster_codebook, elbow, label_rows, lookup_table, profile
 from ..operators.som import default_grid_size
+from ..session import scratch_path
+from ..sources.files import ParquetDestination
 from .kmeans_sql import kmeans_ctes
 from .q_som import (CUST_EPOCHS, CUST_SRC, CUST_FEATS, LINE_EPOCHS, cust_model, cust_sql,
                     customer_features, line_model, line_sql)
@@ -254,3 +256,16 @@ def auto_segmentation_rows(spark, sf):
     base = customer_features(spark, sf).withColumnRenamed("c_custkey", "customer_id") \
         .select("customer_id", *_AUTO_FEATS)
     return auto_segment(base, epochs=_AUTO_EPOCHS).rows.drop("som_group_x", "som_group_y")
+
+
+@query("auto_segmentation_saved", sql=_auto_sql() + f"""
+SELECT f.c_custkey AS customer_id, f.c_mktsegment, f.c_acctbal, f.n_orders, f.total_spent,
+       a.nx || '-' || a.ny AS som_cluster
+FROM a{_AUTO_EPOCHS} a JOIN ({CUST_SRC}) f ON a.customer_id = f.c_custkey WHERE a.rn = 1""")
+def auto_segmentation_saved(spark, sf):
+    """Labelled, measured and written in one scoring pass; read back from the files."""
+    base = customer_features(spark, sf).withColumnRenamed("c_custkey", "customer_id") \
+        .select("customer_id", *_AUTO_FEATS)
+    path = scratch_path(spark, "segments")
+    auto_segment(base, epochs=_AUTO_EPOCHS, destination=ParquetDestination(path))
+    return spark.read.parquet(path).drop("som_group_x", "som_group_y")

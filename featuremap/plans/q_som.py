@@ -314,6 +314,15 @@ def som_metrics(spark, sf):
     return _round_metrics(Q.metrics(s, _X, _Y))
 
 
+@query("som_metrics_observed", sql=line_sql(second=True).rstrip() + _HITS + _METRICS + _METRICS_SELECT)
+def som_metrics_observed(spark, sf):
+    """The same row, taken while the scored rows are written."""
+    rows, model = line_model(spark, sf)
+    scored, seen = Q.observe_metrics(model.score(rows), _X, _Y)
+    scored.write.parquet(scratch_path(spark, "scored"))
+    return _round_metrics(seen.table(spark))
+
+
 @query("som_quality_bands", sql=line_sql(second=True).rstrip() + _HITS + _METRICS
        + "SELECT *, CASE WHEN qe < 0.1 THEN 'excellent' WHEN qe < 0.2 THEN 'good' "
        "WHEN qe < 0.3 THEN 'acceptable' ELSE 'poor' END AS qe_band, "
