@@ -9,7 +9,7 @@ from ..operators.scale import MinMaxScaler
 from ..operators.som import SOM
 from ..operators.som import quality as Q
 from ..session import scratch_path
-from ..streaming import apply_stages, run_available, stream_files
+from ..streaming import IncrementalFit, apply_stages, run_available, stream_files
 from .registry import query, table
 from .som_sql import som_ctes
 
@@ -54,3 +54,37 @@ def stream_som_outliers(spark, sf):
     out = run_available(scored.select("event_id", "neuron_x", "neuron_y", "distance", "anomaly"),
                         scratch_path(spark, "stream-som"))
     return spark.read.parquet(out).withColumn("distance", F.round("distance", 6))
+
+
+# ---- fits kept up to date by a stream: the orders arrive in several files, one a batch
+
+_INC = ["o_totalprice", "o_custkey"]
+
+
+def _orders_in_batches(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", *_INC, "o_orderstatus", "o_orderpriority")
+    src = scratch_path(spark, "arriving")
+    orders.repartition(4, "o_orderkey").write.parquet(src)
+    fit = IncrementalFit(scratch_path(spark, "fit-state"), _INC, ["o_orderstatus", "o_orderpriority"])
+    fit.run_available(stream_files(spark, src, orders.schema, max_files_per_trigger=1),
+                      scratch_path(spark, "stream-ckpt"))
+    return orders, fit
+
+
+@query("stream_fit_moments", sql=" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
+    f"min({c})::DOUBLE AS min, max({c})::DOUBLE AS max FROM orders" for c in _INC))
+def stream_fit_moments(spark, sf):
+    _, fit = _orders_in_batches(spark, sf)
+    return fit.table(spark).withColumns({c: F.round(c, 4) for c in ("mean", "std")})
+
+
+@query("stream_fit_models", sql="""
+SELECT o_orderkey, round((o_totalprice - avg(o_totalprice) OVER ()) / stddev_samp(o_totalprice) OVER (), 6) AS o_totalprice,
+  (dense_rank() OVER (ORDER BY o_orderstatus) - 1)::INTEGER AS o_orderstatus,
+  (dense_rank() OVER (ORDER BY o_orderpriority) - 1)::INTEGER AS o_orderpriority FROM orders""")
+def stream_fit_models(spark, sf):
+    orders, fit = _orders_in_batches(spark, sf)
+    out = fit.labels(spark).transform(fit.zscore(spark).transform(orders))
+    return out.select("o_orderkey", F.round("o_totalprice", 6).alias("o_totalprice"),
+                      "o_orderstatus", "o_orderpriority")
