@@ -100,18 +100,29 @@ class Encoder:
         at = at - at[0]
         words = lists.flatten().dictionary_encode()
         index = words.indices.to_numpy().astype(np.int64)
+        # the stop or comma after a word is a piece of its own, so the word is looked up once
+        stems, mark = _stems(words.dictionary)
+        stems = stems.dictionary_encode()
         # all but the first piece of a text follow a space
-        units = [" " + u for u in words.dictionary.to_pylist()]
+        units = [" " + u for u in stems.dictionary.to_pylist()]
         first = words.dictionary.take(words.indices.take(pa.array(at[:-1]))).to_pylist()
-        index[at[:-1]] = len(units) + np.arange(len(first))
-        values = self._ids(units + first)
+        values = self._ids(units + first + list(_MARKS))
         raw = np.frombuffer(b"".join(values), self.dtype)
         size = np.fromiter(map(len, values), np.int64, len(values)) // self.width
         start = np.cumsum(size) - size
+        stem, mark = stems.indices.to_numpy().astype(np.int64)[index], mark[index]
+        stem[at[:-1]], mark[at[:-1]] = len(units) + np.arange(len(first)), -1
+        pieces = 1 + (mark >= 0)
+        place = np.cumsum(pieces) - pieces
+        index = np.empty(place[-1] + pieces[-1], np.int64)
+        index[place] = stem
+        index[place[mark >= 0] + 1] = len(units) + len(first) + mark[mark >= 0]
         n = size[index]
         end = np.cumsum(n)
         ids = raw[np.repeat(start[index] - (end - n), n) + np.arange(end[-1])]
-        for i, lo, hi in zip(plain.tolist(), (end - n)[at[:-1]].tolist(), end[at[1:] - 1].tolist(), strict=True):
+        last = at[1:] - 1
+        for i, lo, hi in zip(plain.tolist(), (end - n)[place[at[:-1]]].tolist(),
+                             end[place[last] + pieces[last] - 1].tolist(), strict=True):
             out[i] = ids[lo:hi].tobytes()
         return out
 
@@ -129,7 +140,7 @@ class Encoder:
                 else:
                     young[u] = out[i] = v
         if new:
-            split = {u: parts for u in new if len(parts := _parts(u)) > 1}
+            split = {u: parts for u in new if ("\n" in u or u.endswith(_MARKS)) and len(parts := _parts(u)) > 1}
             todo = dict.fromkeys(p for u in new for p in split.get(u, (u,)))
             for u in list(todo):
                 if (v := young.get(u) or old.get(u)) is not None:
@@ -154,6 +165,22 @@ class Encoder:
         return out
 
 
+_MARKS = (".", ",")
+_LATIN = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]+[.,]$"
+
+
+def _stems(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words without the stop or comma after Latin letters, where the pattern ends a
+    match; and which of ``_MARKS`` that is, or -1.  Other words are left to :func:`_parts`."""
+    import pyarrow.compute as pc
+
+    mark = np.full(len(words), -1, np.int64)
+    marked = pc.match_substring_regex(words, _LATIN)
+    for i, m in enumerate(_MARKS):
+        mark[pc.and_(marked, pc.ends_with(words, m)).to_numpy(zero_copy_only=False)] = i
+    return pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words), mark
+
+
 def _parts(unit: str) -> list[str]:
     """A unit at its line feeds between other characters, and before a full stop or
     comma after letters: there the pattern ends a match too."""
