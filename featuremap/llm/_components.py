@@ -8,15 +8,21 @@ from pyspark.sql import functions as F
 from featuremap.session import scratch_path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read from there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of an edge; root is the smallest node of its
     component.  Each step is two aggregations by node, written to the shared
     folder; the number of steps grows with the logarithm of the longest path.
-    Null ends and loops are ignored."""
-    spark = edges.sparkSession
+    The last one is known by its edges: all are stars.  Null ends and loops are
+    ignored."""
     now = (edges.filter(F.col(a) != F.col(b))
            .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    seen = None
     while True:
         # large star: each larger neighbour points to the smallest of the neighbourhood
         both = now.union(now.select("v", "u"))
@@ -29,13 +35,25 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(small.select("u", F.col("m").alias("v")))
                  .filter("u != v").distinct())
-        path = scratch_path(spark, "components")
-        small.write.parquet(path)
-        now = spark.read.parquet(path)
-        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-                        .alias("h")).first()
-        if state == seen:
+        now = stored(small, "components")
+        ends = now.select(F.col("u").alias("node"), F.lit(1).alias("up")).union(now.select("v", F.lit(0)))
+        up, n = F.sum("up"), F.count("*")
+        if not ends.groupBy("node").agg(up.alias("up"), n.alias("n")).filter("up > 0 and n > 1").head(1):
             break
-        seen = state
     star = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return star.union(star.select("root", "root").distinct())
+
+
+def extended(labels: DataFrame | None, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, root) as :func:`components` gives them for the edges of ``labels`` and
+    ``edges`` together: only the roots that ``edges`` link are gone through again."""
+    if labels is None:
+        return stored(components(edges, a, b), "labels")
+    of = lambda end: labels.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    roots = (edges.select(F.col(a).alias("a"), F.col(b).alias("b"))
+             .join(of("a"), "a", "left").join(of("b"), "b", "left")
+             .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    moved = stored(components(roots), "moved")
+    old = (labels.join(moved.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+           .select("node", F.coalesce("to", "root").alias("root")))
+    return stored(old.union(moved.join(labels.select("node"), "node", "left_anti")), "labels")

@@ -43,10 +43,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremap.llm import _bloom
-from featuremap.llm._components import components
+from featuremap.llm._components import extended, stored
 from featuremap.llm._packed import pack, runs, unpack
 from featuremap.llm._words import NON_SPACE, mix, ready, slices, trim, words
-from featuremap.session import scratch_path
 
 SHINGLE = 5
 PERCENT = 80
@@ -269,16 +268,10 @@ def _active(p: DataFrame, labels: DataFrame | None) -> DataFrame:
         p = (p.drop("comp").join(labels.withColumnRenamed("node", "c"), "c", "left")
              .withColumn("comp", F.coalesce("root", "c")).drop("root"))
     held = p.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    return _stored(p.join(held.select("t"), "t", "left_semi")
+    return stored(p.join(held.select("t"), "t", "left_semi")
                    .select("t", "c", "n", "l", "pos", "central", "comp"), "prefixes")
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _overlap(percent: int) -> str:
     """What sets of n and m elements share at least."""
     return f"({percent} * (n + m) + {percent + 99}) div {100 + percent}"
@@ -316,7 +309,7 @@ def _all_pairs(p: DataFrame, tested: DataFrame | None, percent: int) -> DataFram
              .select("a", "b").distinct())
     if tested is not None:
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    pairs = _stored(pairs, "near")
+    pairs = stored(pairs, "near")
     prefix = p.groupBy("c").agg(F.collect_set("t").alias("t"), F.min("l").alias("l"))
     of_a = prefix.select(F.col("c").alias("a"), F.col("t").alias("ta"), F.col("l").alias("la"))
     of_b = prefix.select(F.col("c").alias("b"), F.col("t").alias("tb"), F.col("l").alias("lb"))
@@ -341,11 +334,11 @@ def _sets_of(docs: DataFrame, percent: int) -> DataFrame:
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     parts = max(1, math.ceil(size / 20 / PART_ELEMENTS))        # of at most so many elements
-    held = _stored(docs.select("text").mapInArrow(_first_prefixes(percent, parts), _PACKET)
+    held = stored(docs.select("text").mapInArrow(_first_prefixes(percent, parts), _PACKET)
                    .groupBy("part").applyInArrow(_shared, "t long, k long").select("t"), "elements")
     shared = spark.sparkContext.broadcast(_bloom.build(held, "t", held.count()))
     schema = f"id {docs.schema['id'].dataType.simpleString()}, key long, n long, c long, t array<long>"
-    out = _stored(docs.mapInArrow(_sets(percent, shared), schema), "sets")
+    out = stored(docs.mapInArrow(_sets(percent, shared), schema), "sets")
     shared.unpersist()
     return out
 
@@ -355,12 +348,14 @@ def _prefixes_of(sets: DataFrame, percent: int) -> DataFrame:
     spark = sets.sparkSession
     total = sets.agg(F.sum(F.size("t")).alias("n")).first()["n"] or 0
     parts = max(1, math.ceil(total / PART_ELEMENTS))
-    counted = _stored(sets.mapInArrow(_elements(parts), _PACKET)
+    counted = stored(sets.mapInArrow(_elements(parts), _PACKET)
                       .groupBy("part").applyInArrow(_shared, "t long, k long"), "counts")
     counts = counted.agg(*[F.count(F.when(F.col("k") >= k, 1)).alias(str(k)) for k in LEVELS]).first()
     levels = spark.sparkContext.broadcast(
         _bloom.build_levels(counted, [(k, n) for k, n in zip(LEVELS, counts, strict=True) if n]))
-    return sets.mapInArrow(_prefixes(percent, levels), _PREFIX)
+    out = stored(sets.mapInArrow(_prefixes(percent, levels), _PREFIX), "second")
+    levels.unpersist()
+    return out
 
 
 STAR_TURNS = 2
@@ -374,15 +369,15 @@ def links(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     all_sets = _sets_of(rows.withColumn("key", F.xxhash64("text")), percent)
     # one row per class: equal sets are found once
-    sets = _stored(all_sets.filter(F.size("t") > 0).select("c", "t").dropDuplicates(["c"]), "class-sets")
+    sets = stored(all_sets.filter(F.size("t") > 0).select("c", "t").dropDuplicates(["c"]), "class-sets")
     p, tested, labels = _active(_prefixes_of(sets, percent), None), None, None
     for turn in range(STAR_TURNS + 1):
         if not p.head(1):
             break
         pairs = _star(p, tested, percent, turn) if turn < STAR_TURNS else _all_pairs(p, tested, percent)
-        done = _stored(_compare(_stored(pairs, "pairs"), sets, percent), "compared")
+        done = stored(_compare(stored(pairs, "pairs"), sets, percent), "compared")
         tested = done if tested is None else tested.union(done)
-        labels = components(tested.filter("ok"))
+        labels = extended(labels, done.filter("ok"))
         if turn < STAR_TURNS:
             p = _active(p, labels)
     named = all_sets.filter("n > 0").groupBy("c").agg(F.min("id").alias("least"))
@@ -391,11 +386,11 @@ def links(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int
     else:
         named = named.join(labels.withColumnRenamed("node", "c"), "c", "left") \
             .withColumn("root", F.coalesce("root", "c"))
-    named = _stored(named, "classes")
+    named = stored(named, "classes")
     roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = named.join(roots, "root").select("c", "component_id")
     out = all_sets.drop("t")
-    linked = out.filter("n > 0").join(_stored(named, "named"), "c").select("id", "key", "n", "component_id")
+    linked = out.filter("n > 0").join(stored(named, "named"), "c").select("id", "key", "n", "component_id")
     alone = out.filter("n = 0").select("id", "key", "n", F.col("id").alias("component_id"))
     return linked.union(alone).withColumnRenamed("n", "n_shingles")
 
