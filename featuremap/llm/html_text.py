@@ -15,8 +15,8 @@ pages without semantic tags are known.
 
 Defined results: null or empty html and pages without a text block give an empty
 text; every row gives one row; if no page of the sample has semantic markup the
-labels come from the share of link text and the length alone; other columns are
-ignored.
+labels come from the share of link text and the length alone; a tag that is never
+closed is text; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -51,14 +51,92 @@ _ASIDE = frozenset("nav footer aside form header menu dialog button select".spli
 _ASIDE_WORDS = frozenset(
     "ad ads advert advertisement banner breadcrumb comment comments cookie footer header menu nav "
     "navbar newsletter notice popup promo related share sidebar social sponsor".split())
+_NAME = r"[a-zA-Z][^\s/>]*+"
+_SPACE = r"[ \t\n\f\r]"
+_ATTRIBUTE_NAME = r"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+"
+_VALUE = r"[^ \t\n\f\r\"'>][^ \t\n\f\r>]*+"
 #: a quote opens a value right after "=" only, and only if it is closed; elsewhere it is a character
-_ATTRIBUTE = (r"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+"
-              r"(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:\"[^\"]*+\"|'[^']*+'|[^ \t\n\f\r\"'>][^ \t\n\f\r>]*+)?+)?+")
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[ \t\n\f\r/]++|{_ATTRIBUTE})*+)>|<[!?][^>]*>", re.S)
+_ATTRIBUTE = rf"{_ATTRIBUTE_NAME}(?:{_SPACE}*+={_SPACE}*+(?:\"[^\"]*+\"|'[^']*+'|{_VALUE})?+)?+"
+_TAG = re.compile(rf"<(/?)({_NAME})((?:[ \t\n\f\r/]++|{_ATTRIBUTE})*+)>")
+_START = re.compile(r"<(?:(!--)|([!?])|/?([a-zA-Z]))")
 _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
+class _Markup:
+    """Tags, comments and declarations of a page from left to right, in time linear in
+    its length.  A tag is ended by the first > outside its attributes' values; without
+    one its < is a character.  After a first such tag the places that lead to the end
+    of the page are kept, so none is gone through twice."""
+
+    _name, _blank = re.compile(_NAME), re.compile(r"[ \t\n\f\r/]++")
+    _value, _attribute = re.compile(_VALUE), re.compile(rf"{_ATTRIBUTE_NAME}(?:{_SPACE}*+(=){_SPACE}*+)?+")
+
+    def __init__(self, source: str):
+        self.source = source
+        self._last = source.rfind(">")
+        self._open: set[int] | None = None          # places from which no > ends a tag
+        self._runs: dict[re.Pattern, tuple[int, int]] = {}
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, slash, tag, attributes) of the next one; no tag for comments and
+        declarations."""
+        source = self.source
+        while (m := _START.search(source, at)) is not None:
+            start = m.start()
+            if m[1]:
+                end = source.find("-->", m.end())
+                return start, len(source) if end < 0 else end + 3, "", "", ""
+            at = m.end()
+            if self._last < at:
+                continue
+            if m[2]:
+                return start, source.index(">", at) + 1, "", "", ""
+            if self._open is None:
+                t = _TAG.match(source, start)
+                if t is not None:
+                    return start, t.end(), t[1], t[2].lower(), t[3]
+                self._open = set()
+            name = at - 1
+            after = self._run(self._name, name)
+            end = self._end(after)
+            if end is not None:
+                return start, end + 1, source[start + 1:name], source[name:after].lower(), source[after:end]
+        return None
+
+    def _run(self, pattern: re.Pattern, at: int) -> int:
+        """Where the run of characters that holds ``at`` ends."""
+        lo, hi = self._runs.get(pattern, (0, 0))
+        if not lo <= at < hi:
+            lo, hi = at, pattern.match(self.source, at).end()
+            self._runs[pattern] = lo, hi
+        return hi
+
+    def _end(self, at: int) -> int | None:
+        """The > that ends the tag whose attributes start at ``at``."""
+        seen = []
+        while at < len(self.source) and at not in self._open:
+            if self.source[at] == ">":
+                return at
+            seen.append(at)
+            at = self._skip(at)
+        self._open.update(seen)
+        return None
+
+    def _skip(self, at: int) -> int:
+        """The place after the white space or the attribute at ``at``."""
+        blank = self._blank.match(self.source, at)
+        if blank is not None:
+            return blank.end()
+        m = self._attribute.match(self.source, at)
+        at = m.end()
+        first = self.source[at:at + 1]
+        if not m[1] or first in ("", ">"):
+            return at
+        if first in "\"'":
+            return self.source.find(first, at + 1) + 1 or at
+        return self._run(self._value, at)
+
+
 def _bucket(word: str) -> int:
     return zlib.crc32(word.encode()) % PATHS
 
@@ -144,33 +222,34 @@ class _Page:
 
     def _read(self, source: str) -> None:
         self._counts: dict[str, int] = {}
-        at, raw = 0, None
+        markup, at, raw = _Markup(source), 0, None
         while True:
             if raw is not None:         # text of these goes on to their own end tag
-                m = re.compile(rf"</{raw}\b[^>]*>", re.I).search(source, at)
-                if m is None:
+                m = re.compile(rf"</{raw}\b", re.I).search(source, at)
+                end = -1 if m is None else source.find(">", m.end())
+                if end < 0:
                     return
                 self._close(raw)
-                at, raw = m.end(), None
+                at, raw = end + 1, None
                 continue
-            m = _TOKEN.search(source, at)
-            if m is None:
+            found = markup.next(at)
+            if found is None:
                 self._text(source[at:])
                 return
-            self._text(source[at:m.start()])
-            at = m.end()
-            if m[2] is None:
+            start, end, slash, tag, attributes = found
+            self._text(source[at:start])
+            at = end
+            if not tag:
                 continue
-            tag = m[2].lower()
             block = tag not in _INLINE
-            if not m[1] and tag not in _HEAD:
+            if not slash and tag not in _HEAD:
                 self._leave_head()
             if tag == "br":
                 self._text(" ")
                 continue
             if block:
                 self._flush()
-            if m[1]:
+            if slash:
                 self._close(tag)
                 continue
             if block and tag not in _VOID:
@@ -178,7 +257,7 @@ class _Page:
             if tag in _VOID:
                 continue
             self._counts[tag] = self._counts.get(tag, 0) + 1
-            self._open(tag, m[3])
+            self._open(tag, attributes)
             if tag in _RAW:
                 raw = tag
 

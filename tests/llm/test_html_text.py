@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 import numpy as np
 
@@ -82,6 +84,42 @@ def test_stray_quotes():
         assert texts(f"<p>one</p><p class={quote}x>two</p><p>three") == ["one", "two", "three"]
 
 
+#: the rule of the scanner as one pattern, with quadratic time on tags that are not closed
+RULE = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[ \t\n\f\r/]++|{html_text._ATTRIBUTE})*+)>|<[!?][^>]*>", re.S)
+
+
+def tokens(source):
+    markup, at, out = html_text._Markup(source), 0, []
+    while (found := markup.next(at)) is not None:
+        out.append(found)
+        at = found[1]
+    return out
+
+
+def ruled(source):
+    return [(m.start(), m.end(), m[1] or "", (m[2] or "").lower(), m[3] or "") for m in RULE.finditer(source)]
+
+
+def test_scanner_follows_the_rule(spark):
+    r = random.Random(3)
+    for _ in range(20_000):
+        source = "".join(r.choice(["<", "<a", "</b", " ", "/", "=", "='", '="', "'", '"', ">", "x", "<!", "<!--", "-->", "\v"])
+                         for _ in range(r.randint(1, 40)))
+        assert tokens(source) == ruled(source), source
+    for row in spark.read.parquet(SF + "/pages.parquet").collect():
+        assert tokens(row.html) == ruled(row.html)
+
+
+def test_markup_of_a_megabyte_that_is_never_closed():
+    for unit in ("<a ", "<a", "<a x='", '<p x="', "<!", "<?", "<!--", "</", "</a ", "<a x='>' ", "<p/a=", "<p a=b/", "<a =\"'",
+                 "<script", "<title></title ", "=", "<a x=\">\" y='>'", "<p>", "<p class=x>a"):
+        begin = time.perf_counter()
+        page = html_text._Page(unit * ((1 << 20) // len(unit)))
+        assert time.perf_counter() - begin < 20, unit
+        assert page.texts or "<!-" in unit or unit in ("<p>", "<script", "<title></title ")
+
+
 def test_gradient():
     r = np.random.default_rng(1)
     x, size = r.normal(size=(60, 4)).astype(np.float32), np.array([10, 0, 30, 20])
