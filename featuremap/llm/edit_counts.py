@@ -3,8 +3,11 @@
 Each document keeps a binary tree over its text.  A leaf is a run of whole
 pre-tokens (about ``LEAF`` characters) with its number of characters and tokens;
 an inner node has the sums of its children, so the root has the document's
-count.  A leaf ends where white space follows a character that is none: the
-pre-tokeniser always ends a match there, whatever stands further on.
+count.  A leaf ends where the two characters at a border alone make the
+pre-tokeniser end a match: before white space that follows another character, and
+between letters, digits and punctuation of the common scripts (not after an
+apostrophe, which may start a contraction).  So texts without blanks have leaves
+too; only a run of letters, one pre-token, is never divided.
 
 An edit finds the leaves that hold the character before it, the edited span and
 the character after it.  The borders of this region have unchanged characters
@@ -37,7 +40,15 @@ TREE = T.StructType([T.StructField(c, T.ArrayType(T.IntegerType()))
                      for c in ("left", "right", "chars", "tokens")])
 EDITS = "array<struct<start:int,end:int,text:string>>"
 _ARROW_TREE = pa.struct([(c, pa.list_(pa.int32())) for c in ("left", "right", "chars", "tokens")])
-_BORDER = re.compile(r"(?<=\S) ")
+_SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Latin, Greek, Cyrillic, Devanagari, Thai, kana, CJK and Hangul characters that are letters in every Unicode version
+_LETTERS = ("A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u017f\u03b1-\u03c9\u0410-\u044f\u0905-\u0939\u0e01-\u0e30"
+            "\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3")
+_DIGITS = "0-9\uff10-\uff19"
+_MARKS = ("!-&(-/:-@\\[-`{-~\xa1\xa7\xab\xb7\xbb\xbf\u0964\u0965\u2010-\u2027\u2030-\u205e\u3001-\u3003"
+          "\u3008-\u3011\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65")
+_BORDER = re.compile(rf"(?<=\S)(?=[{_SPACES}])|(?<=[{_LETTERS}])(?=[{_DIGITS}{_MARKS}'])"
+                     rf"|(?<=[{_DIGITS}])(?=[{_LETTERS}{_MARKS}'])|(?<=[{_MARKS}])(?=[{_LETTERS}{_DIGITS}])")
 
 
 def cut(text: str, size: int = LEAF) -> list[str]:

@@ -11,7 +11,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 def test_trees_follow_random_edits():
     r, enc = random.Random(11), encoding(PATH)
     count = lambda ps: [len(enc.encode_ordinary(p)) for p in ps]
-    word = lambda: "".join(r.choice("abcé'1.,! \n\t漢　\x1c") for _ in range(r.randint(0, 30)))
+    word = lambda: "".join(r.choice("abcsétll''12.,!_[ \n\t漢。、　\x1c\u2019д") for _ in range(r.randint(0, 30)))
     for size in (0, 3, 600, 6000):
         text = "".join(word() + " " for _ in range(size // 16))
         pieces = edit_counts.cut(text)
@@ -30,6 +30,39 @@ def test_trees_follow_random_edits():
             assert tree.chars[0] == len(text)
 
 
+def test_borders_are_pre_token_borders():
+    import regex
+
+    kinds = edit_counts._SPACES, edit_counts._LETTERS, edit_counts._DIGITS, edit_counts._MARKS
+    rules = r"\s", r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}']"
+    for kind, rule in zip(kinds, rules, strict=True):
+        some = [chr(c) for c in range(0xD800) if regex.match(f"[{kind}]", chr(c))]
+        assert some and all(regex.match(rule, c) for c in some), rule
+    r, enc = random.Random(2), encoding(PATH)
+    for _ in range(3000):
+        text = "".join(r.choice("abstre'' \n\t01.!_漢字。　\xa0д\x1c") for _ in range(r.randint(2, 60)))
+        for m in edit_counts._BORDER.finditer(text):
+            parts = [*enc.encode_ordinary(text[:m.start()]), *enc.encode_ordinary(text[m.start():])]
+            assert parts == enc.encode_ordinary(text), (text, m.start())
+
+
+def test_an_edit_stays_small_without_blanks():
+    r, enc = random.Random(9), encoding(PATH)
+    count = lambda ps: [len(enc.encode_ordinary(p)) for p in ps]
+    chinese = "".join("".join(chr(r.randint(0x4E00, 0x9FA5)) for _ in range(r.randint(3, 30))) + r.choice("。，！")
+                      for _ in range(6000))
+    rows = "\n".join("\t".join(f"{r.randint(0, 10 ** 6)}" for _ in range(6)) for _ in range(3000))
+    code = "".join(f"function f{i}(a,b){{return a[{i}]+b.c{i};}}" for i in range(3000))
+    for text in (chinese, rows, code):
+        pieces = edit_counts.cut(text)
+        assert len(pieces) > len(text) / edit_counts.LEAF / 2 and "".join(pieces) == text
+        tree = edit_counts.Tree.build([(len(p), n) for p, n in zip(pieces, count(pieces), strict=True)])
+        for at in (0, len(text) // 2, len(text) - 3):
+            text, again = tree.edit(text, at, at + 2, "漢x1", count)
+            assert again < 3 * edit_counts.LEAF
+        assert tree.tokens[0] == len(enc.encode_ordinary(text))
+
+
 def test_rows_nulls_and_extra_columns(spark):
     rows = [(1, "some words " * 300, 5), (1, "some words " * 300, 5), (2, None, 6), (3, "", 7), (None, "x y", 8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
