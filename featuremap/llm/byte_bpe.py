@@ -162,20 +162,17 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
     short = rows.filter(~long).select("row", F.col("text").alias("part"))
     more = {"decoded_sha256": "string"} if digest else {}
     coded = short.mapInArrow(_encode(path, digest), _plus(short.select("row"), ids="array<int>", **more))
-    # a key per long row: equal rows share it and are counted
-    keyed = (rows.filter(long)
-             .groupBy(F.struct("row", F.xxhash64("text").alias("key")).alias("row"), "text")
-             .agg(F.count("*").alias("copies")))
-    keyed = keyed.select(F.struct("row.row", "row.key", "copies").alias("row"), "text")
-    pieces = _pieces(keyed, chunk, overlap, public_tokenizers.PATTERN)
+    # each long text once, by its digest; other columns are of any type and stay with their rows
+    keyed = rows.filter(long).withColumn("key", F.sha2("text", 256))
+    texts = keyed.select(F.struct("key").alias("row"), "text").dropDuplicates(["row"])
+    pieces = _pieces(texts, chunk, overlap, public_tokenizers.PATTERN)
     parts = pieces.mapInArrow(_encode(path), _plus(pieces.drop("part"), ids="array<int>"))
-    joined = (parts.groupBy("row")
-              .agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("i", "ids"))),
-                                         lambda x: x["ids"])).alias("ids"))
-              .select(F.col("row.row").alias("row"), "ids", F.explode(
-                  F.array_repeat(F.lit(0), F.col("row.copies").cast("int"))).alias("_")).drop("_"))
+    joined = parts.groupBy("row").agg(F.flatten(F.transform(
+        F.sort_array(F.collect_list(F.struct("i", "ids"))), lambda x: x["ids"])).alias("ids"))
     if digest:
         joined = decode(joined, path, digest=True)
+    joined = (keyed.select("row", "key").join(joined.select(F.col("row.key").alias("key"), "ids", *more), "key")
+              .drop("key"))
     return coded.unionByName(joined).select(
         *[F.col("row")[c].alias(c) for c in others], F.col("ids").alias(ids), *more)
 

@@ -32,6 +32,17 @@ def test_same_ids_as_the_whole_text(spark, chunk, overlap):
     assert back == {i: (t or "").encode() for i, t, _, _ in rows}
 
 
+def test_long_texts_beside_columns_of_any_type(spark):
+    long = "some words here and there " * 40
+    rows = [(1, long, {"a": 1}, [{"k": 2}]), (1, long, {"a": 1}, [{"k": 2}]), (2, long + "x", None, None), (3, "s", {}, [])]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, m map<string,int>, `a.b` array<map<string,int>>")
+    coded = byte_bpe.encode(docs, PATH, chunk=50, overlap=20, digest=True)
+    assert coded.schema["doc_id"].dataType.simpleString() == "int"
+    enc = byte_bpe.encoding(PATH)
+    got = sorted(((r.doc_id, r.m, r["a.b"], list(r.ids)) for r in coded.collect()), key=str)
+    assert got == sorted(((i, m, a, enc.encode_ordinary(t)) for i, t, m, a in rows), key=str)
+
+
 def test_repeated_long_rows_and_empty_table(spark):
     long = "some words here and there " * 40
     docs = spark.createDataFrame([(1, long), (1, long), (2, long)], "doc_id long, text string")
