@@ -164,7 +164,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
     coded = short.mapInArrow(_encode(path, digest), _plus(short.select("row"), ids="array<int>", **more))
     # each long text once, by its digest; other columns are of any type and stay with their rows
     keyed = rows.filter(long).withColumn("key", F.sha2("text", 256))
-    texts = keyed.select(F.struct("key").alias("row"), "text").dropDuplicates(["row"])
+    texts = keyed.select(F.struct("key").alias("row"), "text").distinct()
     pieces = _pieces(texts, chunk, overlap, public_tokenizers.PATTERN)
     parts = pieces.mapInArrow(_encode(path), _plus(pieces.drop("part"), ids="array<int>"))
     joined = parts.groupBy("row").agg(F.flatten(F.transform(
