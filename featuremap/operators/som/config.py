@@ -78,6 +78,51 @@ def neighborhood(kind: str, x: int, y: int, sigma: float) -> np.ndarray:
     raise InvalidConfigError(f"unknown neighborhood {kind!r}")
 
 
+def axis_terms(kind: str, x: int, y: int, sigma: float) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """The neighbourhood as a sum of (factor, x-by-x, y-by-y) products: for neurons
+    (i, j) and (u, v), ``h = sum(factor * a[i, u] * b[j, v])``."""
+    dx, dy = (np.subtract.outer(np.arange(n, dtype=float), np.arange(n, dtype=float)) for n in (x, y))
+    if kind == "bubble":
+        return [(1.0, (np.abs(dx) < sigma).astype(float), (np.abs(dy) < sigma).astype(float))]
+    if kind == "triangle":
+        return [(1.0, np.maximum(0.0, sigma - np.abs(dx)), np.maximum(0.0, sigma - np.abs(dy)))]
+    d = 2.0 * sigma * sigma
+    gx, gy = np.exp(-dx * dx / d), np.exp(-dy * dy / d)
+    if kind == "gaussian":
+        return [(1.0, gx, gy)]
+    if kind == "mexican_hat":
+        return [(1.0, gx, gy), (-2.0, gx * dx * dx / d, gy), (-2.0, gx, gy * dy * dy / d)]
+    raise InvalidConfigError(f"unknown neighborhood {kind!r}")
+
+
+def smooth(kind: str, x: int, y: int, sigma: float, values: np.ndarray) -> np.ndarray:
+    """``neighborhood(...) @ values`` for ``values`` of one row per neuron, one axis after
+    the other: matrices of x by x and y by y only, whatever the map's size."""
+    grid = values.reshape(x, y, -1)
+    out = np.zeros(grid.shape)
+    for factor, a, b in axis_terms(kind, x, y, sigma):
+        rows = (a @ grid.reshape(x, -1)).reshape(grid.shape)
+        out += factor * (b @ rows)
+    return out.reshape(values.shape)
+
+
+def total_influence(kind: str, x: int, y: int, sigma: float, counts: np.ndarray) -> np.ndarray:
+    """``abs(neighborhood(...)) @ counts``.  Only the mexican hat has negative parts; its
+    size is no sum of products, so it is added up by distance along x."""
+    if kind != "mexican_hat":
+        return smooth(kind, x, y, sigma, counts)
+    grid, out = counts.reshape(x, y), np.zeros((x, y))
+    dy = np.subtract.outer(np.arange(y, dtype=float), np.arange(y, dtype=float))
+    d = 2.0 * sigma * sigma
+    for dx in range(x):
+        p = dx * dx + dy * dy
+        h = np.abs(np.exp(-p / d) * (1.0 - 2.0 * p / d))
+        out[dx:] += grid[:x - dx] @ h
+        if dx:
+            out[:x - dx] += grid[dx:] @ h
+    return out.ravel()
+
+
 def decay(v0: float, epoch: int, epochs: int, kind: str) -> float:
     """Value of a radius / rate at ``epoch`` (0-based) of ``epochs``."""
     e, n = float(epoch), float(max(epochs, 1))

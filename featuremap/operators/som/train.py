@@ -7,7 +7,7 @@
 
 The aggregate is partial per partition (map-side), so the shuffle carries at
 most K rows per partition whatever the skew, and K rows reach the driver,
-where the K x K neighbourhood smoothing of the batch rule runs:
+where the neighbourhood smoothing of the batch rule runs, along x and then along y:
 
     w_k <- w_k + lr * sum_b h(k,b) (s_b - n_b w_k) / sum_b |h(k,b)| n_b
 
@@ -30,7 +30,7 @@ from ...functions.partitions import spread_persisted
 from ...session import ship_package
 from ..base import Estimator
 from . import online
-from .config import SOMConfig, decay, neighborhood
+from .config import SOMConfig, decay, smooth, total_influence
 from .model import SOMModel, feature_columns, score_udf, share
 
 
@@ -277,11 +277,11 @@ def epoch_statistics(scaled: DataFrame, zcols: list[str], W: np.ndarray):
 def batch_update(W: np.ndarray, counts: np.ndarray, sums: np.ndarray, cfg: SOMConfig,
                  sigma: float, lr: float) -> np.ndarray:
     """The damped batch rule; neurons with no weighted hits keep their weights."""
-    H = neighborhood(cfg.neighborhood_function, cfg.x, cfg.y, sigma)
-    den = np.abs(H) @ counts
+    at = cfg.neighborhood_function, cfg.x, cfg.y, sigma
+    den = total_influence(*at, counts)
+    both = smooth(*at, np.column_stack([sums, counts]))
+    num = both[:, :-1] - both[:, -1:] * W
+    ok = den > 0
     out = W.copy()
-    for f in range(W.shape[1]):
-        num = (H * (sums[None, :, f] - counts[None, :] * W[:, f][:, None])).sum(axis=1)
-        ok = den > 0
-        out[ok, f] = W[ok, f] + lr * num[ok] / den[ok]
+    out[ok] += lr * num[ok] / den[ok, None]
     return out

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from featuremap.errors import DimensionMismatchError, InsufficientDataError, InvalidConfigError, SOMError
 from featuremap.operators.som import SOM, SOMConfig, SOMModel, neighborhood
 from featuremap.operators.som import quality as Q
+from featuremap.operators.som.config import smooth, total_influence
 from featuremap.operators.som.kernel import best_units
 from featuremap.operators.som.train import batch_update, grid_codebook
 
@@ -77,6 +78,39 @@ def test_batch_update_matches_rule():
         assert np.allclose(new[k], W[k] + 0.5 * num / den)
 
 
+@pytest.mark.parametrize("kind", ["gaussian", "mexican_hat", "bubble", "triangle"])
+@pytest.mark.parametrize("x,y,sigma", [(5, 5, 1.0), (7, 4, 1.7), (3, 9, 0.4), (1, 6, 3.0)])
+def test_smoothing_by_axis_equals_the_dense_rule(kind, x, y, sigma):
+    rng = np.random.default_rng(x * y)
+    counts = rng.integers(0, 4, x * y).astype(float)
+    sums = rng.random((x * y, 3)) * counts[:, None]
+    H = neighborhood(kind, x, y, sigma)
+    assert np.allclose(smooth(kind, x, y, sigma, sums), H @ sums, rtol=1e-12, atol=1e-13)
+    assert np.allclose(total_influence(kind, x, y, sigma, counts), np.abs(H) @ counts, rtol=1e-12, atol=1e-13)
+    W = rng.random((x * y, 3))
+    den = np.abs(H) @ counts
+    want = np.where(den[:, None] > 0, W + 0.5 * (H @ sums - (H @ counts)[:, None] * W)
+                    / np.where(den > 0, den, 1)[:, None], W)
+    cfg = SOMConfig(x, y, sigma=sigma, neighborhood_function=kind)
+    assert np.allclose(batch_update(W, counts, sums, cfg, sigma, 0.5), want, rtol=1e-9, atol=1e-11)
+
+
+def test_large_map_trains_without_a_dense_matrix():
+    """A dense matrix of 300 x 300 neurons would take 65 GB."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    for kind in ("gaussian", "mexican_hat"):
+        cfg = SOMConfig(300, 300, sigma=20.0, neighborhood_function=kind)
+        counts = rng.integers(0, 3, 90_000).astype(float)
+        sums = rng.random((90_000, 2)) * counts[:, None]
+        tracemalloc.start()
+        out = batch_update(grid_codebook(300, 300, 2), counts, sums, cfg, 20.0, 0.5)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert np.isfinite(out).all() and peak < 100e6
+
+
 def test_neighborhood_shapes():
     for kind in ("gaussian", "mexican_hat", "bubble", "triangle"):
         H = neighborhood(kind, 3, 4, 1.5)
