@@ -8,7 +8,7 @@ from ..operators.base import IdentityStage
 from ..operators.scale import MinMaxScaler, ZScoreScaler
 from ..session import scratch_path
 from ..sources import (CSVDestination, CSVSource, ExcelDestination, ExcelSource,
-                       JSONDestination, JSONSource, ParquetSource)
+                       JSONArrayDestination, JSONArraySource, JSONDestination, JSONSource, ParquetSource)
 from .flow import Pipeline, SOMStage
 from .q_som import CUST, CUST_EPOCHS, CUST_FEATS, cust_sql, customer_features
 from .registry import query, table
@@ -37,6 +37,25 @@ def json_roundtrip(spark, sf):
     return JSONSource(path, lines=True).extract(spark).select(*_ORDER_COLS)
 
 
+@query("json_array_roundtrip", sql=_ORDERS_SQL)
+def json_array_roundtrip(spark, sf):
+    path = scratch_path(spark, "json-array-out")
+    JSONArrayDestination(path).save(table(spark, sf, "orders").select(*_ORDER_COLS))
+    return JSONArraySource(path).extract(spark).select(*_ORDER_COLS)
+
+
+@query("csv_columns", sql="""
+SELECT l_orderkey, CAST(l_shipdate AS TIMESTAMP) AS l_shipdate, l_quantity FROM lineitem""")
+def csv_columns(spark, sf):
+    # files without a header; named, chosen and dated on reading
+    path = scratch_path(spark, "csv-bare")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
+                                               F.col("l_shipdate").cast("string").alias("l_shipdate"))
+    CSVDestination(path, header=False).save(rows)
+    return CSVSource(path, header=False, names=rows.columns, dates=["l_shipdate"],
+                     columns=["l_orderkey", "l_shipdate", "l_quantity"]).extract(spark)
+
+
 @query("xlsx_roundtrip", sql="SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
 def xlsx_roundtrip(spark, sf):
     path = scratch_path(spark, "xlsx")

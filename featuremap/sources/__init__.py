@@ -1,5 +1,6 @@
 """Sources and sinks: CSV, JSON, Parquet and workbook collections."""
 
-from .files import (CSVDestination, CSVSource, Destination, JSONDestination,  # noqa: F401
-                    JSONSource, ParquetDestination, ParquetSource, Source)
+from .files import (CSVDestination, CSVSource, Destination, JSONArrayDestination,  # noqa: F401
+                    JSONArraySource, JSONDestination, JSONSource, ParquetDestination, ParquetSource,
+                    Source)
 from .workbook import ExcelDestination, ExcelSource  # noqa: F401

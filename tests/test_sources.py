@@ -5,7 +5,7 @@ import pytest
 
 from featuremap.errors import SourceError
 from featuremap.sources import (CSVDestination, CSVSource, ExcelDestination, ExcelSource,
-                                JSONDestination, JSONSource)
+                                JSONArrayDestination, JSONArraySource, JSONDestination, JSONSource)
 from featuremap.sources.workbook import write_workbook
 
 
@@ -53,6 +53,66 @@ def test_csv_json_overwrite_roundtrip(spark, tmp_dir):
     assert JSONSource(jout, lines=True).extract(spark).first().b == "x"
 
 
+def parts(path):
+    return "".join(open(os.path.join(path, f)).read() for f in sorted(os.listdir(path)) if f.startswith("part-"))
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 500])
+def test_json_array_is_one_document_and_reads_back(spark, tmp_dir, n):
+    rows = [(i, None if i % 3 == 0 else f'a "quoted", [text]\n]\n[ {i}', [i / 2]) for i in range(n)]
+    df = spark.createDataFrame(rows, "`a.b` long, t string, v array<double>").repartition(5)
+    out = os.path.join(tmp_dir, f"array{n}")
+    JSONArrayDestination(out).save(df)
+    JSONArrayDestination(out, indent=4).save(df)                 # overwrites
+    text = parts(out)
+    assert sorted((r["a.b"], r["t"], r["v"]) for r in json.loads(text)) == sorted(rows)
+    assert n < 2 or '\n    {"a.b"' in text
+    if not n:
+        with pytest.raises(SourceError):
+            JSONArraySource(out).extract(spark)
+    back = JSONArraySource(out, schema=df.schema).extract(spark)
+    assert sorted(map(tuple, back.collect())) == sorted(rows) and back.count() == n
+
+
+def test_json_array_keeps_the_order_of_rows(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "ordered")
+    JSONArrayDestination(out).save(spark.range(1000, numPartitions=6).orderBy("id"))
+    assert [r["id"] for r in json.loads(parts(out))] == list(range(1000))
+
+
+def test_json_array_with_a_broken_line(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "broken.json")
+    with open(p, "w") as f:
+        f.write('[\n  {"a": 1},\n  {"a": 2\n]\n')
+    with pytest.raises(Exception, match="Could not parse"):
+        JSONArraySource(p).extract(spark).collect()
+    with pytest.raises(SourceError):
+        JSONArraySource(os.path.join(tmp_dir, "none.json")).extract(spark)
+
+
+def test_csv_without_header_chosen_columns_and_dates(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "bare.csv")
+    with open(p, "w") as f:
+        f.write("# exported\n1,x,2024-01-02\n2,NA,2024-01-03 04:05:06\n")
+    df = CSVSource(p, header=False, comment="#").extract(spark)
+    assert df.columns == ["0", "1", "2"] and dict(df.dtypes)["0"] == "bigint" and df.count() == 2
+    df = CSVSource(p, header=False, comment="#", names=["a.b", "n", "d"], columns=["d", "a.b"],
+                   dates=["d"]).extract(spark)
+    assert df.dtypes == [("d", "timestamp"), ("a.b", "bigint")]
+    assert sorted(str(r.d) for r in df.collect()) == ["2024-01-02 00:00:00", "2024-01-03 04:05:06"]
+    for bad in ({"names": ["a"]}, {"columns": ["zz"]}, {"dates": ["zz"]}):
+        with pytest.raises(SourceError):
+            CSVSource(p, header=False, comment="#", **bad).extract(spark)
+
+
+def test_csv_dates_that_are_none_raise(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "dates.csv")
+    with open(p, "w") as f:
+        f.write("d,n\n2024-01-02,1\nyesterday,2\n")
+    with pytest.raises(Exception):
+        CSVSource(p, dates=["d"]).extract(spark).collect()
+
+
 def test_workbook_sheets(spark, tmp_dir):
     p = os.path.join(tmp_dir, "book.xlsx")
     write_workbook(p, "First", ["a", "b"], [(1, "x"), (2, "y")])
