@@ -8,7 +8,9 @@ a text are escaped by one more backslash between ``<`` and ``|``, so the marks
 are unambiguous and every text comes back exactly.
 
 Defined results: a record that is null, no JSON or of an unknown shape keeps its
-row with null ``layout``, ``turns`` and ``formatted``; a null text is an empty
+row with null ``layout``, ``turns`` and ``formatted``; a record of more than ``LARGE``
+bytes that Spark can't parse (no JSON, or beyond the size of its variant type, 128 MiB)
+raises, so that no long conversation turns into nulls; a null text is an empty
 text, a null role an empty role; no turns give an empty string; ties in the turn
 number are ordered by role and text; rows without a conversation id are one-turn
 conversations of their own; other columns are kept by every step.
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>\n"
+LARGE = 16 << 20
 TURNS = "array<struct<role:string,text:string>>"
 #: layout -> accepted field paths (per optional part), and where the turns come from.
 #: ``each`` reads a list: (path, role field, text field, role names to replace);
@@ -48,8 +51,9 @@ LAYOUTS = {
 
 def field_paths(record: Column) -> Column:
     """The nested field paths of a JSON record, sorted, as one string; types of the
-    leaves don't matter.  Null where the record is no JSON."""
-    shape = F.schema_of_variant(F.try_parse_json(record))
+    leaves don't matter.  Null where the record is no JSON; above ``LARGE`` bytes that raises."""
+    parsed = F.when(F.octet_length(record) > LARGE, F.parse_json(record)).otherwise(F.try_parse_json(record))
+    shape = F.schema_of_variant(parsed)
     shape = F.regexp_replace(shape, r"(?<=: |<)[A-Z_]+(\([0-9,]*\))?(?=[,>]|$)", "")
     return shape
 

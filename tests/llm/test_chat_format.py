@@ -59,3 +59,15 @@ def test_rows_by_turn(spark):
     assert got == sorted([(1, [("user", "q"), ("assistant", "")]), (2, [("user", "a"), ("user", "x"), ("user", "x")]),
                           (None, [("user", "n")]), (None, [("user", "n")]), (3, [("", "t")])], key=str)
     assert C.records_of_rows(df.limit(0)).agg(F.count("*")).first()[0] == 0
+
+
+def test_a_large_record_that_cannot_be_parsed_raises(spark, monkeypatch):
+    import pytest
+
+    good = '{"prompt": "%s", "response": "b"}' % ("a" * 80)
+    monkeypatch.setattr(C, "LARGE", 64)
+    rows = C.canonical_turns(spark.createDataFrame([(good,), ("no json",), (None,)], "record string"))
+    assert sorted(str(r.layout) for r in rows.collect()) == ["None", "None", "prompt"]
+    broken = C.canonical_turns(spark.createDataFrame([(good[:-1],)], "record string"))
+    with pytest.raises(Exception, match="MALFORMED|JSON"):
+        broken.collect()
