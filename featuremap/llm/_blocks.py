@@ -14,13 +14,23 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK_BYTES = 6 << 20
 
 
+def id_type(docs: DataFrame, id: str) -> T.DataType:
+    """The type of the id column: a whole number of any width, which results keep."""
+    kind = docs.schema[id].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"column '{id}' is {kind.simpleString()}; ids are whole numbers")
+    return kind
+
+
 def pack(docs: DataFrame, id: str, text: str) -> DataFrame:
     """``id``, ``text`` and every other column inside one struct ``rest``; the
     names below are free of clashes with the input's."""
+    id_type(docs, id)
     others = [c for c in docs.columns if c not in (id, text)]
     rest = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(0)
     return docs.select(F.col(f"`{id}`").cast("long").alias("id"),
@@ -29,7 +39,7 @@ def pack(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 def unpack(df: DataFrame, docs: DataFrame, id: str, text: str, *more: Column) -> DataFrame:
     """The columns of ``docs`` in their order (text as it is now) and ``more``."""
-    cols = [F.col("id").alias(c) if c == id else F.col("text").alias(c) if c == text
+    cols = [F.col("id").cast(id_type(docs, id)).alias(c) if c == id else F.col("text").alias(c) if c == text
             else F.col("rest")[c].alias(c) for c in docs.columns]
     return df.select(*cols, *more)
 

@@ -2,19 +2,20 @@
 
 1. Every distinct line key (text stripped, A-Z lower-cased, at least
    ``min_chars`` code points) becomes a 128-bit hash with its number of
-   occurrences and its smallest and largest document id; aggregated map-side
-   per slice of texts first, so a hot line is a few rows.
-2. Keys found in two documents or more are dealt to shards by hash.  Each shard
-   is one row of the index table: a minimal perfect hash, and arrays by slot of
-   fingerprint (64 bits), count and owner (the smallest document id).  Other
-   keys can't lose a line; the fingerprint turns them away.
+   occurrences and its smallest document id; aggregated map-side per slice of
+   texts first, so a hot line is a few rows.
+2. All distinct keys are dealt to shards by hash.  Each shard is one row of the
+   index table: a minimal perfect hash, and arrays by slot of fingerprint (64
+   bits), count and owner (the smallest document id).
 3. Documents probe the arrays with packed requests (see ``_blocks``): lines are
-   never joined.
+   never joined.  A key whose count is 1 stays where it is; of the others, a line
+   is dropped in every document but the owner.
 
 Defined results: a null or empty text is one empty line; rows without an id
 count as one document after all others; rows that repeat an id are one document
 when lines are counted, and each gives its own result row; lines below
-``min_chars`` always stay, also empty ones.  All other columns are kept.
+``min_chars`` always stay, also empty ones.  All other columns are kept, the id with
+its type, which is a whole number (others raise a ``TypeError``).
 """
 
 from __future__ import annotations
@@ -65,14 +66,14 @@ def _count(min_chars: int):
                     i = LAST_ID if i is None else i
                     for _, key in _keys(text, min_chars):
                         if key is not None:
-                            x = seen.setdefault(key, [i, i, 0])
-                            x[0], x[1], x[2] = min(x[0], i), max(x[1], i), x[2] + 1
+                            x = seen.setdefault(key, [i, 0])
+                            x[0], x[1] = min(x[0], i), x[1] + 1
                 if seen:
                     a, b = _hashes(list(seen))
                     x = np.array(list(seen.values()), np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(v) for v in (a.view("i8"), b.view("i8"), x[:, 0], x[:, 1], x[:, 2])],
-                        names=["a", "b", "low", "high", "n"])
+                        [pa.array(v) for v in (a.view("i8"), b.view("i8"), x[:, 0], x[:, 1])],
+                        names=["a", "b", "low", "n"])
 
     return run
 
@@ -94,21 +95,18 @@ def _build(table: pa.Table) -> pa.Table:
 
 def build_index(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text",
                 min_chars: int = MIN_CHARS) -> int:
-    """Write the index of the repeated lines of ``docs`` to ``path`` (Parquet, one
+    """Write the index of the distinct lines of ``docs`` to ``path`` (Parquet, one
     row a shard); returns the number of shards that hashes are dealt to."""
     spark = docs.sparkSession
     ready(spark)
     rows = _blocks.pack(docs.select(id, text), id, text).select("id", "text")
-    lines = (rows.mapInArrow(_count(min_chars), "a long, b long, low long, high long, n long")
-             .groupBy("a", "b")
-             .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")))
+    lines = (rows.mapInArrow(_count(min_chars), "a long, b long, low long, n long")
+             .groupBy("a", "b").agg(F.min("low").alias("low"), F.sum("n").alias("n")))
     counted = scratch_path(spark, "lines")
-    lines.filter("low < high").write.parquet(counted)
-    repeated = spark.read.parquet(counted)
-    # every line of the corpus is asked for once per block, so shards follow the text's size too
-    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`"))).alias("n")).first()["n"] or 0
-    shards = max(1, math.ceil(max(repeated.count(), size / 200) / SHARD_LINES))
-    (repeated.withColumn("shard", F.pmod("a", F.lit(shards)).cast("int"))
+    lines.write.parquet(counted)
+    distinct = spark.read.schema("a long, b long, low long, n long").parquet(counted)
+    shards = max(1, math.ceil(distinct.count() / SHARD_LINES))
+    (distinct.withColumn("shard", F.pmod("a", F.lit(shards)).cast("int"))
      .groupBy("shard").applyInArrow(_build, INDEX).write.parquet(path))
     return shards
 
@@ -136,13 +134,14 @@ def _probe(requests: pa.Table, index: pa.Table) -> pa.Table:
     block, found = [], []
     if index.num_rows:
         f = _mph.Mph(index.column("hash")[0].as_py())
-        fingerprint, owner = (np.frombuffer(index.column(c)[0].as_py(), t)
-                              for c, t in (("fingerprints", "<u8"), ("owners", "<i8")))
+        fingerprint, count, owner = (
+            np.frombuffer(index.column(c)[0].as_py(), t)
+            for c, t in (("fingerprints", "<u8"), ("counts", "<i8"), ("owners", "<i8")))
         for at, keys in zip(requests.column("block").to_pylist(), requests.column("keys"), strict=True):
             both = np.frombuffer(keys.as_buffer(), "<u8").reshape(-1, 2)
             slot = f.slots(both[:, 0], both[:, 1])
             hit = slot >= 0
-            hit[hit] = fingerprint[slot[hit]] == both[hit, 1]
+            hit[hit] = (fingerprint[slot[hit]] == both[hit, 1]) & (count[slot[hit]] > 1)
             if hit.any():
                 block.append(at)
                 found.append(np.concatenate(

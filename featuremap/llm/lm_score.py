@@ -172,4 +172,4 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int =
     levels = "".join(f", n_order_{k} long" for k in range(order + 1))
     return (dealt.groupBy("block").cogroup(replies.groupBy("block"))
             .applyInArrow(_finish(order, alpha, total), f"id long, n_words long, log_score double{levels}")
-            .withColumnRenamed("id", id))
+            .withColumn("id", F.col("id").cast(_blocks.id_type(docs, id))).withColumnRenamed("id", id))

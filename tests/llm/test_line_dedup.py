@@ -36,3 +36,28 @@ def test_empty_table_and_no_repeats(spark):
     assert line_dedup.dedup_lines(docs).count() == 0
     docs = spark.createDataFrame([(1, "one of a kind"), (2, "another of a kind")], "doc_id long, text string")
     assert sorted(r.text for r in line_dedup.dedup_lines(docs).collect()) == ["another of a kind", "one of a kind"]
+
+
+def test_index_has_every_distinct_line(spark, tmp_path):
+    import numpy as np
+
+    docs = spark.createDataFrame([(1, "a line of one\nshared by two documents"), (2, "Shared by two documents "),
+                                  (3, "twice in here\ntwice in here\nshort")], "doc_id int, text string")
+    path = str(tmp_path / "index")
+    assert line_dedup.build_index(docs, path) == 1
+    row = spark.read.parquet(path).first()
+    counts, owners = (np.frombuffer(row[c], "<i8").tolist() for c in ("counts", "owners"))
+    assert sorted(zip(counts, owners, strict=True)) == [(1, 1), (2, 1), (2, 3)]
+
+
+def test_ids_keep_their_type(spark):
+    import pytest
+
+    rows = [(2, "a line of both"), (1, "a line of both"), (None, "a line of both")]
+    for kind in ("tinyint", "int", "long"):
+        docs = spark.createDataFrame(rows, f"doc_id {kind}, text string")
+        out = line_dedup.dedup_lines(docs)
+        assert out.schema == docs.schema
+        assert sorted(map(tuple, out.collect()), key=str) == [(1, "a line of both"), (2, ""), (None, "")]
+    with pytest.raises(TypeError, match="whole numbers"):
+        line_dedup.dedup_lines(spark.createDataFrame([("x", "t")], "doc_id string, text string"))
