@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremap.llm import _bloom
-from featuremap.llm._components import extended, stored
+from featuremap.llm._components import extended, measured, stored
 from featuremap.llm._packed import pack, runs, unpack
 from featuremap.llm._words import NON_SPACE, mix, ready, slices, trim, words
 
@@ -260,16 +260,18 @@ def _prefixes(percent: int, levels):
 _PREFIX = "t long, c long, n long, l long, pos long, central double"
 
 
-def _active(p: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The prefix rows with ``comp``, whose element has a holder in another component."""
+def _active(p: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, int]:
+    """The prefix rows with ``comp``, whose element has a holder in another component,
+    and their number."""
     if labels is None:
         p = p.withColumn("comp", F.col("c"))
     else:
         p = (p.drop("comp").join(labels.withColumnRenamed("node", "c"), "c", "left")
              .withColumn("comp", F.coalesce("root", "c")).drop("root"))
     held = p.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    return stored(p.join(held.select("t"), "t", "left_semi")
-                   .select("t", "c", "n", "l", "pos", "central", "comp"), "prefixes")
+    out, seen = measured(p.join(held.select("t"), "t", "left_semi")
+                          .select("t", "c", "n", "l", "pos", "central", "comp"), "prefixes", rows=F.count("*"))
+    return out, seen["rows"]
 
 
 def _overlap(percent: int) -> str:
@@ -334,25 +336,25 @@ def _sets_of(docs: DataFrame, percent: int) -> DataFrame:
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     parts = max(1, math.ceil(size / 20 / PART_ELEMENTS))        # of at most so many elements
-    held = stored(docs.select("text").mapInArrow(_first_prefixes(percent, parts), _PACKET)
-                   .groupBy("part").applyInArrow(_shared, "t long, k long").select("t"), "elements")
-    shared = spark.sparkContext.broadcast(_bloom.build(held, "t", held.count()))
+    held, seen = measured(docs.select("text").mapInArrow(_first_prefixes(percent, parts), _PACKET)
+                           .groupBy("part").applyInArrow(_shared, "t long, k long").select("t"),
+                           "elements", rows=F.count("*"))
+    shared = spark.sparkContext.broadcast(_bloom.build(held, "t", seen["rows"]))
     schema = f"id {docs.schema['id'].dataType.simpleString()}, key long, n long, c long, t array<long>"
     out = stored(docs.mapInArrow(_sets(percent, shared), schema), "sets")
     shared.unpersist()
     return out
 
 
-def _prefixes_of(sets: DataFrame, percent: int) -> DataFrame:
-    """Steps 2 and 3."""
+def _prefixes_of(sets: DataFrame, total: int, percent: int) -> DataFrame:
+    """Steps 2 and 3; ``total`` elements are in the sets."""
     spark = sets.sparkSession
-    total = sets.agg(F.sum(F.size("t")).alias("n")).first()["n"] or 0
     parts = max(1, math.ceil(total / PART_ELEMENTS))
-    counted = stored(sets.mapInArrow(_elements(parts), _PACKET)
-                      .groupBy("part").applyInArrow(_shared, "t long, k long"), "counts")
-    counts = counted.agg(*[F.count(F.when(F.col("k") >= k, 1)).alias(str(k)) for k in LEVELS]).first()
+    counted, seen = measured(sets.mapInArrow(_elements(parts), _PACKET)
+                              .groupBy("part").applyInArrow(_shared, "t long, k long"), "counts",
+                              **{str(k): F.count(F.when(F.col("k") >= k, 1)) for k in LEVELS})
     levels = spark.sparkContext.broadcast(
-        _bloom.build_levels(counted, [(k, n) for k, n in zip(LEVELS, counts, strict=True) if n]))
+        _bloom.build_levels(counted, [(k, seen[str(k)]) for k in LEVELS if seen[str(k)]]))
     out = stored(sets.mapInArrow(_prefixes(percent, levels), _PREFIX), "second")
     levels.unpersist()
     return out
@@ -369,17 +371,19 @@ def links(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     all_sets = _sets_of(rows.withColumn("key", F.xxhash64("text")), percent)
     # one row per class: equal sets are found once
-    sets = stored(all_sets.filter(F.size("t") > 0).select("c", "t").dropDuplicates(["c"]), "class-sets")
-    p, tested, labels = _active(_prefixes_of(sets, percent), None), None, None
+    sets, seen = measured(all_sets.filter(F.size("t") > 0).select("c", "t").dropDuplicates(["c"]),
+                          "class-sets", elements=F.sum(F.size("t")))
+    (p, left), tested, labels = _active(_prefixes_of(sets, seen["elements"] or 0, percent), None), None, None
     for turn in range(STAR_TURNS + 1):
-        if not p.head(1):
+        if not left:
             break
         pairs = _star(p, tested, percent, turn) if turn < STAR_TURNS else _all_pairs(p, tested, percent)
-        done = stored(_compare(stored(pairs, "pairs"), sets, percent), "compared")
+        done, seen = measured(_compare(stored(pairs, "pairs"), sets, percent), "compared", linked=F.count_if("ok"))
         tested = done if tested is None else tested.union(done)
-        labels = extended(labels, done.filter("ok"))
-        if turn < STAR_TURNS:
-            p = _active(p, labels)
+        if seen["linked"]:
+            labels = extended(labels, done.filter("ok"))
+            if turn < STAR_TURNS:
+                p, left = _active(p, labels)
     named = all_sets.filter("n > 0").groupBy("c").agg(F.min("id").alias("least"))
     if labels is None:
         named = named.withColumn("root", F.col("c"))
